@@ -5,13 +5,15 @@ A wall-clock reading is TIMESTAMP_NTZ; an instant is TIMESTAMP.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curbline.schema import DAY_PARTS, OTHER_DAY_PART, PEAK_HOURS, SOURCE_ZONE, WEEKEND_DAYS
 
 _SLASH_DATE_TIME = (
-    r"^(\d{1,2})/(\d{1,2})/((?!0000)\d{4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
+    r"^=(\d{1,2})/(\d{1,2})/((?!0000)\d{4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 )
 _WITHOUT_OFFSET = r"^\s*\d{4,6}(-\d{1,2}){0,2}([ T][0-9:.]*)?\s*$"
 _STARTS_WITH_YEAR = r"^\s*\d{4,6}(-|\s*$)"
@@ -23,9 +25,10 @@ def _epoch() -> Column:
 
 def parse_slash_date_time(text: Column) -> Column:
     """``month/day/year hour:minute:second`` to a wall-clock reading, else null."""
-    dashed = F.regexp_replace(text, _SLASH_DATE_TIME, "$3-$1-$2 $4:$5:$6")
-    # A match always turns slashes into dashes, so unchanged text is text of another form.
-    return F.when(dashed != text, dashed.try_cast("timestamp_ntz"))
+    # A match drops the leading mark; with it, text of any other form cannot be cast.
+    marked = F.concat(F.lit("="), text)
+    dashed = F.regexp_replace(marked, _SLASH_DATE_TIME, "$3-$1-$2 $4:$5:$6")
+    return dashed.try_cast("timestamp_ntz")
 
 
 def local_to_utc(local: Column, zone: str = SOURCE_ZONE) -> Column:
@@ -37,7 +40,10 @@ def utc_to_local(utc: Column, zone: str = SOURCE_ZONE) -> Column:
 
 
 def utc_to_instant(utc: Column) -> Column:
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), utc))
+    """By arithmetic: a cast, or ``timestamp_diff``, would go through the session zone."""
+    minutes = F.unix_date(F.to_date(utc)).cast("bigint") * 1440 + F.hour(utc) * 60 + F.minute(utc)
+    micros = (F.extract(F.lit("SECOND"), utc) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(minutes * 60_000_000 + micros)
 
 
 def instant_to_utc(instant: Column) -> Column:
@@ -49,8 +55,10 @@ def instant_to_local(instant: Column, zone: str = SOURCE_ZONE) -> Column:
 
 
 def iso_utc(utc: Column) -> Column:
-    """ISO-8601 text with an explicit zero offset."""
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    """ISO-8601 text to the second with an explicit zero offset."""
+    # date_format would move a reading that the session zone skips; the cast does not.
+    plain = utc.cast("string")
+    return F.concat(F.substring(plain, 1, 10), F.lit("T"), F.substring(plain, 12, 8), F.lit("+00:00"))
 
 
 def parse_instant(text: Column, zone: str = SOURCE_ZONE) -> Column:
@@ -67,7 +75,8 @@ def iso_weekday(day: Column) -> Column:
 
 
 def day_name(day: Column) -> Column:
-    return F.date_format(day, "E")
+    """Mon to Sun."""
+    return F.dayname(day)
 
 
 def is_weekend(day: Column) -> Column:
@@ -75,14 +84,9 @@ def is_weekend(day: Column) -> Column:
 
 
 def time_of_day(hour: Column) -> Column:
-    name = F
-    for part, first, last in DAY_PARTS:
-        name = name.when(hour.between(first, last), part)
-    return name.otherwise(OTHER_DAY_PART)
+    parts = [F.when(hour.between(first, last), part) for part, first, last in DAY_PARTS]
+    return F.coalesce(*parts, F.lit(OTHER_DAY_PART))
 
 
 def is_peak_hour(hour: Column) -> Column:
-    inside = F.lit(False)
-    for first, last in PEAK_HOURS:
-        inside = inside | hour.between(first, last)
-    return inside
+    return reduce(lambda a, b: a | b, [hour.between(*hours) for hours in PEAK_HOURS])

@@ -7,20 +7,30 @@ from pyspark.sql import functions as F
 
 from curbline.functions import clock, text
 from curbline.functions.identity import trip_id
+from curbline.operators.once import unpack_once
 from curbline.schema import ID_PREFIX, LATITUDE_RANGE, LONGITUDE_RANGE, SOURCE_ZONE
 
 
 def parse_raw(rows: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
     """Adds the parsed fields and ``reason``, null where the row is valid."""
-    parsed = rows.select(
+    texts = rows.select(
         "row_number",
         text.strip(F.col("`Date/Time`")).alias("date_text"),
         text.strip(F.col("Lat")).alias("latitude_text"),
         text.strip(F.col("Lon")).alias("longitude_text"),
         text.strip(F.col("Base")).alias("base"),
-        text.number(F.col("Lat")).alias("pickup_latitude"),
-        text.number(F.col("Lon")).alias("pickup_longitude"),
-    ).withColumn("utc", clock.local_to_utc(clock.parse_slash_date_time(F.col("date_text")), zone))
+    )
+    local = clock.parse_slash_date_time(F.col("date_text"))
+    fields = F.struct(
+        "date_text",
+        "latitude_text",
+        "longitude_text",
+        "base",
+        text.number(F.col("latitude_text")).alias("pickup_latitude"),
+        text.number(F.col("longitude_text")).alias("pickup_longitude"),
+        clock.local_to_utc(local, zone).alias("utc"),
+    )
+    parsed = unpack_once(texts, fields, ("row_number",))
     missing = (
         F.col("date_text").isNull()
         | F.col("latitude_text").isNull()

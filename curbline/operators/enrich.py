@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions import clock
+from curbline.operators.once import unpack_once
 from curbline.schema import (
     EVENT_SCHEMA,
     LATITUDE_RANGE,
@@ -15,11 +16,9 @@ from curbline.schema import (
 )
 
 
-def decode_events(messages: DataFrame) -> DataFrame:
+def decode_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Fields of the JSON in ``value`` (text or bytes); what cannot be read is null."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event")
-    ).select("event.*")
+    return unpack_once(messages, F.from_json(F.col("value").cast("string"), EVENT_SCHEMA), keep)
 
 
 def is_valid_event() -> Column:

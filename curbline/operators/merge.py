@@ -16,6 +16,9 @@ def one_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataF
     and a rerun picks the same row.
     """
     rest = [name for name in rows.columns if name != key]
+    if len(rest) == 1:
+        # A plain minimum of a number or a time stays in hash aggregation.
+        return rows.groupBy(key).agg(F.min(rest[0]).alias(rest[0]))
     ranked = F.struct(*order, *[name for name in rest if name not in order])
     return (
         rows.groupBy(key).agg(F.min(ranked).alias("first_row")).select(

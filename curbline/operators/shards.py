@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from curbline.functions import clock, text
 from curbline.functions.identity import trip_id
 from curbline.operators.merge import one_per_key
+from curbline.operators.once import unpack_once
 from curbline.schema import (
+    EVENT_COLUMNS,
     ID_PREFIX,
     LATITUDE_RANGE,
     LONGITUDE_RANGE,
@@ -50,35 +52,49 @@ def split_columns(
 def parse_shard(
     role: str, shard: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Partial events of one shard with ``is_valid``, by the checks that role can make."""
+    """Typed fields of one shard with ``is_valid``, by the checks that role can make.
+
+    The datetime shard gives ``utc``, a wall-clock reading in UTC.
+    """
+    stripped = shard.select(
+        *[
+            text.strip(F.col(f"`{name}`")).alias(name)
+            for name in ("trip_id", *SHARD_COLUMNS[role])
+        ],
+        *keep,
+    )
     if role == "datetime":
-        local = clock.parse_slash_date_time(text.strip(F.col("`Date/Time`")))
-        fields = {"event_timestamp": clock.iso_utc(clock.local_to_utc(local, zone))}
-        sound = F.col("event_timestamp").isNotNull()
+        local = clock.parse_slash_date_time(F.col("`Date/Time`"))
+        fields = {"utc": clock.local_to_utc(local, zone)}
+        sound = F.col("utc").isNotNull()
     elif role == "latitude":
         fields = {"pickup_latitude": text.number(F.col("Lat"))}
         sound = F.col("pickup_latitude").between(*LATITUDE_RANGE)
-    elif role == "longitude_base":
-        fields = {
-            "pickup_longitude": text.number(F.col("Lon")),
-            "base": text.strip(F.col("Base")),
-        }
-        sound = F.col("pickup_longitude").between(*LONGITUDE_RANGE) & (F.col("base") != "")
     else:
-        raise ValueError(f"unknown shard role: {role}")
-    parsed = shard.select(
-        text.strip(F.col("trip_id")).alias("trip_id"),
-        *[value.alias(name) for name, value in fields.items()],
-        *keep,
+        fields = {"pickup_longitude": text.number(F.col("Lon")), "base": F.col("Base")}
+        sound = F.col("pickup_longitude").between(*LONGITUDE_RANGE) & (F.col("base") != "")
+    parsed = F.struct("trip_id", *[value.alias(name) for name, value in fields.items()])
+    valid = F.coalesce(sound & (F.col("trip_id") != ""), F.lit(False))
+    return unpack_once(stripped, parsed, keep).withColumn("is_valid", valid)
+
+
+def _valid_rows(role: str, shard: DataFrame, zone: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return parse_shard(role, shard, zone, keep).where("is_valid").drop("is_valid")
+
+
+def _as_event_fields(typed: DataFrame) -> DataFrame:
+    if "utc" not in typed.columns:
+        return typed
+    return typed.withColumn("utc", clock.iso_utc(F.col("utc"))).withColumnRenamed(
+        "utc", "event_timestamp"
     )
-    return parsed.withColumn("is_valid", F.coalesce(sound & (F.col("trip_id") != ""), F.lit(False)))
 
 
 def partial_events(
     role: str, shard: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Valid partial events of one shard."""
-    return parse_shard(role, shard, zone, keep).where("is_valid").drop("is_valid")
+    return _as_event_fields(_valid_rows(role, shard, zone, keep))
 
 
 def project_partial(events: DataFrame, role: str) -> DataFrame:
@@ -104,10 +120,11 @@ def merge_shards(
 ) -> DataFrame:
     """Canonical events from joined shards, each shard validated before the join.
 
-    An id that fails in one shard drops out, as it would if checked after the join.
+    An id that fails in one shard drops out, as it would if checked after the join. Numbers
+    and times are joined as such and not as text, which hashes them in place.
     """
-    parts = {role: partial_events(role, shards[role], zone) for role in SHARD_COLUMNS}
-    return join_shards(parts, unique_keys)
+    parts = {role: _valid_rows(role, shards[role], zone) for role in SHARD_COLUMNS}
+    return _as_event_fields(join_shards(parts, unique_keys)).select(*EVENT_COLUMNS)
 
 
 def _tagged_ids(shards: dict[str, DataFrame]) -> DataFrame:

@@ -182,9 +182,7 @@ def shard_split_counts(spark, sf_dir):
 
 @query
 def shard_join(spark, sf_dir):
-    return shards.merge_shards(_split(spark, sf_dir)).select(
-        "trip_id", "event_timestamp", "pickup_latitude", "pickup_longitude", "base"
-    )
+    return shards.merge_shards(_split(spark, sf_dir))
 
 
 @query

@@ -40,6 +40,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir))
 
 
+def _date_text() -> Column:
+    """month/day/year hour:minute:second, no leading zeros but in minutes and seconds."""
+    ts = F.col("ts")
+    minutes = F.substring(ts.cast("string"), 14, 6)
+    date = F.concat_ws("/", F.month(ts).cast("string"), F.day(ts).cast("string"), F.year(ts).cast("string"))
+    return F.concat(date, F.lit(" "), F.hour(ts).cast("string"), minutes)
+
+
 def _latitude() -> Column:
     spread = F.round(F.col("value") * 100).cast("bigint") % 4000
     return F.when(F.col("event_id") % 89 == 0, F.lit(95.0)).otherwise(
@@ -60,7 +68,7 @@ def raw_rows(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Numbered raw rows, all text, as a CSV scan gives them."""
     return events.select(
         (F.col("event_id") + 1).alias("row_number"),
-        F.date_format("ts", "M/d/yyyy H:mm:ss").alias("Date/Time"),
+        _date_text().alias("Date/Time"),
         _latitude().cast("string").alias("Lat"),
         _longitude().cast("string").alias("Lon"),
         _base().alias("Base"),
@@ -74,7 +82,7 @@ def staging_source(events: DataFrame) -> DataFrame:
     return events.select(
         trip_id(
             F.col("event_id") + 1,
-            F.date_format("ts", "M/d/yyyy H:mm:ss"),
+            _date_text(),
             latitude.cast("string"),
             longitude.cast("string"),
             base,

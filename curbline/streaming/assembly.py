@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.schema import EVENT_COLUMNS, EVENT_SCHEMA, PARTIAL_FIELDS
+from curbline.operators.enrich import decode_events
+from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS
 
 _PAYLOAD = EVENT_COLUMNS[1:]
 
@@ -25,9 +26,8 @@ def decode_partials(messages: DataFrame) -> DataFrame:
 
     ``messages`` has ``value`` and ``timestamp``, as the bus gives them.
     """
-    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event")
-    decoded = messages.select(event, F.col("timestamp").alias("arrival"))
-    return decoded.select("event.*", "arrival").where(F.col("trip_id").isNotNull())
+    decoded = decode_events(messages.withColumnRenamed("timestamp", "arrival"), ("arrival",))
+    return decoded.where(F.col("trip_id").isNotNull())
 
 
 def partials_of(decoded: DataFrame, role: str) -> DataFrame:
