@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.plans import aggregates, trips
 from curbline.schema import SOURCE_ZONE
 
+CONCURRENT_JOBS = 4
+
 # Model -> (builder, counts table it is built from, columns its readers sort by).
 AGGREGATES: dict[str, tuple[Callable[[DataFrame], DataFrame], str, tuple[str, ...]]] = {
     "trips_by_date": (aggregates.trips_by_date, "trip_rollup", ("trip_date",)),
@@ -35,31 +39,53 @@ AGGREGATES: dict[str, tuple[Callable[[DataFrame], DataFrame], str, tuple[str, ..
 }
 
 
+COUNTS = {"trip_rollup": aggregates.trip_rollup, "cell_counts": aggregates.cell_counts}
+
+
 def build_models(
-    source: DataFrame, out: str, zone: str = SOURCE_ZONE, view: str = "stg_trips"
+    source: DataFrame,
+    out: str,
+    zone: str = SOURCE_ZONE,
+    view: str = "stg_trips",
+    gather_dates: bool = False,
 ) -> None:
     """Rebuild all models under the folder ``out``.
 
     The staging model is a view. The fact is written by date; two scans of its key
     columns give the rollup and the cell counts, and every aggregate is built from those
     two small tables, read back from storage so that a lost executor costs no rescan.
+
+    ``gather_dates`` brings the rows of a date together before the write, large dates split
+    and small ones packed. It shuffles the fact: use it where the source is in no date
+    order, as every task would else write a file per date.
     """
     spark = source.sparkSession
     staging = trips.staging_trips(source, zone)
     staging.createOrReplaceTempView(view)
-    trips.trip_fact(staging).write.mode("overwrite").partitionBy("trip_date").parquet(
-        f"{out}/trip_fact"
-    )
-    fact = spark.read.parquet(f"{out}/trip_fact")
-    for name, build in (
-        ("trip_rollup", aggregates.trip_rollup),
-        ("cell_counts", aggregates.cell_counts),
-    ):
-        build(fact).write.mode("overwrite").parquet(f"{out}/{name}")
-    for name, (build, counts, _) in AGGREGATES.items():
-        build(spark.read.parquet(f"{out}/{counts}")).write.mode("overwrite").parquet(
-            f"{out}/{name}"
-        )
+    fact = trips.trip_fact(staging)
+    if gather_dates:
+        fact = fact.hint("rebalance", "trip_date")
+    fact.write.mode("overwrite").partitionBy("trip_date").parquet(f"{out}/trip_fact")
+    fact = read_model(spark, out, "trip_fact")
+
+    def write(name: str, frame: DataFrame) -> None:
+        frame.write.mode("overwrite").parquet(f"{out}/{name}")
+
+    _each(spark, lambda name: write(name, COUNTS[name](fact)), COUNTS)
+
+    def write_aggregate(name: str) -> None:
+        build, counts, _ = AGGREGATES[name]
+        write(name, build(read_model(spark, out, counts)))
+
+    _each(spark, write_aggregate, AGGREGATES)
+
+
+def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str]) -> None:
+    """Run small jobs side by side: their stages would leave most of a cluster idle."""
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        target = inheritable_thread_target(spark)(work)
+        for done in [pool.submit(target, name) for name in names]:
+            done.result()
 
 
 def read_model(spark: SparkSession, out: str, name: str) -> DataFrame:

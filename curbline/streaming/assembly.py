@@ -15,6 +15,7 @@ from curbline.operators.enrich import decode_events
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS
 
 _PAYLOAD = EVENT_COLUMNS[1:]
+SALTS = 16
 
 
 def _all_present(fields: tuple[str, ...]) -> Column:
@@ -36,21 +37,34 @@ def partials_of(decoded: DataFrame, role: str) -> DataFrame:
     return decoded.where(_all_present(fields)).select("trip_id", *fields, "arrival")
 
 
-def assemble_by_join(partials: dict[str, DataFrame], within: str = "1 hour") -> DataFrame:
+def drop_repeats(partials: DataFrame, within: str, salts: int = SALTS) -> DataFrame:
+    """The first part per id among those that arrive ``within`` of each other.
+
+    Copies are thinned out per group of source tasks before the id alone decides, so one id
+    sent over and over is not the work of one task.
+    """
+    salted = partials.withColumn("salt", F.spark_partition_id() % salts)
+    thinned = salted.withWatermark("arrival", within).dropDuplicatesWithinWatermark(
+        ["trip_id", "salt"]
+    )
+    return thinned.drop("salt").dropDuplicatesWithinWatermark(["trip_id"])
+
+
+def assemble_by_join(
+    partials: dict[str, DataFrame], within: str = "1 hour", salts: int = SALTS
+) -> DataFrame:
     """Join the parts of an id whose arrivals are at most ``within`` of the first role's.
 
-    State is bounded: a part whose partners stay away is dropped once the watermark has
-    passed it. Size ``within`` for the slowest shard, or use ``assemble_by_latest``, which
-    waits for ever.
+    Repeated parts are dropped first, so an id never multiplies. State is bounded: a part
+    whose partners stay away goes once the watermark has passed it. Size ``within`` for the
+    slowest shard, or use ``assemble_by_latest``, which waits for ever.
     """
     first, *others = PARTIAL_FIELDS
-    joined = partials[first].withWatermark("arrival", within)
+    joined = drop_repeats(partials[first], within, salts)
     margin = F.expr(f"interval {within}")
     for role in others:
-        right = (
-            partials[role]
-            .withColumnsRenamed({"trip_id": "right_id", "arrival": "right_arrival"})
-            .withWatermark("right_arrival", within)
+        right = drop_repeats(partials[role], within, salts).withColumnsRenamed(
+            {"trip_id": "right_id", "arrival": "right_arrival"}
         )
         near = F.col("right_arrival").between(F.col("arrival") - margin, F.col("arrival") + margin)
         # A joined stream may carry only one watermarked column into the next join.
