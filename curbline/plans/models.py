@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.plans import aggregates, trips
-from curbline.schema import SOURCE_ZONE
+from curbline.schema import FACT_SCHEMA, SOURCE_ZONE
 
 CONCURRENT_JOBS = 4
 
@@ -89,4 +89,6 @@ def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str]
 
 
 def read_model(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/{name}")
+    # A fact without trips has no date folder, hence no file to take the schema from.
+    reader = spark.read.schema(FACT_SCHEMA) if name == "trip_fact" else spark.read
+    return reader.parquet(f"{out}/{name}")

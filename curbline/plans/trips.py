@@ -7,25 +7,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions import clock
 from curbline.operators.enrich import is_valid_event
-from curbline.schema import GRID_DECIMALS, SOURCE_ZONE
-
-FACT_COLUMNS = (
-    "trip_id",
-    "event_timestamp",
-    "trip_date",
-    "pickup_hour",
-    "day_of_week",
-    "day_name",
-    "is_weekend",
-    "time_of_day",
-    "is_peak_hour",
-    "latitude_grid",
-    "longitude_grid",
-    "pickup_latitude",
-    "pickup_longitude",
-    "base",
-)
-
+from curbline.schema import FACT_COLUMNS, GRID_DECIMALS, SOURCE_ZONE
 
 def grid(degrees: Column) -> Column:
     """Decimal cell edge; 13 decimals hold all digits a coordinate can carry."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -80,6 +82,27 @@ STAGING_SCHEMA = StructType(
 )
 STAGING_COLUMNS = tuple(STAGING_SCHEMA.names)
 
+# The trip fact: one row per pickup.
+FACT_SCHEMA = StructType(
+    [
+        StructField("trip_id", StringType()),
+        StructField("event_timestamp", TimestampType()),
+        StructField("trip_date", DateType()),
+        StructField("pickup_hour", IntegerType()),
+        StructField("day_of_week", IntegerType()),
+        StructField("day_name", StringType()),
+        StructField("is_weekend", BooleanType()),
+        StructField("time_of_day", StringType()),
+        StructField("is_peak_hour", BooleanType()),
+        StructField("latitude_grid", DecimalType(6, GRID_DECIMALS)),
+        StructField("longitude_grid", DecimalType(6, GRID_DECIMALS)),
+        StructField("pickup_latitude", DoubleType()),
+        StructField("pickup_longitude", DoubleType()),
+        StructField("base", StringType()),
+    ]
+)
+FACT_COLUMNS = tuple(FACT_SCHEMA.names)
+
 BATCH_METRICS_SCHEMA = StructType(
     [
         StructField("batch_id", LongType()),

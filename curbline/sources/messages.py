@@ -40,7 +40,8 @@ def file_stream(
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """Stream of a Parquet file or folder, at most so many files or bytes per micro-batch."""
+    """Stream of a Parquet file, folder or path pattern, at most so many files or bytes per
+    micro-batch."""
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
     for limit in (max_files, max_bytes):
@@ -51,8 +52,10 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    # The source wants a folder or a pattern, so a one-letter class stands for the letter.
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    if not any(mark in path for mark in "*?[{"):
+        # The source takes a folder or a pattern; as a pattern, the path may be a file too.
+        path = f"{path[:-1]}[{path[-1]}]"
+    return reader.parquet(path)
 
 
 def message_payload(

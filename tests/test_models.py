@@ -1,0 +1,321 @@
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+from statistics import median
+
+import pytest
+from helpers import plan_of, rows_of, scan_details_of, staging_source
+from pyspark.sql import functions as F
+
+from curbline.plans import aggregates, models, quality, serving, trips
+from curbline.schema import FACT_COLUMNS, FACT_SCHEMA
+from curbline.session import work_dir
+
+
+def two_places(value):
+    return Decimal(value).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
+def percent(part, whole):
+    return two_places(Decimal(100 * part) / Decimal(whole))
+
+
+def trip(n, local, lat=40.725, lon=-73.955, base="B1"):
+    return (f"id{n}", local, lat, lon, base)
+
+
+@pytest.fixture(scope="module")
+def random_trips(spark):
+    random.seed(7)
+    start = datetime(2014, 3, 1)
+    rows = []
+    for n in range(600):
+        day = random.choice([0, 1, 2, 3, 8, 9, 10, 11, 12, 20])
+        at = start + timedelta(days=day, hours=random.randint(0, 23), minutes=random.randint(0, 59))
+        if at.day == 9 and at.hour == 2:
+            at += timedelta(hours=1)
+        cell = (40 + random.randint(0, 4) / 100, -73 - random.randint(0, 4) / 100)
+        rows.append(trip(n, at.isoformat(" "), *cell, random.choice(["B1", "B2", "B2", "B3"])))
+    fact = trips.trip_fact(trips.staging_trips(staging_source(spark, rows))).cache()
+    return [(datetime.fromisoformat(r[1]), r[2], r[3], r[4]) for r in rows], fact
+
+
+def both_inputs(fact):
+    return [fact, aggregates.trip_rollup(fact)]
+
+
+# Staging and fact
+
+
+def test_fact_columns(spark, any_zone):
+    rows = [trip(1, "2014-04-05 20:59:59", 40.725, -73.955)]
+    fact = trips.trip_fact(trips.staging_trips(staging_source(spark, rows)))
+    assert tuple(fact.columns) == FACT_COLUMNS
+    assert [f.dataType for f in fact.schema] == [f.dataType for f in FACT_SCHEMA]
+    assert tuple(fact.drop("event_timestamp").first()) == (
+        "id1", date(2014, 4, 5), 20, 6, "Sat", True, "Evening", True,
+        Decimal("40.73"), Decimal("-73.96"), 40.725, -73.955, "B1",
+    )
+
+
+def test_grid_rounds_half_away_from_zero(spark):
+    values = [40.725, -73.955, 0.005, -0.005, 40.7249999999, 90.0, -180.0, 179.995, 40.0]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in frame.select(trips.grid(F.col("v"))).collect()]
+    assert got == [two_places(repr(v)) for v in values]
+
+
+def test_staging_leaves_invalid_trips_out(spark):
+    at = "2014-04-05 20:00:00"
+    rows = [
+        trip(1, at), trip(2, at, lat=90.5), trip(3, at, lon=-180.5), trip(4, at, base=""),
+        trip(5, None), trip(6, at, lat=None), trip(7, at, base=None), trip(8, at, lat=float("nan")),
+        (None, at, 40.0, -73.0, "B1"), trip(9, at, base=" "),
+    ]
+    got = trips.staging_trips(staging_source(spark, rows))
+    assert [r[0] for r in rows_of(got, "trip_id")] == ["id1", "id9"]
+
+
+# Aggregates against plain Python
+
+
+def test_trips_by_date(random_trips):
+    rows, fact = random_trips
+    counts = sorted(Counter(at.date() for at, *_ in rows).items())
+    sizes = [n for _, n in counts]
+    expected = []
+    for i, (day, n) in enumerate(counts):
+        window = sizes[max(0, i - 6) : i + 1]
+        change = percent(n - sizes[i - 1], sizes[i - 1]) if i else None
+        overall = two_places(Decimal(sum(sizes)) / len(sizes))
+        rolling = two_places(Decimal(sum(window)) / len(window))
+        expected.append((day, n, percent(n, len(rows)), overall, rolling, change))
+    for source in both_inputs(fact):
+        assert rows_of(aggregates.trips_by_date(source)) == sorted(expected, key=repr)
+
+
+def ranked(counts):
+    ordered = sorted(counts.values(), reverse=True)
+    total = sum(ordered)
+    return {k: (n, percent(n, total), ordered.index(n) + 1) for k, n in counts.items()}
+
+
+def test_trips_by_hour(random_trips):
+    rows, fact = random_trips
+    expected = ranked(Counter(at.hour for at, *_ in rows))
+    for source in both_inputs(fact):
+        got = aggregates.trips_by_hour(source).collect()
+        assert {r.pickup_hour: (r.trip_count, r.share_pct, r["rank"]) for r in got} == expected
+        assert {r.pickup_hour for r in got if r.is_peak_hour} <= {7, 8, 9, 10, 17, 18, 19, 20}
+
+
+def test_trips_by_base(random_trips):
+    rows, fact = random_trips
+    expected = ranked(Counter(base for *_, base in rows))
+    for source in both_inputs(fact):
+        got = aggregates.trips_by_base(source).collect()
+        assert {r.base: (r.trip_count, r.share_pct, r["rank"]) for r in got} == expected
+
+
+def test_geo_grid(random_trips):
+    rows, fact = random_trips
+    expected = ranked(Counter((two_places(repr(lat)), two_places(repr(lon))) for _, lat, lon, _ in rows))
+    for source in (fact, aggregates.cell_counts(fact)):
+        got = aggregates.geo_grid(source).collect()
+        assert {
+            (r.latitude_grid, r.longitude_grid): (r.trip_count, r.share_pct, r["rank"]) for r in got
+        } == expected
+
+
+def test_day_type_and_time_of_day(random_trips):
+    rows, fact = random_trips
+    kinds = Counter("Weekend" if at.isoweekday() > 5 else "Weekday" for at, *_ in rows)
+    for source in both_inputs(fact):
+        got = rows_of(aggregates.trips_by_day_type(source))
+        assert got == sorted((k, n, percent(n, len(rows))) for k, n in kinds.items())
+        parts = aggregates.trips_by_time_of_day(source).collect()
+        assert sum(r.trip_count for r in parts) == len(rows)
+
+
+def test_heatmap_pivot_and_base_hours(random_trips):
+    rows, fact = random_trips
+    cells = Counter((at.isoweekday(), at.strftime("%a"), at.hour) for at, *_ in rows)
+    for source in both_inputs(fact):
+        heatmap = aggregates.day_hour_heatmap(source)
+        assert rows_of(heatmap) == sorted(((*k, n) for k, n in cells.items()), key=repr)
+        for row in serving.heatmap_pivot(heatmap).collect():
+            for hour in range(24):
+                at_hour = [n for (_, day, h), n in cells.items() if (day, h) == (row.day_name, hour)]
+                assert row[f"hour_{hour:02d}"] == sum(at_hour)
+        base_hour = aggregates.trips_by_base_hour(source)
+        expected = Counter(at.hour for at, *_, base in rows if base == "B2")
+        got = serving.base_hours(base_hour, "B2").collect()
+        assert [(r.pickup_hour, r.trip_count) for r in got] == sorted(expected.items())
+
+
+def test_kpis(random_trips):
+    rows, fact = random_trips
+    days, hours, bases = (
+        Counter(key(r) for r in rows) for key in (lambda r: r[0].date(), lambda r: r[0].hour, lambda r: r[3])
+    )
+    top = min(bases, key=lambda b: (-bases[b], b))
+    peak = sum(n for h, n in hours.items() if 7 <= h <= 10 or 17 <= h <= 20)
+    expected = (
+        len(rows), len(bases), len(days), len(hours),
+        two_places(Decimal(len(rows)) / len(days)), float(median(days.values())),
+        min(hours, key=lambda h: (-hours[h], h)), min(hours, key=lambda h: (hours[h], h)),
+        top, bases[top], peak, sum(n for d, n in days.items() if d.isoweekday() > 5),
+    )
+    for source in both_inputs(fact):
+        assert tuple(aggregates.kpis(source).first()) == expected
+
+
+def test_kpi_ties_go_to_the_first(spark):
+    rows = [trip(n, f"2014-04-0{1 + n % 2} {h:02d}:00:00", base=b) for n, (h, b) in enumerate(
+        [(9, "B2"), (3, "B1"), (3, "B2"), (9, "B1"), (12, "B3"), (5, "B3")]
+    )]
+    row = aggregates.kpis(trips.staging_trips(staging_source(spark, rows))).first()
+    assert (row.busiest_hour, row.quietest_hour, row.top_base, row.top_base_trips) == (3, 5, "B1", 2)
+
+
+def test_no_trips_give_one_kpi_row_and_zero_ratios(spark):
+    kpis = aggregates.kpis(trips.staging_trips(staging_source(spark, [])))
+    assert tuple(kpis.first()) == (0, 0, 0, 0, None, None, None, None, None, None, 0, 0)
+    assert tuple(serving.kpi_ratios(kpis).first()) == (0.0, 0.0)
+
+
+def test_change_after_a_single_day(spark):
+    rows = [trip(1, "2014-04-01 01:00:00"), *[trip(n, "2014-04-05 01:00:00") for n in range(2, 5)]]
+    got = aggregates.trips_by_date(trips.staging_trips(staging_source(spark, rows)))
+    assert [r.pct_change for r in got.sort("trip_date").collect()] == [None, Decimal("200.00")]
+
+
+# Model run and serving
+
+
+def test_model_run_serves_in_display_order(spark, random_trips):
+    rows, _ = random_trips
+    source = staging_source(
+        spark, [trip(n, at.isoformat(" "), lat, lon, base) for n, (at, lat, lon, base) in enumerate(rows)]
+    )
+    out = work_dir(spark, "models")
+    models.build_models(source, out, gather_dates=True)
+    assert spark.table("stg_trips").count() == len(rows)
+    assert models.read_model(spark, out, "trip_fact").count() == len(rows)
+    bases = [r.trip_count for r in serving.serving_table(spark, out, "trips_by_base").collect()]
+    assert bases == sorted(bases, reverse=True)
+    dates = [r.trip_date for r in serving.serving_table(spark, out, "trips_by_date").collect()]
+    assert dates == sorted(dates)
+    assert serving.serving_table(spark, out, "kpis").first().total_trips == len(rows)
+    for name in models.AGGREGATES:
+        assert serving.serving_table(spark, out, name).count() > 0
+    models.build_models(source.limit(0), out)
+    assert serving.serving_table(spark, out, "kpis").first().total_trips == 0
+
+
+def test_top_cells_and_map_points(random_trips):
+    _, fact = random_trips
+    cells = aggregates.geo_grid(fact)
+    top = serving.top_cells(cells, 3).collect()
+    everything = sorted(cells.collect(), key=lambda r: (-r.trip_count, r.latitude_grid, r.longitude_grid))
+    assert [tuple(r) for r in top] == [tuple(r) for r in everything[:3]]
+    assert serving.map_points(cells).columns == ["lat", "lon"]
+
+
+def test_stream_health_reads_the_last_ten(spark):
+    rows = [(n, n * 10, datetime(2024, 1, 1, 0, n)) for n in range(15)]
+    metrics = spark.createDataFrame(rows, "batch_id bigint, records_received bigint, processed_at timestamp")
+    assert [r.batch_id for r in serving.recent_batches(metrics).collect()] == list(range(14, 4, -1))
+    row = serving.stream_health(metrics).first()
+    assert tuple(row)[:3] == (14, 140, 10)
+    assert serving.stream_health(metrics.limit(0)).first().batches_recorded == 0
+
+
+# Plans
+
+
+def test_kpis_scan_once_and_read_three_columns(spark, random_trips):
+    _, fact = random_trips
+    out = work_dir(spark, "fact")
+    fact.write.parquet(out)
+    plan = plan_of(aggregates.kpis(spark.read.parquet(out)))
+    assert plan.count("FileScan") == 1
+    assert "ReadSchema: struct<trip_date:date,pickup_hour:int,base:string>" in plan
+    assert "Join" not in plan
+
+
+def test_staging_filters_reach_the_scan(spark, random_trips):
+    _, fact = random_trips
+    out = work_dir(spark, "source")
+    fact.select("trip_id", "event_timestamp", "pickup_latitude", "pickup_longitude", "base").write.parquet(out)
+    hours = aggregates.trips_by_hour(trips.staging_trips(spark.read.parquet(out)))
+    details = scan_details_of(hours)
+    for pushed in (
+        "IsNotNull(trip_id)", "GreaterThanOrEqual(pickup_latitude,-90.0)",
+        "LessThanOrEqual(pickup_longitude,180.0)", "Not(EqualTo(base,))",
+    ):
+        assert pushed in details
+    assert plan_of(hours).count("Exchange hashpartitioning") == 1
+
+
+def test_grid_ranking_counts_the_cells_once(spark, random_trips):
+    _, fact = random_trips
+    out = work_dir(spark, "cells")
+    fact.write.parquet(out)
+    cells = aggregates.geo_grid(spark.read.parquet(out))
+    cells.collect()
+    assert "ReusedExchange" in plan_of(cells)
+
+
+# Data quality
+
+
+@pytest.fixture()
+def flawed(spark):
+    at = "timestamp'2014-04-01 12:30:00Z'"
+    values = [
+        f"('a', {at}, 40D, -73D, 'B1', date'2014-04-01', 8, 2)",
+        f"('a', {at}, 40D, -73D, 'B1', date'2014-04-01', 8, 2)",
+        f"('b', {at}, 91D, -73D, '', date'2014-04-02', 24, 0)",
+        "('c', null, null, -181D, null, null, null, null)",
+        f"(null, {at}, 40D, -73D, 'B1', date'2014-04-01', 8, 2)",
+    ]
+    return spark.sql(
+        "select * from values " + ", ".join(values) + " as t(trip_id, event_timestamp, pickup_latitude,"
+        " pickup_longitude, base, trip_date, pickup_hour, day_of_week)"
+    )
+
+
+def test_contract_report(flawed):
+    found = {r.rule: r.violations for r in quality.contract_report(flawed).collect()}
+    broken = {
+        "trip_id_not_null": 1, "event_timestamp_not_null": 1, "pickup_latitude_not_null": 1,
+        "base_not_null": 1, "trip_date_not_null": 1, "pickup_hour_not_null": 1,
+        "day_of_week_not_null": 1, "latitude_in_range": 1, "longitude_in_range": 1,
+        "base_not_empty": 1, "hour_in_range": 1, "weekday_in_range": 1, "trip_id_unique": 1,
+    }
+    assert {k: v for k, v in found.items() if v} == broken
+    assert len(found) == 16
+    assert [r.trip_id for r in quality.satisfies_contract(flawed).collect()] == ["a", "a"]
+
+
+def test_violating_rows(flawed):
+    assert rows_of(quality.duplicates(flawed, "trip_id")) == [("a", 2)]
+    # An unknown coordinate is not out of range; the other one of the row may be.
+    assert rows_of(flawed.where(quality.bad_coordinates()), "trip_id") == [("b",), ("c",)]
+    assert rows_of(flawed.where(quality.bad_hour()), "trip_id") == [("b",)]
+    assert rows_of(flawed.where(quality.bad_date()), "trip_id") == [("b",), ("c",)]
+
+
+def test_quality_summary(flawed):
+    assert tuple(quality.quality_summary(flawed).first()) == (5, 3, 3, 1)
+    assert tuple(quality.quality_summary(flawed.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_valid_models_pass_all_thirteen_tests(spark, random_trips):
+    _, fact = random_trips
+    report = quality.model_report(
+        {"staging_trips": fact, "trip_fact": fact, "kpis": aggregates.kpis(fact)}
+    ).collect()
+    assert len(report) == 13 and not any(r.violations for r in report)
