@@ -28,7 +28,7 @@ def parse_raw(rows: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
         "base",
         text.number(F.col("latitude_text")).alias("pickup_latitude"),
         text.number(F.col("longitude_text")).alias("pickup_longitude"),
-        clock.local_to_utc(local, zone).alias("utc"),
+        clock.local_to_instant(local, zone).alias("instant"),
     )
     parsed = unpack_once(texts, fields, ("row_number",))
     missing = (
@@ -41,7 +41,7 @@ def parse_raw(rows: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
         F.when(missing, "missing_field")
         .when(F.col("pickup_latitude").isNull(), "bad_latitude")
         .when(F.col("pickup_longitude").isNull(), "bad_longitude")
-        .when(F.col("utc").isNull(), "bad_timestamp")
+        .when(F.col("instant").isNull(), "bad_timestamp")
         .when(F.col("base") == "", "empty_base")
         .when(~F.col("pickup_latitude").between(*LATITUDE_RANGE), "latitude_out_of_range")
         .when(~F.col("pickup_longitude").between(*LONGITUDE_RANGE), "longitude_out_of_range")
@@ -71,7 +71,7 @@ def canonical_events(
         trip_id(
             F.col("row_number"), F.col("date_text"), latitude, longitude, F.col("base"), prefix
         ).alias("trip_id"),
-        clock.iso_utc(F.col("utc")).alias("event_timestamp"),
+        clock.iso_utc(F.col("instant")).alias("event_timestamp"),
         "pickup_latitude",
         "pickup_longitude",
         "base",

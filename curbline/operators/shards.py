@@ -54,7 +54,7 @@ def parse_shard(
 ) -> DataFrame:
     """Typed fields of one shard with ``is_valid``, by the checks that role can make.
 
-    The datetime shard gives ``utc``, a wall-clock reading in UTC.
+    The timestamp is an instant here; on the wire it is text.
     """
     stripped = shard.select(
         *[
@@ -65,8 +65,8 @@ def parse_shard(
     )
     if role == "datetime":
         local = clock.parse_slash_date_time(F.col("`Date/Time`"))
-        fields = {"utc": clock.local_to_utc(local, zone)}
-        sound = F.col("utc").isNotNull()
+        fields = {"event_timestamp": clock.local_to_instant(local, zone)}
+        sound = F.col("event_timestamp").isNotNull()
     elif role == "latitude":
         fields = {"pickup_latitude": text.number(F.col("Lat"))}
         sound = F.col("pickup_latitude").between(*LATITUDE_RANGE)
@@ -82,19 +82,17 @@ def _valid_rows(role: str, shard: DataFrame, zone: str, keep: tuple[str, ...] =
     return parse_shard(role, shard, zone, keep).where("is_valid").drop("is_valid")
 
 
-def _as_event_fields(typed: DataFrame) -> DataFrame:
-    if "utc" not in typed.columns:
+def _to_wire(typed: DataFrame) -> DataFrame:
+    if "event_timestamp" not in typed.columns:
         return typed
-    return typed.withColumn("utc", clock.iso_utc(F.col("utc"))).withColumnRenamed(
-        "utc", "event_timestamp"
-    )
+    return typed.withColumn("event_timestamp", clock.iso_utc(F.col("event_timestamp")))
 
 
 def partial_events(
     role: str, shard: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Valid partial events of one shard."""
-    return _as_event_fields(_valid_rows(role, shard, zone, keep))
+    return _to_wire(_valid_rows(role, shard, zone, keep))
 
 
 def project_partial(events: DataFrame, role: str) -> DataFrame:
@@ -124,7 +122,7 @@ def merge_shards(
     and times are joined as such and not as text, which hashes them in place.
     """
     parts = {role: _valid_rows(role, shards[role], zone) for role in SHARD_COLUMNS}
-    return _as_event_fields(join_shards(parts, unique_keys)).select(*EVENT_COLUMNS)
+    return _to_wire(join_shards(parts, unique_keys)).select(*EVENT_COLUMNS)
 
 
 def _tagged_ids(shards: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ raw as (
   select event_id + 1 as row_number, ts,
     strftime(ts, '%-m/%-d/%Y %-H:%M:%S') as date_text,
     case when event_id % 89 = 0 then 95.0::double
-         else (405000 + round(value * 100)::bigint % 4000)::double / 10000 end as lat,
+         else (405000 + round_even(value * 100, 0)::bigint % 4000)::double / 10000 end as lat,
     (-742000 + (user_id * 37 + event_id) % 5000)::double / 10000 as lon,
     case when event_id % 97 = 0 then '' else event_type end as base
   from events),

@@ -36,7 +36,7 @@ def query(build: Query) -> Query:
 
 
 def _iso(instant: str) -> Column:
-    return clock.iso_utc(clock.instant_to_utc(F.col(instant)))
+    return clock.iso_utc(F.col(instant))
 
 
 def comparable(frame: DataFrame) -> DataFrame:

@@ -20,10 +20,9 @@ def staging_source(spark, rows):
     frame = spark.createDataFrame(
         rows, "trip_id string, local string, pickup_latitude double, pickup_longitude double, base string"
     )
-    utc = clock.local_to_utc(F.col("local").cast("timestamp_ntz"))
     return frame.select(
         "trip_id",
-        clock.utc_to_instant(utc).alias("event_timestamp"),
+        clock.local_to_instant(F.col("local").cast("timestamp_ntz")).alias("event_timestamp"),
         "pickup_latitude",
         "pickup_longitude",
         "base",
