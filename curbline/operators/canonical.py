@@ -20,7 +20,7 @@ def parse_raw(rows: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
         text.strip(F.col("Lon")).alias("longitude_text"),
         text.strip(F.col("Base")).alias("base"),
     )
-    local = clock.parse_slash_date_time(F.col("date_text"))
+    timed = texts.withColumn("local", clock.parse_slash_date_time(F.col("date_text")))
     fields = F.struct(
         "date_text",
         "latitude_text",
@@ -28,9 +28,9 @@ def parse_raw(rows: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
         "base",
         text.number(F.col("latitude_text")).alias("pickup_latitude"),
         text.number(F.col("longitude_text")).alias("pickup_longitude"),
-        clock.local_to_instant(local, zone).alias("instant"),
+        clock.local_to_instant(F.col("local"), zone).alias("instant"),
     )
-    parsed = unpack_once(texts, fields, ("row_number",))
+    parsed = unpack_once(timed, fields, ("row_number",))
     missing = (
         F.col("date_text").isNull()
         | F.col("latitude_text").isNull()

@@ -35,9 +35,9 @@ def is_valid_event() -> Column:
 
 def valid_events(events: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
     """Wire events with the timestamp parsed to an instant, invalid ones left out."""
-    return events.withColumn(
-        "event_timestamp", clock.parse_instant(F.col("event_timestamp"), zone)
-    ).where(is_valid_event())
+    instant = clock.parse_instant(F.col("event_timestamp"), zone).alias("event_timestamp")
+    parsed = F.struct("trip_id", instant, "pickup_latitude", "pickup_longitude", "base")
+    return unpack_once(events, parsed).where(is_valid_event())
 
 
 def add_calendar(events: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:

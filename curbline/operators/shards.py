@@ -64,8 +64,8 @@ def parse_shard(
         *keep,
     )
     if role == "datetime":
-        local = clock.parse_slash_date_time(F.col("`Date/Time`"))
-        fields = {"event_timestamp": clock.local_to_instant(local, zone)}
+        stripped = stripped.withColumn("local", clock.parse_slash_date_time(F.col("`Date/Time`")))
+        fields = {"event_timestamp": clock.local_to_instant(F.col("local"), zone)}
         sound = F.col("event_timestamp").isNotNull()
     elif role == "latitude":
         fields = {"pickup_latitude": text.number(F.col("Lat"))}
