@@ -6,6 +6,7 @@ message came in.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ from curbline.operators.enrich import decode_events
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS
 
 _PAYLOAD = EVENT_COLUMNS[1:]
-SALTS = 16
 
 
 def _all_present(fields: tuple[str, ...]) -> Column:
@@ -37,22 +37,23 @@ def partials_of(decoded: DataFrame, role: str) -> DataFrame:
     return decoded.where(_all_present(fields)).select("trip_id", *fields, "arrival")
 
 
-def drop_repeats(partials: DataFrame, within: str, salts: int = SALTS) -> DataFrame:
+def drop_repeats(partials: DataFrame, within: str) -> DataFrame:
     """The first part per id among those that arrive ``within`` of each other.
 
-    Copies are thinned out per group of source tasks before the id alone decides, so one id
-    sent over and over is not the work of one task.
+    Streams have no partial step before the shuffle of a deduplication, so copies are thinned
+    out here in each block of rows: an id sent over and over is not the work of one task.
     """
-    salted = partials.withColumn("salt", F.spark_partition_id() % salts)
-    thinned = salted.withWatermark("arrival", within).dropDuplicatesWithinWatermark(
-        ["trip_id", "salt"]
-    )
-    return thinned.drop("salt").dropDuplicatesWithinWatermark(["trip_id"])
 
+    def thin(batches: Iterator) -> Iterator:
+        # A local function travels as code, so the workers need no copy of this package.
+        for batch in batches:
+            yield batch.drop_duplicates("trip_id")
 
-def assemble_by_join(
-    partials: dict[str, DataFrame], within: str = "1 hour", salts: int = SALTS
-) -> DataFrame:
+    thinned = partials.mapInPandas(thin, partials.schema)
+    return thinned.withWatermark("arrival", within).dropDuplicatesWithinWatermark(["trip_id"])
+
+
+def assemble_by_join(partials: dict[str, DataFrame], within: str = "1 hour") -> DataFrame:
     """Join the parts of an id whose arrivals are at most ``within`` of the first role's.
 
     Repeated parts are dropped first, so an id never multiplies. State is bounded: a part
@@ -60,10 +61,10 @@ def assemble_by_join(
     slowest shard, or use ``assemble_by_latest``, which waits for ever.
     """
     first, *others = PARTIAL_FIELDS
-    joined = drop_repeats(partials[first], within, salts)
+    joined = drop_repeats(partials[first], within)
     margin = F.expr(f"interval {within}")
     for role in others:
-        right = drop_repeats(partials[role], within, salts).withColumnsRenamed(
+        right = drop_repeats(partials[role], within).withColumnsRenamed(
             {"trip_id": "right_id", "arrival": "right_arrival"}
         )
         near = F.col("right_arrival").between(F.col("arrival") - margin, F.col("arrival") + margin)

@@ -199,7 +199,7 @@ def test_join_assembles_each_complete_id_once(spark, parts):
     }
     with disk_backed_state(spark, 2):
         query = sinks.start_writer(
-            assembly.assemble_by_join(partials, salts=2).writeStream.format("parquet").option("path", f"{folder}/out"),
+            assembly.assemble_by_join(partials).writeStream.format("parquet").option("path", f"{folder}/out"),
             f"{folder}/checkpoint",
             "available",
         )
