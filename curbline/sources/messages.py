@@ -52,6 +52,7 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
+    path = path.rstrip("/")
     if not any(mark in path for mark in "*?[{"):
         # The source takes a folder or a pattern; as a pattern, the path may be a file too.
         path = f"{path[:-1]}[{path[-1]}]"

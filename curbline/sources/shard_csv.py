@@ -33,6 +33,21 @@ def read_shard_csv(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
+def stream_shard_csv(
+    spark: SparkSession, path: str, role: str, max_files: int | None = None
+) -> DataFrame:
+    """One shard as a stream of CSV files, at most ``max_files`` per micro-batch."""
+    reader = (
+        spark.readStream.schema(shard_schema(role))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+    )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(f"{path}/{role}")
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """The merged trips as written: five columns of a Parquet table."""
     return spark.read.parquet(path).select(
