@@ -19,13 +19,20 @@ def start_trip_queries(
     run: str,
     zone: str = SOURCE_ZONE,
     trigger: str = TRIGGER,
+    date_scoped: bool = False,
 ) -> list[StreamingQuery]:
     """One transformed stream into two sinks, each with its own checkpoint."""
     trips = transform_messages(messages, zone)
     return [
         write_parquet_stream(trips, lake_path, f"{checkpoint_root}/lake", trigger),
         write_staging_stream(
-            trips, staging_path, metrics_path, f"{checkpoint_root}/staging", run, trigger
+            trips,
+            staging_path,
+            metrics_path,
+            f"{checkpoint_root}/staging",
+            run,
+            trigger,
+            date_scoped,
         ),
     ]
 
