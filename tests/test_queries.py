@@ -4,8 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES = contract.queries()
+from curbline.oracle import ORACLE
+from curbline.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,13 +20,13 @@ def normal(rows):
 
 
 def test_every_query_has_a_check():
-    assert set(contract.oracle_sql()) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, testdata, database, name):
     frame = QUERIES[name](spark, testdata)
-    expected = database.sql(contract.oracle_sql()[name])
+    expected = database.sql(ORACLE[name])
     columns = sorted(frame.columns)
     assert columns == sorted(expected.columns)
     types = dict(zip(expected.columns, map(str, expected.types)))
