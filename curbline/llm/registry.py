@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curbline.llm.mixing import OP10_SQL, op10_mixing
+from curbline.llm.packing import op8_packing
 
-QUERIES = {"op10_mixing": op10_mixing}
+QUERIES = {"op8_packing": op8_packing, "op10_mixing": op10_mixing}
 ORACLE = {"op10_mixing": OP10_SQL}
