@@ -5,6 +5,16 @@ from __future__ import annotations
 from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.packing import op8_packing
+from curbline.llm.warc import OP1_SQL, op1_warc
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op8_packing": op8_packing, "op10_mixing": op10_mixing}
-ORACLE = {"op2_exact_dedup": OP2_SQL, "op10_mixing": OP10_SQL}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op8_packing": op8_packing,
+    "op10_mixing": op10_mixing,
+}
+ORACLE = {
+    "op1_warc": OP1_SQL,
+    "op2_exact_dedup": OP2_SQL,
+    "op10_mixing": OP10_SQL,
+}
