@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from curbline.llm.language import op7_language
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.packing import op8_packing
 from curbline.llm.warc import OP1_SQL, op1_warc
@@ -10,6 +11,7 @@ from curbline.llm.warc import OP1_SQL, op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op10_mixing": op10_mixing,
 }
