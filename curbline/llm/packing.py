@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import small_batches, strings
-from curbline.llm.tokens import word_encoder
+from curbline.llm.tokens import part_encoder
 
 LONGEST = 2048
 END_ID = 1
@@ -56,7 +56,7 @@ def decompose(
     path = tokenizer_path or vocabulary()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
+        encoder = part_encoder(path)
         for whole in batches:
             for batch in small_batches(whole, "text", BATCH_BYTES):
                 ids, ends = encoder.encode(strings(batch["text"]))
