@@ -14,9 +14,9 @@ KEPT_PARTS = 400_000
 KEPT_IDS = 4_000_000
 #: Characters of Latin scripts whose normal and lower-case forms are plain, and common white space. Words with
 #: any other are not parted here but go through the whole tokenizer.
-ODD = re.compile(r"[^ \t\r\n!-~¡-¬®-įı-ȹȻ-ȽȿɁ-ɏ]")
+ODD = re.compile(r"[^ \t\r\n!-~¡-¬®-įı-ſ]")
 #: Fixed value: how the vocabulary ``word_bpe_49k.json`` parts a text in lower case, for those characters.
-LETTER, NUMBER = "a-zªµºß-öø-ɏ", "0-9²³¹¼-¾"
+LETTER, NUMBER = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
 PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\s{LETTER}{NUMBER}]+")
 #: Stands before a whole word among the parts.
 WHOLE = "\0"

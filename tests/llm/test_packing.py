@@ -44,6 +44,20 @@ def test_ids_are_those_of_the_whole_text(spark):
     assert all(row.doc_tokens == len(whole(TEXTS[row.doc_id])) for row in rows)
 
 
+def test_ids_of_random_words(spark, monkeypatch):
+    import random
+
+    from curbline.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_PARTS", 300)
+    monkeypatch.setattr(tokens, "KEPT_IDS", 900)
+    encoder, draw = tokens.PartEncoder(packing.vocabulary()), random.Random(1)
+    letters = [*map(chr, range(0x21, 0x260)), *(["'s", "\t", "\n", " \r", "\x1c", "\xa0", "<|endoftext|>", "'LL"] * 20)]
+    for _ in range(3000):
+        text = "".join(draw.choices(letters, k=draw.randint(1, 12)))
+        assert encoder.encode([text])[0].tolist() + [1] == whole(text), text
+
+
 def test_sequences_are_single_powers_of_two(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     rows = packing.pack(docs).collect()
