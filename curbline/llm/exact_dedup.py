@@ -186,19 +186,32 @@ def mark_duplicates(docs: DataFrame, points=POINTS, prime: int = PRIME) -> DataF
     )
 
 
+def rows_named(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``doc_id, text_hash`` of ``names``, all columns.
+
+    Rows that repeat both are reduced by a minimum, which is taken before the shuffle.
+    """
+    wanted = names.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    wanted = wanted.groupBy("id", "hash").agg(F.lit(1).alias("one"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text_hash = F.xxhash64(F.coalesce("row.text", F.lit("")))
+    slim = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    counts = slim.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    repeats = cut(counts.filter("rows > 1").select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h")), "repeats")
+    found = whole.withColumn("text_hash", text_hash).join(
+        wanted, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    )
+    if repeats.isEmpty():
+        return found.select("row.*")
+    marked = found.join(repeats, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left")
+    once = marked.filter("h is null").select("row")
+    repeated = marked.filter("h is not null").groupBy("id", "hash")
+    return once.unionByName(repeated.agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")).select("row.*")
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns, one row for each different text."""
-    kept = mark_duplicates(docs).filter("kept")
-    stays = kept.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(F.count("*").alias("rows"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("text_hash")
-    )
-    found = whole.join(stays, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
-    once = found.filter("rows = 1").select("row")
-    repeated = (
-        found.filter("rows > 1").groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
-    )
-    return once.unionByName(repeated).select("row.*")
+    return rows_named(docs, mark_duplicates(docs).filter("kept"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from curbline.llm.jaccard import OP9_SQL, op9_jaccard
 from curbline.llm.language import op7_language
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.packing import op8_packing
@@ -13,10 +14,12 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
+    "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op9_jaccard": OP9_SQL,
     "op10_mixing": OP10_SQL,
 }
