@@ -1,4 +1,6 @@
+import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -6,11 +8,15 @@ import pytest
 from curbline.llm import packing
 
 
-def whole(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(packing.vocabulary())
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(packing.vocabulary())
+
+
+def whole(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 TEXTS = [
@@ -45,8 +51,6 @@ def test_ids_are_those_of_the_whole_text(spark):
 
 
 def test_ids_of_random_words(spark, monkeypatch):
-    import random
-
     from curbline.llm import tokens
 
     monkeypatch.setattr(tokens, "KEPT_PARTS", 300)
