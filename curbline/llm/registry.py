@@ -6,12 +6,14 @@ from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from curbline.llm.jaccard import OP9_SQL, op9_jaccard
 from curbline.llm.language import op7_language
 from curbline.llm.mixing import OP10_SQL, op10_mixing
+from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
 from curbline.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_nn_descent": op3_nn_descent,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,
@@ -20,6 +22,7 @@ QUERIES = {
 ORACLE = {
     "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op3_nn_descent": OP3_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_mixing": OP10_SQL,
 }
