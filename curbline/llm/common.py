@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from curbline.session import work_dir
 
@@ -53,6 +54,27 @@ def small_batches(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterat
         yield batch.slice(start)
 
 
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """Whether a row is in the fold that is not learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def sample_per_label(labelled: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each label, those whose ``doc_id`` hashes lowest.
+
+    Labels are counted first, so that only about as many rows as are wanted are sorted.
+    """
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    sizes = labelled.groupBy(label).agg(F.count("*").alias("n")).collect()
+    share = F.lit(0)
+    for row in sizes:
+        bound = int((1 << 30) * min(1.0, (1.2 * most + 200) / row["n"]))
+        share = F.when(F.col(label) == row[label], bound).otherwise(share)
+    order = Window.partitionBy(label).orderBy(hashed, "doc_id", F.xxhash64(*labelled.columns))
+    few = labelled.filter(hashed < share)
+    return few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
+
+
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """``node, component`` (its smallest node) for undirected ``a, b`` edges.
 

@@ -8,12 +8,14 @@ from curbline.llm.language import op7_language
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
+from curbline.llm.toxicity import op5_toxicity
 from curbline.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_nn_descent": op3_nn_descent,
+    "op5_toxicity": op5_toxicity,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from curbline.llm import language
+from curbline.llm import common, language
 
 TEXTS = {
     "en": "the house and the tree are with the other thing that she was thinking of then",
@@ -106,8 +106,8 @@ def test_no_labelled_row(spark, docs):
 def test_sample_is_bounded_and_repeatable(spark):
     rows = [(n, "t", "a" if n % 10 else "b") for n in range(5000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    first = sorted(r.doc_id for r in language.sample_per_label(frame, "lang", 300).collect())
-    again = sorted(r.doc_id for r in language.sample_per_label(frame.repartition(9), "lang", 300).collect())
+    first = sorted(r.doc_id for r in common.sample_per_label(frame, "lang", 300).collect())
+    again = sorted(r.doc_id for r in common.sample_per_label(frame.repartition(9), "lang", 300).collect())
     assert first == again and len(first) == 600
 
 
