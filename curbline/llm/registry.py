@@ -5,6 +5,7 @@ from __future__ import annotations
 from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from curbline.llm.jaccard import OP9_SQL, op9_jaccard
 from curbline.llm.language import op7_language
+from curbline.llm.licenses import op4_licenses
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_nn_descent": op3_nn_descent,
+    "op4_licenses": op4_licenses,
     "op5_toxicity": op5_toxicity,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
