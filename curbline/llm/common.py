@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,7 +44,7 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
 
 def small_batches(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts together take about ``most_bytes``, or hold one row."""
-    lengths = pa.compute.binary_length(batch[column]).fill_null(0).to_pylist()
+    lengths = pc.binary_length(batch[column]).fill_null(0).to_pylist()
     start, taken = 0, 0
     for row, length in enumerate(lengths):
         if row > start and taken + length > most_bytes:

@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -60,7 +60,7 @@ SLACK = 1e-4
 def unit_rows(vectors: pa.Array) -> pa.Array:
     """Vectors at length 1 as doubles, or null where one has no direction."""
     out: list[np.ndarray | None] = [None] * len(vectors)
-    lengths = pa.compute.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
     for dim in np.unique(lengths[lengths > 0]).tolist():
         rows = np.flatnonzero(lengths == dim)
         flat = vectors.take(pa.array(rows)).flatten().cast(pa.float64()).fill_null(np.nan)

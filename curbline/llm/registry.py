@@ -9,6 +9,7 @@ from curbline.llm.licenses import op4_licenses
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
+from curbline.llm.quotes import OP6_SQL, op6_quotes
 from curbline.llm.toxicity import op5_toxicity
 from curbline.llm.warc import OP1_SQL, op1_warc
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_nn_descent": op3_nn_descent,
     "op4_licenses": op4_licenses,
     "op5_toxicity": op5_toxicity,
+    "op6_quotes": op6_quotes,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,
@@ -27,6 +29,7 @@ ORACLE = {
     "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op3_nn_descent": OP3_SQL,
+    "op6_quotes": OP6_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_mixing": OP10_SQL,
 }
