@@ -4,18 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curbline.llm import exact_dedup, jaccard, language, mixing, packing
 from curbline.llm.common import cut
-from curbline.llm.mixing import mix_sources
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without letters and those whose language is no likelier than the others together."""
+    return language.keep_identified(docs, language.fit(language.learned(docs)))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the row with the largest doc_id of equal texts."""
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group that shingles of ``words`` words link at ``least`` hundredths."""
+    return jaccard.keep_one(docs, words=5, least=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mix the sources to their target weights; a document comes as often as it is drawn."""
-    return mix_sources(docs)
+    return mixing.mix_sources(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of power-of-two length, a sequence each."""
+    return packing.pack(docs)
 
 
-STAGES = [("mixing", mix)]
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-#: The language model and the tokenizer of the stages cannot be put in SQL.
+#: A trained language model and a tokenizer cannot be put in SQL.
 ORACLE_SQL = None
 
 
