@@ -246,9 +246,10 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
         lines(F.col("text")), lambda line, place: F.struct(place.alias("paragraph"), line.alias("line"))
     )
     anchored = F.when(F.col("text").rlike(pattern), F.filter(numbered, lambda own: own["line"].rlike(pattern)))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.explode_outer(anchored).alias("own")
-    ).select("row", "doc_id", "own.paragraph", "own.line")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", anchored.alias("lines"))
+    rows = rows.select("row", "doc_id", F.explode_outer("lines").alias("own")).select(
+        "row", "doc_id", "own.paragraph", "own.line"
+    )
     rows = cut(rows, "licence-paragraphs")
     found = rows.filter("line is not null").select("row", "paragraph", words(F.col("line")).alias("tokens"))
     grams = found.select("row", "paragraph", "tokens", features(F.col("tokens"), model["anchors"]).alias("grams"))
