@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curbline.functions import clock
 from curbline.operators.once import unpack_once
 from curbline.schema import (
+    EVENT_COLUMNS,
     EVENT_SCHEMA,
     LATITUDE_RANGE,
     LONGITUDE_RANGE,
@@ -21,11 +22,10 @@ def decode_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return unpack_once(messages, F.from_json(F.col("value").cast("string"), EVENT_SCHEMA), keep)
 
 
-def is_valid_event() -> Column:
-    """A base of blanks only passes here: it is the producer that trims."""
+def _valid_fields() -> Column:
+    """All conditions but that on the time; a base of blanks only passes: it is the producer that trims."""
     return (
         F.col("trip_id").isNotNull()
-        & F.col("event_timestamp").isNotNull()
         & F.col("pickup_latitude").between(*LATITUDE_RANGE)
         & F.col("pickup_longitude").between(*LONGITUDE_RANGE)
         & F.col("base").isNotNull()
@@ -33,14 +33,41 @@ def is_valid_event() -> Column:
     )
 
 
-def valid_events(events: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
-    """Wire events with the timestamp parsed to an instant, invalid ones left out."""
-    instant = clock.parse_instant(F.col("event_timestamp"), zone).alias("event_timestamp")
-    parsed = F.struct("trip_id", instant, "pickup_latitude", "pickup_longitude", "base")
-    return unpack_once(events, parsed).where(is_valid_event())
+def is_valid_event() -> Column:
+    return _valid_fields() & F.col("event_timestamp").isNotNull()
+
+
+def valid_events(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Wire events with the timestamp parsed to an instant, invalid ones left out.
+
+    Only the time stands behind the fence that keeps filters from repeating its parsing; the
+    other conditions come first and reach a scan.
+    """
+    instant = F.struct(clock.parse_instant(F.col("event_timestamp"), zone).alias("instant"))
+    others = ("trip_id", "pickup_latitude", "pickup_longitude", "base", *keep)
+    parsed = unpack_once(events.where(_valid_fields()), instant, others)
+    fields = [F.col("instant").alias(n) if n == "event_timestamp" else F.col(n) for n in EVENT_COLUMNS]
+    return parsed.where(F.col("instant").isNotNull()).select(*fields, *keep)
 
 
-def add_calendar(events: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
+def rejected_messages(messages: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
+    """``value`` and ``reason`` of each message that ``transform_messages`` leaves out."""
+    fields = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    decoded = unpack_once(messages, fields, ("value",))
+    instant = clock.parse_instant(F.col("event_timestamp"), zone)
+    parsed = unpack_once(decoded, F.struct(instant.alias("instant")), ("value", *EVENT_COLUMNS))
+    reason = F.concat_ws(
+        ", ",
+        F.when(F.col("trip_id").isNull(), "no id"),
+        F.when(F.col("instant").isNull(), "bad time"),
+        F.when(~F.coalesce(F.col("pickup_latitude").between(*LATITUDE_RANGE), F.lit(False)), "bad latitude"),
+        F.when(~F.coalesce(F.col("pickup_longitude").between(*LONGITUDE_RANGE), F.lit(False)), "bad longitude"),
+        F.when(F.coalesce("base", F.lit("")) == "", "no base"),
+    )
+    return parsed.select(F.col("value").cast("string").alias("value"), reason.alias("reason")).where("reason != ''")
+
+
+def add_calendar(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:
     """Date, hour and ISO weekday of the pickup on the clocks of ``zone``."""
     local = F.col("local_time")
     return (
@@ -48,10 +75,22 @@ def add_calendar(events: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
         .withColumn("trip_date", F.to_date(local))
         .withColumn("pickup_hour", F.hour(local))
         .withColumn("day_of_week", clock.iso_weekday(local))
-        .select(*STAGING_COLUMNS)
+        .select(*STAGING_COLUMNS, *keep)
     )
 
 
-def transform_messages(messages: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
-    """Decode, validate, enrich."""
-    return add_calendar(valid_events(decode_events(messages), zone), zone)
+def arrival_of(messages: DataFrame) -> DataFrame:
+    """Adds ``arrival``: when and where a message came in, as far as the source tells.
+
+    A bus gives time, partition and offset; a message without any has an arrival of null.
+    """
+    known = [c for c in ("timestamp", "partition", "offset") if c in messages.columns]
+    arrival = F.struct(*known) if known else F.lit(None).cast("timestamp")
+    return messages.withColumn("arrival", arrival)
+
+
+def transform_messages(
+    messages: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Decode, validate, enrich; ``keep`` names columns of the messages to carry along."""
+    return add_calendar(valid_events(decode_events(messages, keep), zone, keep), zone, keep)

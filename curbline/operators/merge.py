@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many ids (some 30 bytes each) a batch is sent to every executor.
-BROADCAST_IDS = 500_000
-
-
 def one_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataFrame:
     """One row per key: the first by ``order``, then by all other columns.
 
@@ -28,22 +24,16 @@ def one_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataF
 
 
 def insert_absent(
-    batch: DataFrame,
-    existing: DataFrame,
-    key: str = "trip_id",
-    batch_rows: int | None = None,
-    order: tuple[str, ...] = (),
+    batch: DataFrame, existing: DataFrame, key: str = "trip_id", order: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing``, one per key.
+    """Rows of ``batch`` whose key is not in ``existing``, one per key, the first by ``order``.
 
-    With a small counted batch its ids travel to the big table, whose keys are then
-    filtered where they lie instead of being shuffled.
+    The stored keys are reduced to those of the batch first. Where the batch's keys are few
+    by their measured size, the planner sends them to the table instead of moving its keys.
     """
-    fresh = one_per_key(batch, key, order)
-    taken = existing.select(key)
-    if batch_rows is not None and batch_rows <= BROADCAST_IDS:
-        taken = taken.join(F.broadcast(batch.select(key)), key, "left_semi")
-    return fresh.join(taken, key, "left_anti")
+    keys = batch.select(key).distinct()
+    taken = existing.select(key).join(keys, key, "left_semi")
+    return one_per_key(batch, key, order).join(taken, key, "left_anti")
 
 
 def upsert_latest(

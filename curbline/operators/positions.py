@@ -45,9 +45,15 @@ def with_position(
 def take_range(
     rows: DataFrame, skip: int = 0, limit: int | None = None, order: str = "row_number"
 ) -> DataFrame:
-    """Rows after the first ``skip``, at most ``limit`` of them; 0 or None means all."""
+    """Rows after the first ``skip``, at most ``limit`` of them; 0 or None means all.
+
+    The first rows alone are a top-N: one scan, and only ``limit`` rows are ever ordered together.
+    """
     if skip < 0 or (limit is not None and limit < 0):
         raise ValueError("skip and limit must not be negative")
+    if limit and not skip:
+        first = rows.orderBy(order).limit(limit)
+        return first.withColumn("position", F.row_number().over(Window.orderBy(order)).cast("bigint"))
     return with_position(rows, order, skip, skip + limit if limit else None)
 
 

@@ -78,6 +78,23 @@ def parse_shard(
     return unpack_once(stripped, parsed, keep).withColumn("is_valid", valid)
 
 
+# What is wrong with a row that a role refuses, by the field to blame.
+_REASONS = {"datetime": "bad time", "latitude": "bad latitude"}
+
+
+def rejected_shard_rows(role: str, shard: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
+    """``trip_id`` and ``reason`` of the rows of one shard that its checks refuse."""
+    refused = parse_shard(role, shard, zone).where(~F.col("is_valid"))
+    no_id = F.coalesce(F.col("trip_id"), F.lit("")) == ""
+    if role == "longitude_base":
+        far = ~F.coalesce(F.col("pickup_longitude").between(*LONGITUDE_RANGE), F.lit(False))
+        wrong = F.when(far, "bad longitude").otherwise("no base")
+    else:
+        wrong = F.lit(_REASONS[role])
+    reason = F.when(no_id, "no id").otherwise(wrong)
+    return refused.select("trip_id", reason.alias("reason"))
+
+
 def _valid_rows(role: str, shard: DataFrame, zone: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return parse_shard(role, shard, zone, keep).where("is_valid").drop("is_valid")
 

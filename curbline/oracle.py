@@ -150,12 +150,10 @@ ORACLE["shard_reconciliation"] = _with(
 
 # Messages
 
-ORACLE["kafka_payload"] = _with(
-    _RAW,
-    """select trip_id as key, '{"trip_id":"' || trip_id || '","event_timestamp":"' ||
-         event_timestamp || '","pickup_latitude":' || pickup_latitude || ',"pickup_longitude":' ||
-         pickup_longitude || ',"base":"' || base || '"}' as value from wire""",
-)
+_VALUE = """'{"trip_id":"' || trip_id || '","event_timestamp":"' || event_timestamp ||
+         '","pickup_latitude":' || pickup_latitude || ',"pickup_longitude":' || pickup_longitude ||
+         ',"base":"' || base || '"}'"""
+ORACLE["kafka_payload"] = _with(_RAW, f"select trip_id as key, {_VALUE} as value from wire")
 ORACLE["json_roundtrip"] = _with(_RAW, f"select {_EVENT} from wire")
 ORACLE["jsonl_export"] = ORACLE["canonical_events"]
 ORACLE["stream_valid_events"] = ORACLE["canonical_events"]
@@ -202,27 +200,28 @@ _CELLS = _FACT + ", " + _counted("latitude_grid, longitude_grid", "1, 2")
 ORACLE["geo_grid"] = _with(
     _CELLS, f"select latitude_grid, longitude_grid, trip_count, {_SHARE}, {_RANK} from c"
 )
-_SIDES = (
+# Grouping sets hold the counts by date, hour and base side by side; every figure is an
+# aggregate over the rows of its set.
+ORACLE["kpis"] = _with(
     _FACT
     + """,
-d as (select trip_date, count(*) as n from fact group by 1),
-h as (select pickup_hour, count(*) as n from fact group by 1),
-b as (select base, count(*) as n from fact group by 1)
-"""
-)
-ORACLE["kpis"] = _with(
-    _SIDES,
-    f"""select (select count(*) from fact) as total_trips,
-          (select count(distinct base) from fact) as active_bases,
-          (select count(*) from d) as unique_dates, (select count(*) from h) as unique_hours,
-          (select {_ratio("sum(n)", "count(*)", 1)} from d) as avg_daily_trips,
-          (select quantile_cont(n, 0.5)::double from d) as median_daily_trips,
-          (select pickup_hour from h order by n desc, pickup_hour limit 1) as busiest_hour,
-          (select pickup_hour from h order by n, pickup_hour limit 1) as quietest_hour,
-          (select base from b order by n desc, base limit 1) as top_base,
-          (select n from b order by n desc, base limit 1) as top_base_trips,
-          (select count(*) from fact where is_peak_hour) as peak_trips,
-          (select count(*) from fact where is_weekend) as weekend_trips""",
+counts as (
+  select grouping_id(trip_date, pickup_hour, base) as level, trip_date, pickup_hour, base, count(*) as n,
+    count(*) filter (is_peak_hour) as peak, count(*) filter (is_weekend) as weekend
+  from fact group by grouping sets ((trip_date), (pickup_hour), (base)))
+""",
+    f"""select coalesce(sum(n) filter (level = 3), 0)::bigint as total_trips,
+          count(*) filter (level = 6 and base is not null) as active_bases,
+          count(*) filter (level = 3) as unique_dates, count(*) filter (level = 5) as unique_hours,
+          {_ratio("(sum(n) filter (level = 3))", "(count(*) filter (level = 3))", 1)} as avg_daily_trips,
+          (median(n) filter (level = 3))::double as median_daily_trips,
+          arg_max(pickup_hour, n * 100 - pickup_hour) filter (level = 5) as busiest_hour,
+          arg_min(pickup_hour, n * 100 + pickup_hour) filter (level = 5) as quietest_hour,
+          (min({{'least': -n, 'base': base}}) filter (level = 6)).base as top_base,
+          max(n) filter (level = 6) as top_base_trips,
+          coalesce(sum(peak) filter (level = 3), 0)::bigint as peak_trips,
+          coalesce(sum(weekend) filter (level = 3), 0)::bigint as weekend_trips
+       from counts""",
 )
 _MODEL_KEYS = {
     "trips_by_date": "trip_date",
@@ -269,6 +268,9 @@ ORACLE["kpi_ratios"] = _with(
          as weekend_share from fact""",
 )
 ORACLE["serving_tables"] = ORACLE["trips_by_base"]
+for _model in (*_MODEL_KEYS, "kpis"):
+    ORACLE[f"serving_{_model}"] = ORACLE[_model]
+ORACLE["serving_trip_fact"] = ORACLE["fct_trips"]
 
 # Streams
 
@@ -280,18 +282,21 @@ ORACLE["stream_replay_merge"] = _with(
     """select trip_date, count(*) as trip_count, min(trip_id) as first_id, max(trip_id) as last_id
        from fact group by trip_date""",
 )
-ORACLE["stream_batch_metrics"] = _with(
-    _RAW,
-    "select 'first' as run, 0::bigint as batch_id, count(*) as records_received from wire where ok",
+ORACLE["stream_first_trip_stays"] = ORACLE["stream_enriched"]
+_BATCHES = (
+    _RAW
+    + """, sizes as (select ((row_number - 1) % 12)::bigint as batch_id, count(*) as records_received
+         from wire where ok group by 1)"""
 )
+ORACLE["stream_batch_metrics"] = _with(_BATCHES, "select * from sizes")
+ORACLE["recent_batches"] = _with(_BATCHES, "select * from sizes order by batch_id desc limit 10")
 ORACLE["stream_health"] = _with(
-    _RAW,
-    """select 0::bigint as latest_batch, count(*) as latest_batch_size,
-         1::bigint as batches_recorded from wire where ok""",
+    _BATCHES,
+    """select max(batch_id) as latest_batch, arg_max(records_received, batch_id) as latest_batch_size,
+         least(count(*), 10)::bigint as batches_recorded from sizes""",
 )
 ORACLE["stream_two_sinks"] = _with(
-    _BY_DATE,
-    """select sink, trip_date, trip_count from c, (values ('lake'), ('staging')) as s(sink)""",
+    _FACT, f"select sink, {_STAGED} from fact, (values ('lake'), ('staging')) as s(sink)"
 )
 ORACLE["metrics_upsert"] = _with(
     _FACT,
@@ -300,7 +305,39 @@ ORACLE["metrics_upsert"] = _with(
               then count(*) filter (ok and pickup_hour >= 12) else count(*) end as records_received
        from rich group by trip_date""",
 )
-ORACLE["stream_assembly_join"] = ORACLE["shard_join"]
+ORACLE["stream_assembly_join"] = _with(
+    _RAW, f"select {_EVENT} from wire where ok and (row_number - 1) % 7 = 0"
+)
+ORACLE["stream_assembly_rejects"] = _with(
+    _RAW
+    + """, parts as (
+      select row_number - 1 as e, trip_id, true as has_datetime, lat <= 90 as good, base <> '' as named
+      from typed)""",
+    """select trip_id, true as has_datetime, e % 7 <> 0 and good as has_latitude, named as has_longitude_base
+         from parts where not (e % 7 <> 0 and good and named)
+       union all select trip_id, e % 11 = 0, e % 7 = 0 and good, false
+         from parts where e % 11 = 0 or (e % 7 = 0 and good)""",
+)
+ORACLE["partial_payloads"] = _with(
+    _RAW,
+    """select 'datetime' as role, trip_id as key, '{"trip_id":"' || trip_id || '","event_timestamp":"' ||
+         event_timestamp || '"}' as value from wire
+       union all select 'latitude', trip_id, '{"trip_id":"' || trip_id || '","pickup_latitude":' ||
+         pickup_latitude || '}' from wire where pickup_latitude <= 90
+       union all select 'longitude_base', trip_id, '{"trip_id":"' || trip_id ||
+         '","pickup_longitude":' || pickup_longitude || ',"base":"' || base || '"}' from wire where base <> ''""",
+)
+ORACLE["shard_rejects"] = _with(
+    _RAW,
+    """select 'latitude' as role, trip_id, 'bad latitude' as reason from wire where pickup_latitude > 90
+       union all select 'longitude_base', trip_id, 'no base' from wire where base = ''""",
+)
+ORACLE["stream_rejects"] = _with(
+    _RAW,
+    f"""select {_VALUE} as value, concat_ws(', ', case when pickup_latitude > 90 then 'bad latitude' end,
+         case when base = '' then 'no base' end) as reason
+       from wire where not ok""",
+)
 ORACLE["stream_assembly_agg"] = ORACLE["stream_enriched"]
 
 # Data quality

@@ -47,7 +47,7 @@ def build_models(
     out: str,
     zone: str = SOURCE_ZONE,
     view: str = "stg_trips",
-    gather_dates: bool = False,
+    gather_dates: bool = True,
 ) -> None:
     """Rebuild all models under the folder ``out``.
 
@@ -56,8 +56,8 @@ def build_models(
     two small tables, read back from storage so that a lost executor costs no rescan.
 
     ``gather_dates`` brings the rows of a date together before the write, large dates split
-    and small ones packed. It shuffles the fact: use it where the source is in no date
-    order, as every task would else write a file per date.
+    and small ones packed, so that not every task writes a file per date. It shuffles the
+    fact: turn it off where the source lies in date order.
     """
     spark = source.sparkSession
     staging = trips.staging_trips(source, zone)

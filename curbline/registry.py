@@ -8,7 +8,7 @@ values compare across engines and session time zones.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +81,37 @@ def _message_stream(spark: SparkSession, sf_dir: str, **limits: int) -> DataFram
     return messages.message_payload(event_table.wire_events(events))
 
 
+MESSAGE = "key string, value string, timestamp timestamp"
+# Files, and so micro-batches, that the table is sent in.
+SLICES = 12
+
+
+def _inbox(parts: list[DataFrame], folder: str) -> str:
+    """One file per part, in this order: with one file at a time, a part is a micro-batch."""
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/{number:03d}")
+    return f"{folder}/*"
+
+
+def _sliced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The messages in slices by event id, each a minute later than the one before."""
+    events = event_table.read_events(spark, sf_dir)
+    return [
+        messages.message_payload(
+            event_table.wire_events(events.where(F.col("event_id") % SLICES == number)).withColumn(
+                "timestamp", F.timestamp_seconds(F.lit(1_400_000_000 + 60 * number))
+            ),
+            keep=("timestamp",),
+        )
+        for number in range(SLICES)
+    ]
+
+
+def _slice_stream(spark: SparkSession, sf_dir: str, folder: str, max_files: int = 1) -> DataFrame:
+    path = _inbox(_sliced(spark, sf_dir), f"{folder}/inbox")
+    return messages.file_stream(spark, path, MESSAGE, max_files=max_files)
+
+
 # Ingest
 
 
@@ -373,12 +404,34 @@ def kpi_ratios(spark, sf_dir):
     return serving.kpi_ratios(aggregates.kpis(_fact(spark, sf_dir)))
 
 
-@query
-def serving_tables(spark, sf_dir):
-    """The base ranking as a dashboard reads it: a built table in display order."""
+@lru_cache(maxsize=4)
+def _built(application: str, sf_dir: str) -> str:
+    """The folder of the models, built once per session for all reads of them."""
+    spark = SparkSession.active()
     folder = work_dir(spark, "serving")
     models.build_models(_source(spark, sf_dir), folder, view="stg_trips_serving")
-    return comparable(serving.serving_table(spark, folder, "trips_by_base"))
+    return folder
+
+
+def _serving_read(name: str) -> Query:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _built(spark.sparkContext.applicationId, sf_dir)
+        return comparable(serving.serving_table(spark, folder, name))
+
+    read.__doc__ = f"The model {name} as a dashboard reads it: built, in display order."
+    return read
+
+
+QUERIES["serving_tables"] = _serving_read("trips_by_base")
+for _name in models.AGGREGATES:
+    QUERIES[f"serving_{_name}"] = _serving_read(_name)
+
+
+@query
+def serving_trip_fact(spark, sf_dir):
+    """All columns of the fact as built."""
+    folder = _built(spark.sparkContext.applicationId, sf_dir)
+    return comparable(models.read_model(spark, folder, "trip_fact"))
 
 
 # Streams
@@ -406,17 +459,14 @@ def rate_limited_stream(spark, sf_dir):
 
 
 def _merge_stream(
-    spark: SparkSession, messages_: DataFrame, folder: str, run: str, **options
+    spark: SparkSession, messages_: DataFrame, folder: str, checkpoint: str = "first", **options
 ) -> None:
-    """Ids here hash the date text, so an id fixes its date and the look-up can be scoped."""
     sinks.write_staging_stream(
-        enrich.transform_messages(messages_),
+        enrich.transform_messages(enrich.arrival_of(messages_), keep=("arrival",)),
         f"{folder}/staging",
         f"{folder}/metrics",
-        f"{folder}/checkpoint-{run}",
-        run,
+        f"{folder}/checkpoint-{checkpoint}",
         "available",
-        date_scoped=True,
         **options,
     ).awaitTermination()
 
@@ -428,16 +478,39 @@ def stream_idempotent_merge(spark, sf_dir):
     twice = _message_stream(spark, sf_dir).withColumn(
         "delivery", F.explode(F.array(F.lit(1), F.lit(2)))
     )
-    _merge_stream(spark, twice, folder, "first")
+    _merge_stream(spark, twice, folder)
+    return comparable(sinks.read_staging(spark, f"{folder}/staging"))
+
+
+@query
+def stream_first_trip_stays(spark, sf_dir):
+    """Ids come again with another base, in the same batch and later, and under another date:
+    the trip that arrived first is the one stored."""
+    folder = work_dir(spark, "moved")
+    wire = event_table.wire_events(event_table.read_events(spark, sf_dir)).where("base <> ''")
+
+    def sent(events: DataFrame, second: int) -> DataFrame:
+        at = F.timestamp_seconds(F.lit(1_400_000_000 + second))
+        return messages.message_payload(events.withColumn("timestamp", at), keep=("timestamp",))
+
+    renamed = wire.withColumn("base", F.lit("A0"))
+    moved = wire.withColumn("event_timestamp", F.lit("2030-01-01T12:00:00+00:00"))
+    parts = [sent(renamed, 1).unionByName(sent(wire, 0)), sent(moved, 60), sent(renamed, 120)]
+    path = _inbox(parts, f"{folder}/inbox")
+    stream = messages.file_stream(spark, path, MESSAGE, max_files=1)
+    _merge_stream(spark, stream, folder, compact_every=2)
     return comparable(sinks.read_staging(spark, f"{folder}/staging"))
 
 
 @query
 def stream_replay_merge(spark, sf_dir):
-    """The whole stream is read again from a fresh checkpoint; the table stays as it was."""
+    """The whole source is read twice, cut into other batches by a fresh checkpoint; the table
+    stays as it was."""
     folder = work_dir(spark, "replay")
-    for run in ("first", "again"):
-        _merge_stream(spark, _message_stream(spark, sf_dir), folder, run)
+    path = _inbox(_sliced(spark, sf_dir), f"{folder}/inbox")
+    for checkpoint, files in (("first", 5), ("again", 4)):
+        stream = messages.file_stream(spark, path, MESSAGE, max_files=files)
+        _merge_stream(spark, stream, folder, checkpoint)
     staging = sinks.read_staging(spark, f"{folder}/staging")
     return staging.groupBy("trip_date").agg(
         F.count(F.lit(1)).alias("trip_count"),
@@ -446,44 +519,48 @@ def stream_replay_merge(spark, sf_dir):
     )
 
 
+def _metrics(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """The metrics of a stream that takes the table in slices, folded along the way."""
+    folder = work_dir(spark, label)
+    _merge_stream(spark, _slice_stream(spark, sf_dir, folder), folder, compact_every=5)
+    return sinks.read_batch_metrics(spark, f"{folder}/metrics")
+
+
 @query
 def stream_batch_metrics(spark, sf_dir):
-    folder = work_dir(spark, "metrics")
-    _merge_stream(spark, _message_stream(spark, sf_dir), folder, "first")
-    metrics = sinks.read_batch_metrics(spark, f"{folder}/metrics")
-    return metrics.select("run", "batch_id", "records_received")
+    return _metrics(spark, sf_dir, "metrics").select("batch_id", "records_received")
 
 
 @query
 def stream_health(spark, sf_dir):
-    folder = work_dir(spark, "health")
-    _merge_stream(spark, _message_stream(spark, sf_dir), folder, "first")
-    health = serving.stream_health(sinks.read_batch_metrics(spark, f"{folder}/metrics"))
-    return health.drop("last_processed")
+    return serving.stream_health(_metrics(spark, sf_dir, "health")).drop("last_processed")
+
+
+@query
+def recent_batches(spark, sf_dir):
+    """The last ten of twelve batches, latest first."""
+    recent = serving.recent_batches(_metrics(spark, sf_dir, "recent"))
+    return recent.select("batch_id", "records_received")
 
 
 @query
 def stream_two_sinks(spark, sf_dir):
-    """One stream definition into lake and staging table; trips per date in each."""
+    """One stream definition into lake and staging table; the trips in each."""
     folder = work_dir(spark, "sinks")
     started = jobs.start_trip_queries(
-        _message_stream(spark, sf_dir),
+        _slice_stream(spark, sf_dir, folder, max_files=4),
         f"{folder}/lake",
         f"{folder}/staging",
         f"{folder}/metrics",
         f"{folder}/checkpoints",
-        "first",
         trigger="available",
-        date_scoped=True,
     )
     for running in started:
         running.awaitTermination()
-    lake = spark.read.parquet(f"{folder}/lake").select("trip_date", F.lit("lake").alias("sink"))
-    staging = sinks.read_staging(spark, f"{folder}/staging").select(
-        "trip_date", F.lit("staging").alias("sink")
-    )
-    both = lake.unionByName(staging)
-    return both.groupBy("sink", "trip_date").agg(F.count(F.lit(1)).alias("trip_count"))
+    staging = sinks.read_staging(spark, f"{folder}/staging")
+    lake = spark.read.parquet(f"{folder}/lake").select(*staging.columns)
+    named = [t.withColumn("sink", F.lit(n)) for n, t in (("lake", lake), ("staging", staging))]
+    return comparable(named[0].unionByName(named[1]))
 
 
 @query
@@ -507,60 +584,109 @@ def metrics_upsert(spark, sf_dir):
     return merged.select("batch_id", "records_received")
 
 
-def _partial_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Three topics of JSON partial events; a message arrives when its file does."""
-    arrival = ("timestamp",)
-    stream = _event_stream(spark, sf_dir).select(
-        "*", F.col("_metadata.file_modification_time").alias("timestamp")
-    )
-    split = shards.split_columns(event_table.raw_rows(stream, arrival), keep=arrival)
-    return {
-        role: messages.message_payload(
-            shards.partial_events(role, split[role], keep=arrival), ("trip_id", *fields), arrival
-        )
-        for role, fields in PARTIAL_FIELDS.items()
-    }
+def _assemble(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staging table, rejects and events completed from rejects, of parts that come in five files.
 
-
-@query
-def stream_assembly_join(spark, sf_dir):
+    Minutes after the first file: 0 the times, and the latitudes of every fifth id, wrong; 10 the
+    right latitudes of all but every seventh id; 20 longitudes and bases, and the times of every
+    third id again; 180 the late latitudes, and the times of every eleventh id again; 600 a
+    heartbeat, which lets the watermark pass all sessions.
+    """
     folder = work_dir(spark, "assembly")
-    partials = {
-        role: assembly.partials_of(assembly.decode_partials(topic), role)
-        for role, topic in _partial_messages(spark, sf_dir).items()
+    events = event_table.read_events(spark, sf_dir)
+    rows = event_table.raw_rows(events, ("event_id",))
+    split = shards.split_columns(rows, keep=("event_id",))
+    typed = {
+        role: shards.partial_events(role, split[role], keep=("event_id",)) for role in PARTIAL_FIELDS
     }
+
+    def sent(role: str, condition: str, minute: int, change: Column | None = None) -> DataFrame:
+        part = typed[role].where(condition)
+        if change is not None:
+            part = part.withColumn("pickup_latitude", change)
+        at = F.timestamp_seconds(F.lit(1_400_000_000 + 60 * minute))
+        fields = ("trip_id", *PARTIAL_FIELDS[role])
+        return messages.message_payload(part.withColumn("timestamp", at), fields, ("timestamp",))
+
+    heartbeat = spark.range(1).select(
+        F.lit("heartbeat").alias("key"),
+        F.lit('{"trip_id":"heartbeat"}').alias("value"),
+        F.timestamp_seconds(F.lit(1_400_000_000 + 60 * 600)).alias("timestamp"),
+    )
+    parts = [
+        sent("datetime", "true", 0).unionByName(
+            sent("latitude", "event_id % 5 = 0 and event_id % 7 <> 0", 0, F.lit(1.5))
+        ),
+        sent("latitude", "event_id % 7 <> 0", 10),
+        sent("longitude_base", "true", 20).unionByName(sent("datetime", "event_id % 3 = 0", 20)),
+        sent("latitude", "event_id % 7 = 0", 180).unionByName(
+            sent("datetime", "event_id % 11 = 0", 180)
+        ),
+        heartbeat,
+    ]
+    stream = messages.file_stream(spark, _inbox(parts, f"{folder}/inbox"), MESSAGE, max_files=1)
     with disk_backed_state(spark):
-        running = sinks.start_writer(
-            assembly.assemble_by_join(partials)
-            .writeStream.format("parquet")
-            .option("path", f"{folder}/events"),
+        running = assembly.write_assembly_stream(
+            assembly.decode_partials(stream),
+            f"{folder}/staging",
+            f"{folder}/metrics",
+            f"{folder}/rejects",
             f"{folder}/checkpoint",
-            "available",
+            trigger="available",
         )
     running.awaitTermination()
-    return spark.read.parquet(f"{folder}/events")
+    rejects = assembly.read_rejects(spark, f"{folder}/rejects")
+    staging = sinks.read_staging(spark, f"{folder}/staging")
+    return staging, rejects, assembly.complete_rejects(rejects)
 
 
 @query
 def stream_assembly_agg(spark, sf_dir):
-    """Assembled events, checked and merged into a staging table."""
-    folder = work_dir(spark, "assembly")
-    topics = _partial_messages(spark, sf_dir)
-    decoded = assembly.decode_partials(reduce(DataFrame.unionByName, topics.values()))
-    complete = assembly.assemble_by_latest(decoded)
-    with disk_backed_state(spark):
-        running = sinks.write_staging_stream(
-            enrich.add_calendar(enrich.valid_events(complete)),
-            f"{folder}/staging",
-            f"{folder}/metrics",
-            f"{folder}/checkpoint",
-            "first",
-            "available",
-            date_scoped=True,
-            output_mode="update",
-        )
-    running.awaitTermination()
-    return comparable(sinks.read_staging(spark, f"{folder}/staging"))
+    """Assembled trips: those complete in a session, and those completed from the rejects."""
+    staging, _, completed = _assemble(spark, sf_dir)
+    late = enrich.add_calendar(enrich.valid_events(completed))
+    return comparable(staging.unionByName(merge.insert_absent(late, staging)))
+
+
+@query
+def stream_assembly_join(spark, sf_dir):
+    """Wire events of the ids whose parts came more than a session apart."""
+    return _assemble(spark, sf_dir)[2]
+
+
+@query
+def stream_assembly_rejects(spark, sf_dir):
+    """Incomplete sessions with the fields that each has."""
+    _, rejects, _ = _assemble(spark, sf_dir)
+    held = [F.col(name).isNotNull().alias(f"has_{role}") for role, (name, *_) in PARTIAL_FIELDS.items()]
+    return rejects.select("trip_id", *held)
+
+
+@query
+def partial_payloads(spark, sf_dir):
+    """Key and value of each partial event, by role."""
+    payloads = [
+        messages.message_payload(part, ("trip_id", *PARTIAL_FIELDS[role])).withColumn("role", F.lit(role))
+        for role, part in _partials(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, payloads)
+
+
+@query
+def shard_rejects(spark, sf_dir):
+    """Shard rows that their role's checks refuse, with the reason."""
+    split = _split(spark, sf_dir)
+    refused = [
+        shards.rejected_shard_rows(role, split[role]).withColumn("role", F.lit(role))
+        for role in SHARD_COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, refused)
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Messages that the stream refuses, with the reason."""
+    return enrich.rejected_messages(_messages(spark, sf_dir))
 
 
 # Data quality, over rows that have not been filtered

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from curbline.schema import EVENT_COLUMNS
+from curbline.schema import EVENT_COLUMNS, TRIGGER
 
 
 def kafka_stream(
@@ -70,13 +71,34 @@ def message_payload(
     )
 
 
-def publish_kafka(events: DataFrame, bootstrap_servers: str, topic: str) -> None:
-    """Send a bounded set of events, keyed so that one trip stays in one topic partition."""
-    (
-        message_payload(events)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("kafka.acks", "all")
-        .option("topic", topic)
-        .save()
-    )
+def publish_kafka(
+    events: DataFrame, bootstrap_servers: str, topic: str, fields: tuple[str, ...] = EVENT_COLUMNS
+) -> None:
+    """Send a bounded set of events, keyed so that one trip stays in one topic partition.
+
+    ``fields`` are what a message holds: ``("trip_id", *PARTIAL_FIELDS[role])`` for partial events.
+    """
+    writer = message_payload(events, fields).write.format("kafka")
+    for key, value in _bus_options(bootstrap_servers, topic).items():
+        writer = writer.option(key, value)
+    writer.save()
+
+
+def publish_kafka_stream(
+    events: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint_path: str,
+    fields: tuple[str, ...] = EVENT_COLUMNS,
+    trigger: str = TRIGGER,
+) -> StreamingQuery:
+    """Send a stream of events, such as assembled ones, with the same keys and payload."""
+    writer = message_payload(events, fields).writeStream.format("kafka")
+    for key, value in _bus_options(bootstrap_servers, topic).items():
+        writer = writer.option(key, value)
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint_path)
+    return writer.trigger(processingTime=trigger).start()
+
+
+def _bus_options(bootstrap_servers: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap_servers, "kafka.acks": "all", "topic": topic}

@@ -12,7 +12,7 @@ _CHUNK = ("src_file", "src_block")
 
 
 def scan_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...], multi_line: bool = False
+    spark: SparkSession, path: str, columns: tuple[str, ...], multi_line: bool = True
 ) -> DataFrame:
     """Text columns picked by header name; one the header lacks is null in every row.
 
@@ -38,7 +38,7 @@ def scan_csv(
     )
 
 
-def land_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> None:
+def land_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> None:
     """Copy the CSV once into Parquet, each row tagged with its file, block and sequence.
 
     Later reads cannot cut the files differently, since the tags are stored, and they
@@ -84,8 +84,13 @@ def number_landed(spark: SparkSession, table: str) -> DataFrame:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, table: str, multi_line: bool = False
+    spark: SparkSession, path: str, table: str, multi_line: bool = True
 ) -> DataFrame:
-    """Numbered raw rows of a CSV file or folder; ``table`` is a shared work folder."""
+    """Numbered raw rows of a CSV file or folder; ``table`` is a shared work folder.
+
+    A quoted line break is part of its field, so a file is read by one task. For files known to have
+    none, ``multi_line=False`` lets many tasks share a file. Files count in order of their path
+    as text: pad numbers in their names.
+    """
     land_csv(spark, path, table, multi_line)
     return number_landed(spark, table)

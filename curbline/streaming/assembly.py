@@ -1,21 +1,52 @@
 """Put complete events together from partial events.
 
 Partial events carry ``trip_id``, the fields of their role and ``arrival``, the time the
-message came in.
+message came in, with ``partition`` and ``offset`` where the source has them.
+
+A stream groups the parts of an id into sessions: parts that arrive at most ``gap`` after the one
+before. A session is given out once the watermark has passed its end, with the latest value of
+each field. Complete ones are events. Incomplete ones are kept as rejects, and since each holds the
+latest values and their arrivals, ``complete_rejects`` later joins the sessions of an id: state is
+bounded, and no part is lost, however late its partners are, unless the part itself arrives more
+than ``delay`` behind the stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from curbline.operators.enrich import decode_events
-from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS
+from curbline.operators.enrich import add_calendar, decode_events, valid_events
+from curbline.schema import EVENT_COLUMNS, EVENT_SCHEMA, SOURCE_ZONE, TRIGGER
+from curbline.session import read_or_empty
+from curbline.streaming.compaction import compact, finish
+from curbline.streaming.sinks import COMPACT_EVERY, merge_batch, run_of, start_writer
 
 _PAYLOAD = EVENT_COLUMNS[1:]
+# What orders two values of a field: the later arrival wins, then the larger value.
+_ORDER = StructType(
+    [
+        StructField("arrival", TimestampType()),
+        StructField("partition", LongType()),
+        StructField("offset", LongType()),
+    ]
+)
+_REJECTS = StructType(
+    [
+        StructField("trip_id", StringType()),
+        *[
+            StructField(name, StructType([StructField("at", _ORDER), StructField("value", EVENT_SCHEMA[name].dataType)]))
+            for name in _PAYLOAD
+        ],
+        StructField("run", StringType()),
+        StructField("batch", LongType()),
+    ]
+)
 
 
 def _all_present(fields: tuple[str, ...]) -> Column:
@@ -25,65 +56,89 @@ def _all_present(fields: tuple[str, ...]) -> Column:
 def decode_partials(messages: DataFrame) -> DataFrame:
     """JSON partial events of any role; the fields of the other roles are null.
 
-    ``messages`` has ``value`` and ``timestamp``, as the bus gives them.
+    ``messages`` has ``value`` and ``timestamp``, as the bus gives them, and may have
+    ``partition`` and ``offset``.
     """
-    decoded = decode_events(messages.withColumnRenamed("timestamp", "arrival"), ("arrival",))
+    place = [
+        (F.col(name) if name in messages.columns else F.lit(None)).cast("bigint").alias(name)
+        for name in ("partition", "offset")
+    ]
+    placed = messages.select("value", F.col("timestamp").alias("arrival"), *place)
+    decoded = decode_events(placed, ("arrival", "partition", "offset"))
     return decoded.where(F.col("trip_id").isNotNull())
 
 
-def partials_of(decoded: DataFrame, role: str) -> DataFrame:
-    """The partial events of one role."""
-    fields = PARTIAL_FIELDS[role]
-    return decoded.where(_all_present(fields)).select("trip_id", *fields, "arrival")
+def _latest_values() -> list[Column]:
+    """Per field the struct of its latest arrival and its value; equal arrivals: the larger value."""
+    at = F.struct("arrival", "partition", "offset").alias("at")
+    return [
+        F.max(F.when(F.col(name).isNotNull(), F.struct(at, F.col(name).alias("value")))).alias(name)
+        for name in _PAYLOAD
+    ]
+
 
+def assemble_sessions(decoded: DataFrame, gap: str = "1 hour", delay: str = "30 minutes") -> DataFrame:
+    """The latest value of each field per id and session; batch and streaming (append) alike."""
+    session = F.session_window("arrival", gap)
+    grouped = decoded.withWatermark("arrival", delay).groupBy(session, "trip_id")
+    return grouped.agg(*_latest_values()).select("trip_id", *_PAYLOAD)
 
-def drop_repeats(partials: DataFrame, within: str) -> DataFrame:
-    """The first part per id among those that arrive ``within`` of each other.
 
-    Streams have no partial step before the shuffle of a deduplication, so copies are thinned
-    out here in each block of rows: an id sent over and over is not the work of one task.
-    """
+def _values(assembled: DataFrame) -> DataFrame:
+    """Assembled fields as plain columns; ``arrival`` is when the last of them came."""
+    last = F.greatest(*[F.col(f"{name}.at.arrival") for name in _PAYLOAD])
+    return assembled.select(
+        "trip_id", *[F.col(f"{name}.value").alias(name) for name in _PAYLOAD], last.alias("arrival")
+    )
 
-    def thin(batches: Iterator) -> Iterator:
-        # A local function travels as code, so the workers need no copy of this package.
-        for batch in batches:
-            yield batch.drop_duplicates("trip_id")
 
-    thinned = partials.mapInPandas(thin, partials.schema)
-    return thinned.withWatermark("arrival", within).dropDuplicatesWithinWatermark(["trip_id"])
+def complete_events(assembled: DataFrame) -> DataFrame:
+    """Wire events of the ids that have every field."""
+    return _values(assembled).where(_all_present(_PAYLOAD)).select(*EVENT_COLUMNS)
 
 
-def assemble_by_join(partials: dict[str, DataFrame], within: str = "1 hour") -> DataFrame:
-    """Join the parts of an id whose arrivals are at most ``within`` of the first role's.
+def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    return read_or_empty(spark, rejects_path, _REJECTS).select("trip_id", *_PAYLOAD)
 
-    Repeated parts are dropped first, so an id never multiplies. State is bounded: a part
-    whose partners stay away goes once the watermark has passed it. Size ``within`` for the
-    slowest shard, or use ``assemble_by_latest``, which waits for ever.
-    """
-    first, *others = PARTIAL_FIELDS
-    joined = drop_repeats(partials[first], within)
-    margin = F.expr(f"interval {within}")
-    for role in others:
-        right = drop_repeats(partials[role], within).withColumnsRenamed(
-            {"trip_id": "right_id", "arrival": "right_arrival"}
-        )
-        near = F.col("right_arrival").between(F.col("arrival") - margin, F.col("arrival") + margin)
-        # A joined stream may carry only one watermarked column into the next join.
-        joined = joined.join(right, (F.col("trip_id") == F.col("right_id")) & near).drop(
-            "right_id", "right_arrival"
-        )
-    return joined.select(*EVENT_COLUMNS)
-
-
-def assemble_by_latest(decoded: DataFrame) -> DataFrame:
-    """The latest value of each field per id, for ids that have all fields.
-
-    A stream of this runs in update mode and gives an id again when a part comes again;
-    the sink keeps the first. State holds every id for good, so keep it on disk
-    (``disk_backed_state``).
+
+def complete_rejects(rejects: DataFrame) -> DataFrame:
+    """Wire events from incomplete sessions whose parts make an event together."""
+    latest = [F.max(name).alias(name) for name in _PAYLOAD]
+    return complete_events(rejects.groupBy("trip_id").agg(*latest))
+
+
+def write_assembly_stream(
+    decoded: DataFrame,
+    staging_path: str,
+    metrics_path: str,
+    rejects_path: str,
+    checkpoint_path: str,
+    gap: str = "1 hour",
+    delay: str = "30 minutes",
+    zone: str = SOURCE_ZONE,
+    trigger: str = TRIGGER,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Assembled events, checked and merged into a staging table; incomplete sessions to the rejects.
+
+    A replayed batch replaces what it wrote to either.
     """
-    latest = [
-        F.max_by(name, F.when(F.col(name).isNotNull(), F.col("arrival"))).alias(name)
-        for name in _PAYLOAD
-    ]
-    return decoded.groupBy("trip_id").agg(*latest).where(_all_present(_PAYLOAD))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_of(spark, checkpoint_path)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            whole = _all_present(_PAYLOAD)
+            events = _values(batch.where(whole))
+            trips = add_calendar(valid_events(events, zone, ("arrival",)), zone, ("arrival",))
+            merge_batch(trips, batch_id, run, staging_path, metrics_path)
+            finish(spark, rejects_path)
+            batch.where(~whole).write.mode("overwrite").parquet(f"{rejects_path}/run={run}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        if (batch_id + 1) % compact_every == 0:
+            compact(spark, rejects_path, _REJECTS)
+
+    assembled = assemble_sessions(decoded, gap, delay)
+    return start_writer(assembled.writeStream.foreachBatch(write_batch), checkpoint_path, trigger)

@@ -1,0 +1,79 @@
+"""Fold the many small folders that micro-batches leave into one per run, safely against replay."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+READY = "_ready"
+WORKING = "_working"
+
+
+class Folder:
+    """A folder of any file system that Spark reads."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.jvm = spark.sparkContext._jvm
+        self.path = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self, *parts: str) -> list[str]:
+        place = self.at(*parts)
+        if not self.system.exists(place):
+            return []
+        return [status.getPath().getName() for status in self.system.listStatus(place)]
+
+    def at(self, *parts: str):
+        place = self.path
+        for part in parts:
+            place = self.jvm.org.apache.hadoop.fs.Path(place, part)
+        return place
+
+
+def _batch(name: str) -> int:
+    return int(name.removeprefix("batch="))
+
+
+def finish(spark: SparkSession, path: str) -> None:
+    """Complete a compaction that was cut short after its result was ready."""
+    folder = Folder(spark, path)
+    for run in folder.names(READY):
+        for name in folder.names(READY, run):
+            for old in folder.names(run):
+                if old.startswith("batch=") and _batch(old) <= _batch(name):
+                    folder.system.delete(folder.at(run, old), True)
+            folder.system.mkdirs(folder.at(run))
+            if not folder.system.rename(folder.at(READY, run, name), folder.at(run, name)):
+                raise OSError(f"cannot move the compacted {path}/{run}/{name}")
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, partition_by: tuple[str, ...] = ()) -> None:
+    """Fold the batches of each run but its last into the folder of the last but one.
+
+    The last batch may be replayed, so it stays apart; all before it are committed. The folded
+    copy is written aside and moved to ``_ready`` in one step; from then on ``finish`` completes the
+    exchange, whatever happens. To be called by the one writer of the table, between batches.
+    """
+    finish(spark, path)
+    folder = Folder(spark, path)
+    for run in folder.names():
+        if not run.startswith("run="):
+            continue
+        batches = sorted((n for n in folder.names(run) if n.startswith("batch=")), key=_batch)[:-1]
+        if len(batches) < 2:
+            continue
+        last = batches[-1]
+        rows: DataFrame = (
+            spark.read.schema(schema)
+            .option("basePath", path)
+            .parquet(*[f"{path}/{run}/{name}" for name in batches])
+            .drop("run", "batch")
+        )
+        rows = rows.hint("rebalance", *partition_by) if partition_by else rows.hint("rebalance")
+        working = f"{path}/{WORKING}/{run}/{last}"
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(working)
+        folder.system.mkdirs(folder.at(READY, run))
+        if not folder.system.rename(folder.at(WORKING, run, last), folder.at(READY, run, last)):
+            raise OSError(f"cannot move {working}")
+        finish(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from curbline.operators.enrich import transform_messages
+from curbline.operators.enrich import arrival_of, transform_messages
 from curbline.schema import SOURCE_ZONE, TRIGGER
 from curbline.streaming.sinks import write_parquet_stream, write_staging_stream
 
@@ -16,24 +16,14 @@ def start_trip_queries(
     staging_path: str,
     metrics_path: str,
     checkpoint_root: str,
-    run: str,
     zone: str = SOURCE_ZONE,
     trigger: str = TRIGGER,
-    date_scoped: bool = False,
 ) -> list[StreamingQuery]:
     """One transformed stream into two sinks, each with its own checkpoint."""
-    trips = transform_messages(messages, zone)
+    trips = transform_messages(arrival_of(messages), zone, ("arrival",))
     return [
-        write_parquet_stream(trips, lake_path, f"{checkpoint_root}/lake", trigger),
-        write_staging_stream(
-            trips,
-            staging_path,
-            metrics_path,
-            f"{checkpoint_root}/staging",
-            run,
-            trigger,
-            date_scoped,
-        ),
+        write_parquet_stream(trips.drop("arrival"), lake_path, f"{checkpoint_root}/lake", trigger),
+        write_staging_stream(trips, staging_path, metrics_path, f"{checkpoint_root}/staging", trigger),
     ]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -20,9 +20,19 @@ from curbline.schema import (
     TRIGGER,
 )
 from curbline.session import read_or_empty
+from curbline.streaming.compaction import compact, finish
+
+# Ids meet only ids of their own bucket; the number belongs to the layout of a table.
+STAGING_BUCKETS = 64
+# Files per date and micro-batch of the lake, at most.
+LAKE_FILES = 8
+# Micro-batches after which the folders of a run are folded into one.
+COMPACT_EVERY = 50
 
 _RUN_COLUMNS = [StructField("run", StringType()), StructField("batch", LongType())]
-_STAGING_FILES = StructType([*STAGING_SCHEMA.fields, *_RUN_COLUMNS])
+_STAGING_FILES = StructType(
+    [*STAGING_SCHEMA.fields, *_RUN_COLUMNS, StructField("bucket", LongType())]
+)
 _METRICS_FILES = StructType([*BATCH_METRICS_SCHEMA.fields, *_RUN_COLUMNS])
 
 
@@ -40,10 +50,15 @@ def start_writer(
 
 
 def write_parquet_stream(
-    stream: DataFrame, output_path: str, checkpoint_path: str, trigger: str = TRIGGER
+    stream: DataFrame,
+    output_path: str,
+    checkpoint_path: str,
+    trigger: str = TRIGGER,
+    files: int = LAKE_FILES,
 ) -> StreamingQuery:
-    """Append to a Parquet table in date folders."""
-    writer = stream.writeStream.format("parquet").option("path", output_path)
+    """Append to a Parquet table in date folders, at most ``files`` files per date and batch."""
+    dealt = stream.repartition("trip_date", F.pmod(F.xxhash64("trip_id"), F.lit(files)))
+    writer = dealt.writeStream.format("parquet").option("path", output_path)
     return start_writer(writer.partitionBy("trip_date"), checkpoint_path, trigger)
 
 
@@ -53,67 +68,86 @@ def read_staging(spark: SparkSession, staging_path: str) -> DataFrame:
 
 
 def read_batch_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
-    """One row per run and batch."""
+    """One row per run and batch; a batch belongs to the run whose folder it was written to."""
     files = read_or_empty(spark, metrics_path, _METRICS_FILES)
     return files.select("run", *BATCH_METRICS_SCHEMA.names)
 
 
+def bucket_of(key: str = "trip_id") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(STAGING_BUCKETS))
+
+
 def merge_batch(
-    batch: DataFrame,
-    batch_id: int,
-    run: str,
-    staging_path: str,
-    metrics_path: str,
-    date_scoped: bool = False,
+    batch: DataFrame, batch_id: int, run: str, staging_path: str, metrics_path: str
 ) -> None:
     """Add the trips of one micro-batch that are not in the staging table yet.
 
-    The first trip with an id stays. A batch owns one folder per run and replaces it as a
-    whole, so replaying the batch gives the same table, and the same for its metrics row.
-    ``date_scoped`` limits the look-up to the dates in the batch; it is exact where an id
-    fixes its date, as ids made by this package do, and reads only those date folders.
+    The first trip with an id stays: within a batch the first by ``arrival``, if it has that
+    column. The look-up reads the buckets that the batch has ids in, exact for any id, whatever
+    its date. A batch owns one folder per run and replaces it as a whole, so replaying the
+    batch gives the same table, and the same for its metrics row.
     """
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        records = batch.count()
-        if records == 0:
+        # At most STAGING_BUCKETS numbers come to the driver.
+        seen = batch.agg(
+            F.count(F.lit(1)).alias("records"), F.collect_set(bucket_of()).alias("buckets")
+        ).first()
+        if seen.records == 0:
             return
+        finish(spark, staging_path)
         own = (F.col("run") == run) & (F.col("batch") == batch_id)
-        others = read_or_empty(spark, staging_path, _STAGING_FILES).where(~own)
-        if date_scoped:
-            first, last = batch.agg(F.min("trip_date"), F.max("trip_date")).first()
-            others = others.where(F.col("trip_date").between(first, last))
-        insert_absent(batch, others, batch_rows=records).select(*STAGING_COLUMNS).write.mode(
-            "overwrite"
-        ).partitionBy("trip_date").parquet(f"{staging_path}/run={run}/batch={batch_id}")
+        others = read_or_empty(spark, staging_path, _STAGING_FILES).where(
+            F.col("bucket").isin(seen.buckets) & ~own
+        )
+        order = ("arrival",) if "arrival" in batch.columns else ()
+        insert_absent(batch, others, order=order).select(
+            *STAGING_COLUMNS, bucket_of().alias("bucket")
+        ).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{staging_path}/run={run}/batch={batch_id}"
+        )
         spark.range(1).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(records).cast("bigint").alias("records_received"),
+            F.lit(seen.records).cast("bigint").alias("records_received"),
             F.current_timestamp().alias("processed_at"),
         ).write.mode("overwrite").parquet(f"{metrics_path}/run={run}/batch={batch_id}")
     finally:
         batch.unpersist()
 
 
+def compact_staging(spark: SparkSession, staging_path: str, metrics_path: str) -> None:
+    """Fold the committed batches of staging table and metrics."""
+    compact(spark, staging_path, _STAGING_FILES, ("bucket",))
+    compact(spark, metrics_path, _METRICS_FILES)
+
+
+def run_of(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id of a query, which its checkpoint keeps for good: a fresh checkpoint is a new run."""
+    written = spark.read.schema("id string").json(f"{checkpoint_path}/metadata").first()
+    return written.id
+
+
 def write_staging_stream(
     stream: DataFrame,
     staging_path: str,
     metrics_path: str,
     checkpoint_path: str,
-    run: str,
     trigger: str = TRIGGER,
-    date_scoped: bool = False,
     output_mode: str = "append",
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Merge each micro-batch into the staging table and record its size.
 
-    ``run`` names the checkpoint: a query with a new checkpoint starts again at batch 0
-    and needs a new name. One query at a time may write to a staging table.
+    Folders are named by the query's own id, so no two checkpoints can write to one folder. One
+    query at a time may write to a staging table.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, run, staging_path, metrics_path, date_scoped)
+        spark = batch.sparkSession
+        merge_batch(batch, batch_id, run_of(spark, checkpoint_path), staging_path, metrics_path)
+        if (batch_id + 1) % compact_every == 0:
+            compact_staging(spark, staging_path, metrics_path)
 
     writer = stream.writeStream.foreachBatch(write_batch)
     return start_writer(writer, checkpoint_path, trigger, output_mode)

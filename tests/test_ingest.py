@@ -147,10 +147,10 @@ def test_csv_numbers_follow_files_and_blocks(spark, tmp_path):
     assert len(rows) == len(expected)
 
 
-def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
+def test_quoted_line_breaks_are_part_of_their_field(spark, tmp_path):
     path = tmp_path / "trips.csv"
     path.write_text('Date/Time,Lat,Lon,Base\n4/1/2014 0:11:05,40.769,-73.954,"B\n1"\n' + ",".join(VALID) + "\n")
-    rows = _numbered(spark, path, multi_line=True).collect()
+    rows = _numbered(spark, path).collect()
     assert sorted((r.row_number, r.Base) for r in rows) == [(1, "B\n1"), (2, "B02512")]
 
 

@@ -1,5 +1,6 @@
 import inspect
 import json
+from pathlib import Path
 
 import pytest
 from helpers import VALID, raw, rows_of
@@ -7,12 +8,12 @@ from pyspark.sql import functions as F
 
 from curbline.operators import shards
 from curbline.operators.canonical import canonical_events
-from curbline.operators.enrich import add_calendar, transform_messages, valid_events
+from curbline.operators.enrich import add_calendar, arrival_of, transform_messages, valid_events
 from curbline.plans import quality, serving
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS, SHARD_COLUMNS
 from curbline.session import disk_backed_state, work_dir
 from curbline.sources.messages import file_stream, message_payload
-from curbline.streaming import assembly, jobs, sinks
+from curbline.streaming import assembly, compaction, jobs, sinks
 
 DATES = ["4/1/2014", "4/2/2014", "4/3/2014"]
 
@@ -38,10 +39,10 @@ def messages(spark, inbox, **limits):
     return file_stream(spark, f"{inbox}/*", "key string, value string", **limits)
 
 
-def merge(spark, inbox, folder, run="first", **options):
+def merge(spark, inbox, folder, checkpoint="first", **options):
     query = sinks.write_staging_stream(
         transform_messages(messages(spark, inbox)), f"{folder}/staging", f"{folder}/metrics",
-        f"{folder}/checkpoint-{run}", run, "available", **options,
+        f"{folder}/checkpoint-{checkpoint}", "available", **options,
     )
     query.awaitTermination()
     return sinks.read_staging(spark, f"{folder}/staging"), sinks.read_batch_metrics(spark, f"{folder}/metrics")
@@ -66,12 +67,12 @@ def test_lake_is_partitioned_by_date_and_restarts_from_its_checkpoint(spark, inb
     assert "PartitionFilters: [isnotnull(trip_date" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("date_scoped", [False, True])
-def test_merge_keeps_one_row_per_id_across_batches(spark, inbox, date_scoped):
+@pytest.mark.parametrize("compact_every", [1, 50])
+def test_merge_keeps_one_row_per_id_across_batches(spark, inbox, compact_every):
     send(spark, inbox, 1, trips(spark, range(1, 11)).union(trips(spark, range(5, 11))))
     send(spark, inbox, 2, trips(spark, range(8, 21)))
     send(spark, inbox, 3, trips(spark, range(1, 21)))
-    staging, metrics = merge(spark, inbox, work_dir(spark, "merge"), date_scoped=date_scoped)
+    staging, metrics = merge(spark, inbox, work_dir(spark, "merge"), compact_every=compact_every)
     expected = add_calendar(valid_events(trips(spark, range(1, 21))))
     assert rows_of(staging, "trip_id", "trip_date") == rows_of(expected, "trip_id", "trip_date")
     assert rows_of(metrics, "batch_id", "records_received") == [(0, 16), (1, 13), (2, 20)]
@@ -101,11 +102,78 @@ def test_a_new_run_over_the_same_messages_adds_nothing(spark, inbox):
     send(spark, inbox, 1, trips(spark, range(1, 11)))
     send(spark, inbox, 2, trips(spark, range(11, 21)))
     before = rows_of(merge(spark, inbox, folder)[0])
-    staging, metrics = merge(spark, inbox, folder, run="again")
+    staging, metrics = merge(spark, inbox, folder, checkpoint="again")
     assert rows_of(staging) == before
     assert metrics.count() == 4
 
 
+def test_a_fresh_checkpoint_cannot_delete(spark, inbox):
+    folder = work_dir(spark, "fresh")
+    send(spark, inbox, 1, trips(spark, [1, 2, 3]))
+    merge(spark, inbox, folder)
+    other = work_dir(spark, "inbox")
+    send(spark, other, 1, trips(spark, [4]))
+    staging, metrics = merge(spark, other, folder, checkpoint="again")
+    assert staging.count() == 4
+    assert metrics.select("run").distinct().count() == 2
+
+
+def test_the_first_arrival_stays_within_a_batch(spark, inbox):
+    late = trips(spark, [1]).withColumn("base", F.lit("A0")).withColumn("timestamp", F.timestamp_seconds(F.lit(20)))
+    first = trips(spark, [1]).withColumn("timestamp", F.timestamp_seconds(F.lit(10)))
+    message_payload(late.union(first), keep=("timestamp",)).coalesce(1).write.parquet(f"{inbox}/001")
+    stream = arrival_of(file_stream(spark, f"{inbox}/*", PARTIAL_MESSAGE, max_files=1))
+    folder = work_dir(spark, "arrival")
+    sinks.write_staging_stream(
+        transform_messages(stream, keep=("arrival",)), f"{folder}/staging", f"{folder}/metrics",
+        f"{folder}/checkpoint", "available",
+    ).awaitTermination()
+    assert [r.base for r in sinks.read_staging(spark, f"{folder}/staging").collect()] == ["B1"]
+
+
+def data_files(folder):
+    return [p for p in Path(folder.removeprefix("file:")).rglob("*.parquet") if "/_w" not in str(p)]
+
+
+def test_files_stay_bounded_over_many_batches(spark, inbox):
+    folder = work_dir(spark, "many")
+    for number in range(12):
+        send(spark, inbox, number, trips(spark, [number + 1, number + 2]))
+    staging, metrics = merge(spark, inbox, folder, compact_every=4)
+    assert staging.count() == 13 and metrics.count() == 12
+    runs = list(Path(f"{folder}/staging".removeprefix("file:")).glob("run=*/batch=*"))
+    assert len(runs) == 2
+    assert len(data_files(f"{folder}/metrics")) <= 4
+
+
+def test_a_compaction_cut_short_is_finished(spark, inbox, monkeypatch):
+    folder = work_dir(spark, "short")
+    for number in range(1, 5):
+        send(spark, inbox, number, trips(spark, [number]))
+    staging, _ = merge(spark, inbox, folder)
+    before = rows_of(staging)
+    done = compaction.finish
+    calls = []
+    monkeypatch.setattr(compaction, "finish", lambda *a: calls.append(a) or (done(*a) if len(calls) == 1 else None))
+    sinks.compact_staging(spark, f"{folder}/staging", f"{folder}/metrics")
+    monkeypatch.undo()
+    assert list(Path(f"{folder}/staging".removeprefix("file:")).glob("_ready/run=*/batch=*"))
+    sinks.compact_staging(spark, f"{folder}/staging", f"{folder}/metrics")
+    assert rows_of(sinks.read_staging(spark, f"{folder}/staging")) == before
+
+
+def test_a_look_up_reads_only_the_buckets_of_the_batch(spark):
+    folder = work_dir(spark, "buckets")
+    batch = add_calendar(valid_events(trips(spark, range(1, 40))))
+    sinks.merge_batch(batch, 0, "first", f"{folder}/staging", f"{folder}/metrics")
+    one = add_calendar(valid_events(trips(spark, [50])))
+    bucket = one.select(sinks.bucket_of().alias("b")).first().b
+    read = sinks.read_or_empty(spark, f"{folder}/staging", sinks._STAGING_FILES).where(F.col("bucket").isin([bucket]))
+    read.collect()
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+
+
 def test_a_replayed_batch_replaces_itself(spark):
     folder = work_dir(spark, "batch")
     paths = (f"{folder}/staging", f"{folder}/metrics")
@@ -135,7 +203,7 @@ def test_one_stream_feeds_two_sinks(spark, inbox):
     folder = work_dir(spark, "two")
     queries = jobs.start_trip_queries(
         messages(spark, inbox), f"{folder}/lake", f"{folder}/staging", f"{folder}/metrics",
-        f"{folder}/checkpoints", "first", trigger="available",
+        f"{folder}/checkpoints", trigger="available",
     )
     for query in queries:
         query.awaitTermination()
@@ -163,80 +231,88 @@ def test_limits_bound_a_micro_batch(spark, inbox):
 PARTIAL_MESSAGE = "key string, value string, timestamp timestamp"
 
 
-def send_parts(spark, inbox, number, role, events, minute):
+def part_stream(spark, inbox, max_files=1):
+    return assembly.decode_partials(file_stream(spark, f"{inbox}/*", PARTIAL_MESSAGE, max_files=max_files))
+
+
+def assemble(spark, folder, inbox, **options):
+    with disk_backed_state(spark, 2):
+        query = assembly.write_assembly_stream(
+            part_stream(spark, inbox), f"{folder}/staging", f"{folder}/metrics", f"{folder}/rejects",
+            f"{folder}/checkpoint", trigger="available", **options,
+        )
+    query.awaitTermination()
+    return sinks.read_staging(spark, f"{folder}/staging"), assembly.read_rejects(spark, f"{folder}/rejects")
+
+
+def send_part(spark, inbox, number, role, events, minute):
     part = shards.project_partial(events, role).withColumn(
         "timestamp", F.expr(f"timestamp'2014-04-01 00:00:00Z' + make_interval(0, 0, 0, 0, 0, {minute})")
     )
     payload = message_payload(part, ("trip_id", *PARTIAL_FIELDS[role]), ("timestamp",))
-    payload.coalesce(1).write.parquet(f"{inbox}/{role}/{number:03d}")
+    payload.coalesce(1).write.parquet(f"{inbox}/{number:03d}")
 
 
-def part_stream(spark, inbox, role):
-    return assembly.decode_partials(file_stream(spark, f"{inbox}/{role}/*", PARTIAL_MESSAGE, max_files=1))
+def heartbeat(spark, inbox, number):
+    send_part(spark, inbox, number, "latitude", trips(spark, [59]), 3000)
 
 
 @pytest.fixture()
 def parts(spark, inbox):
-    """Ids 1-20 complete, of which 5-10 come twice and 15 three times in all topics; 21 lacks
-    its latitude, 22 its base; the latitude of 20 comes late."""
-    roles = list(SHARD_COLUMNS)
-    for role in roles:
+    """Ids 1-20 complete, of which 5-10 and 15 come twice; 21 lacks its latitude, 22 its base; the
+    latitude of 20 comes hours later; then a message that lets the watermark pass."""
+    number = 0
+    for role in SHARD_COLUMNS:
         numbers = set(range(1, 23)) - {{"latitude": 21, "longitude_base": 22}.get(role)}
         if role == "latitude":
             numbers -= {20}
-        send_parts(spark, inbox, 1, role, trips(spark, sorted(numbers)), 0)
-        send_parts(spark, inbox, 2, role, trips(spark, [5, 6, 7, 8, 9, 10, 15]), 5)
-        many = trips(spark, [15])
-        send_parts(spark, inbox, 3, role, many.union(many), 6)
-    send_parts(spark, inbox, 4, "latitude", trips(spark, [20]), 30)
+        for minute, chosen in ((0, sorted(numbers)), (5, [5, 6, 7, 8, 9, 10, 15])):
+            send_part(spark, inbox, number, role, trips(spark, chosen), minute)
+            number += 1
+    send_part(spark, inbox, number, "latitude", trips(spark, [20]), 300)
+    heartbeat(spark, inbox, number + 1)
     return inbox
 
 
-def test_join_assembles_each_complete_id_once(spark, parts):
-    folder = work_dir(spark, "join")
-    partials = {
-        role: assembly.partials_of(part_stream(spark, parts, role), role) for role in SHARD_COLUMNS
-    }
-    with disk_backed_state(spark, 2):
-        query = sinks.start_writer(
-            assembly.assemble_by_join(partials).writeStream.format("parquet").option("path", f"{folder}/out"),
-            f"{folder}/checkpoint",
-            "available",
-        )
-    query.awaitTermination()
-    got = spark.read.parquet(f"{folder}/out")
-    assert tuple(got.columns) == EVENT_COLUMNS
-    assert rows_of(got) == rows_of(trips(spark, range(1, 21)))
+@pytest.mark.parametrize("compact_every", [2, 50])
+def test_sessions_assemble_and_late_parts_complete_the_rejects(spark, parts, compact_every):
+    staging, rejects = assemble(spark, work_dir(spark, "sessions"), parts, compact_every=compact_every)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, range(1, 20)), "trip_id")
+    completed = assembly.complete_rejects(rejects)
+    assert tuple(completed.columns) == EVENT_COLUMNS
+    assert rows_of(completed) == rows_of(trips(spark, [20]))
+    assert rejects.count() == 4  # 21, 22, and 20 twice
 
 
-def test_latest_values_assemble_into_the_staging_table(spark, parts):
-    folder = work_dir(spark, "latest")
-    mixed = assembly.decode_partials(file_stream(spark, f"{parts}/*/*", PARTIAL_MESSAGE, max_files=2))
-    stream = add_calendar(valid_events(assembly.assemble_by_latest(mixed)))
-    with disk_backed_state(spark, 2):
-        query = sinks.write_staging_stream(
-            stream, f"{folder}/staging", f"{folder}/metrics", f"{folder}/checkpoint", "first", "available",
-            output_mode="update",
-        )
-    query.awaitTermination()
-    got = sinks.read_staging(spark, f"{folder}/staging")
-    assert rows_of(got, "trip_id") == rows_of(trips(spark, range(1, 21)), "trip_id")
+def test_a_part_sent_again_hours_later_loses_nothing(spark, inbox):
+    send_part(spark, inbox, 0, "datetime", trips(spark, [1]), 0)
+    send_part(spark, inbox, 1, "datetime", trips(spark, [1]), 180)
+    send_part(spark, inbox, 2, "latitude", trips(spark, [1]), 180)
+    send_part(spark, inbox, 3, "longitude_base", trips(spark, [1]), 180)
+    heartbeat(spark, inbox, 4)
+    staging, _ = assemble(spark, work_dir(spark, "later"), inbox)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, [1]), "trip_id")
 
 
-def test_a_later_part_replaces_an_earlier_one(spark):
+def test_a_later_part_replaces_an_earlier_one_whatever_the_row_order(spark):
     rows = [
-        ("a", None, 40.0, None, None, 1), ("a", None, 41.0, None, None, 2),
-        ("a", None, None, -73.0, "B1", 1), ("a", "2014-04-01T04:00:00+00:00", None, None, None, 3),
-        ("b", None, 40.0, None, None, 1),
+        ("a", None, 41.0, None, None, 2, 0, 7), ("a", None, 40.0, None, None, 2, 0, 6),
+        ("a", None, 43.0, None, None, 1, 1, 9), ("a", None, None, -73.0, "B1", 1, 0, 0),
+        ("a", "2014-04-01T04:00:00+00:00", None, None, None, 3, 0, 0), ("b", None, 40.0, None, None, 1, 0, 0),
+        ("c", None, 40.0, None, None, 1, None, None), ("c", None, 41.0, None, None, 1, None, None),
+        ("c", "2014-04-01T04:00:00+00:00", None, -73.0, "B1", 1, None, None),
     ]
-    frame = spark.createDataFrame(
-        rows,
-        "trip_id string, event_timestamp string, pickup_latitude double, pickup_longitude double,"
-        " base string, arrival int",
-    )
-    assert rows_of(assembly.assemble_by_latest(frame)) == [
-        ("a", "2014-04-01T04:00:00+00:00", 41.0, -73.0, "B1")
-    ]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(
+            order,
+            "trip_id string, event_timestamp string, pickup_latitude double, pickup_longitude double,"
+            " base string, second int, partition bigint, offset bigint",
+        ).withColumn("arrival", F.timestamp_seconds("second"))
+        events = assembly.complete_events(assembly.assemble_sessions(frame))
+        assert rows_of(events) == [
+            ("a", "2014-04-01T04:00:00+00:00", 41.0, -73.0, "B1"),
+            ("c", "2014-04-01T04:00:00+00:00", 41.0, -73.0, "B1"),
+        ]
 
 
 def test_state_settings_are_given_back(spark):
