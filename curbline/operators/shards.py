@@ -35,14 +35,22 @@ def with_trip_id(rows: DataFrame, prefix: str = ID_PREFIX) -> DataFrame:
     )
 
 
+def land_keyed(rows: DataFrame, folder: str, prefix: str = ID_PREFIX) -> DataFrame:
+    """Raw rows with their id, written once: each id is hashed once, however often rows are read."""
+    keyed = with_trip_id(rows, prefix)
+    keyed.write.mode("overwrite").parquet(folder)
+    return keyed.sparkSession.read.schema(keyed.schema).parquet(folder)
+
+
 def split_columns(
     rows: DataFrame, prefix: str = ID_PREFIX, keep: tuple[str, ...] = ()
 ) -> dict[str, DataFrame]:
     """One narrow frame per role, fields as in the source; ``keep`` columns go into each.
 
-    Each shard is its own pruned scan; give rows of a columnar table, not of a CSV.
+    Each shard is its own pruned scan: give rows of a columnar table, not of a CSV, and rows that
+    have their id already, as ``land_keyed`` gives them, to hash it once for all shards.
     """
-    keyed = with_trip_id(rows, prefix)
+    keyed = rows if "trip_id" in rows.columns else with_trip_id(rows, prefix)
     return {
         role: keyed.select("trip_id", *[F.col(f"`{n}`") for n in names], *keep)
         for role, names in SHARD_COLUMNS.items()

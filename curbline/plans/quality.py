@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ NOT_NULL = {
     "trip_fact": ("trip_id", "pickup_hour"),
     "kpis": ("total_trips",),
 }
-# Columns that must hold no value twice, by model.
-UNIQUE = {"staging_trips": ("trip_id",), "trip_fact": ("trip_id",)}
+# The column that must hold no value twice, by model.
+UNIQUE = {"staging_trips": "trip_id", "trip_fact": "trip_id"}
 
 
 def bad_coordinates() -> Column:
@@ -67,17 +68,28 @@ def count_violations(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counts.unpivot([], list(rules), "rule", "violations")
 
 
-def count_duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
-    return duplicates(rows, key).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(f"{key}_unique").alias("rule"), "violations"
+def count_all(rows: DataFrame, rules: Mapping[str, Column], key: str | None) -> DataFrame:
+    """(rule, violations) of all row rules and, with a ``key``, of its uniqueness.
+
+    One scan and one grouping by the key: each group carries its rows' violations along.
+    """
+    if key is None:
+        return count_violations(rows, rules)
+    per_key = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("copies"),
+        *[F.count_if(broken).alias(rule) for rule, broken in rules.items()],
+    )
+    repeated = F.col(key).isNotNull() & (F.col("copies") > 1)
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(rule), F.lit(0)).alias(rule) for rule in rules],
+        F.count_if(repeated).alias(f"{key}_unique"),
     )
+    return totals.unpivot([], [*rules, f"{key}_unique"], "rule", "violations")
 
 
 def contract_report(staging: DataFrame) -> DataFrame:
     """Every rule of the staging table with its number of violations."""
-    return count_violations(staging, contract()).unionByName(
-        count_duplicate_keys(staging, "trip_id")
-    )
+    return count_all(staging, contract(), "trip_id")
 
 
 def satisfies_contract(rows: DataFrame) -> DataFrame:
@@ -89,7 +101,7 @@ def satisfies_contract(rows: DataFrame) -> DataFrame:
 
 
 def model_report(models: Mapping[str, DataFrame], zone: str = SOURCE_ZONE) -> DataFrame:
-    """(model, rule, violations) of all data tests on the given models."""
+    """(model, rule, violations) of all data tests on the given models, one scan for each."""
     reports = []
     for model, rows in models.items():
         rules = {f"{name}_not_null": F.col(name).isNull() for name in NOT_NULL.get(model, ())}
@@ -98,15 +110,11 @@ def model_report(models: Mapping[str, DataFrame], zone: str = SOURCE_ZONE) -> Da
         if model == "trip_fact":
             rules |= {"hour_in_range": bad_hour(), "date_of_timestamp": bad_date(zone)}
         if rules:
-            reports.append(count_violations(rows, rules).withColumn("model", F.lit(model)))
-        for key in UNIQUE.get(model, ()):
-            reports.append(count_duplicate_keys(rows, key).withColumn("model", F.lit(model)))
+            report = count_all(rows, rules, UNIQUE.get(model))
+            reports.append(report.withColumn("model", F.lit(model)))
     if not reports:
         raise ValueError("no known model given")
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result.select("model", "rule", "violations")
+    return reduce(DataFrame.unionByName, reports).select("model", "rule", "violations")
 
 
 def quality_summary(rows: DataFrame) -> DataFrame:

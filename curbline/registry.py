@@ -191,7 +191,7 @@ def replay_slices_short_head(spark, sf_dir):
 
 
 def _split(spark, sf_dir) -> dict[str, DataFrame]:
-    return shards.split_columns(_raw(spark, sf_dir))
+    return shards.split_columns(shards.land_keyed(_raw(spark, sf_dir), work_dir(spark, "keyed")))
 
 
 def _partials(spark, sf_dir) -> dict[str, DataFrame]:
@@ -748,12 +748,10 @@ def dq_contract_rows(spark, sf_dir):
 
 @query
 def dq_model_tests(spark, sf_dir):
-    source = _source(spark, sf_dir)
-    staging = trips.staging_trips(source)
-    fact = trips.trip_fact(staging)
-    return quality.model_report(
-        {"staging_trips": staging, "trip_fact": fact, "kpis": aggregates.kpis(fact)}
-    )
+    """The data tests on the view and the tables of a model run."""
+    folder = _built(spark.sparkContext.applicationId, sf_dir)
+    built = {name: models.read_model(spark, folder, name) for name in ("trip_fact", "kpis")}
+    return quality.model_report({"staging_trips": trips.staging_trips(_source(spark, sf_dir)), **built})
 
 
 @query

@@ -319,3 +319,39 @@ def test_valid_models_pass_all_thirteen_tests(spark, random_trips):
         {"staging_trips": fact, "trip_fact": fact, "kpis": aggregates.kpis(fact)}
     ).collect()
     assert len(report) == 13 and not any(r.violations for r in report)
+
+
+def test_data_tests_scan_each_table_once(spark, testdata):
+    from helpers import plan_of
+
+    from curbline.registry import QUERIES
+
+    assert plan_of(QUERIES["dq_contract"](spark, testdata)).count("FileScan") == 1
+    assert plan_of(QUERIES["dq_model_tests"](spark, testdata)).count("FileScan") == 3
+
+
+def test_the_first_rows_take_one_scan(spark, testdata):
+    from helpers import plan_of
+
+    from curbline.registry import QUERIES
+
+    assert plan_of(QUERIES["first_n"](spark, testdata)).count("FileScan") == 1
+
+
+def test_ids_of_shards_are_hashed_once(spark, testdata):
+    from helpers import plan_of
+
+    from curbline.registry import QUERIES
+
+    assert "sha2" not in plan_of(QUERIES["shard_join"](spark, testdata))
+
+
+def test_cheap_conditions_reach_the_scan(spark, tmp_path):
+    from helpers import scan_details_of
+
+    from curbline.operators.enrich import valid_events
+
+    rows = "trip_id string, event_timestamp string, pickup_latitude double, pickup_longitude double, base string"
+    spark.createDataFrame([], rows).write.parquet(str(tmp_path / "wire"))
+    plan = scan_details_of(valid_events(spark.read.parquet(str(tmp_path / "wire"))))
+    assert "LessThanOrEqual(pickup_latitude,90.0)" in plan and "Not(EqualTo(base,))" in plan
