@@ -3,9 +3,8 @@
 A message is parted into paragraphs: runs of lines of one quote level, the number of ``>`` before a line. Quoted
 and own paragraphs are normalised (lower case, single blanks) and hashed. A quoted passage comes from the last
 earlier message that has the same paragraph as its own; ids of messages ascend with time. The parent of a message is
-the latest one that it quotes at the lowest level at which any passage is found. Parents make a forest, so the
-smallest id of a component is its root, and in a conversation (``thread_id``), ordered by ``msg_id``, each message
-stands after the one that it answers.
+the latest one that it quotes at the lowest level at which any passage is found. Parents make a forest; a conversation
+(``thread_id``) is named by its root, and ordered by ``msg_id`` each message stands after the one that it answers.
 
 The search for the last earlier message works in blocks of ids: a window within each block of a hash, and one
 over the blocks, which carries the last message of the earlier ones. A passage that a third of all messages
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curbline.llm.common import connected_components, cut, small_batches, strings, table
+from curbline.llm.common import cut, small_batches, strings, table
 
 QUOTED = re.compile(r"^((?:[ \t]*>)+)[ \t]?")
 #: Lines that name the author of the quote below them.
@@ -133,16 +132,14 @@ def link(messages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         "quotes-parents",
     )
     parents = counted.filter("parent_id is not null").select("msg_id", "parent_id")
-    threads = cut(connected_components(parents.select(F.col("msg_id").alias("a"), F.col("parent_id").alias("b")), "quotes"), "quotes-threads")
-    deep = depths(parents)
+    threads = climb(parents)
     return (
         parsed.select("msg_id", "own")
         .join(counted, "msg_id", "left")
-        .join(threads, F.col("msg_id") == F.col("node"), "left")
-        .join(deep, "msg_id", "left")
+        .join(threads, "msg_id", "left")
         .select(
             "msg_id",
-            F.coalesce("component", "msg_id").alias("thread_id"),
+            F.coalesce("thread_id", "msg_id").alias("thread_id"),
             "parent_id",
             F.coalesce("depth", F.lit(0).cast("long")).alias("depth"),
             F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
@@ -152,25 +149,28 @@ def link(messages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
 
-def depths(parents: DataFrame) -> DataFrame:
-    """``msg_id, depth``: how many answers lie between a message and its root, by doubling the steps.
+def climb(parents: DataFrame) -> DataFrame:
+    """``msg_id, thread_id, depth``: the root above each answer, and how many answers lie between.
 
-    Each round looks up the ancestor's ancestor, so a chain of n answers takes log2(n) rounds.
+    Steps are doubled: each round looks up the ancestor's ancestor, so a chain of n answers takes
+    log2(n) rounds, and a row that has reached its root takes part no more.
     """
-    steps = cut(parents.select("msg_id", F.col("parent_id").alias("up"), F.lit(1).cast("long").alias("depth")), "quotes-steps")
-    while True:
-        above = steps.select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        joined = steps.join(above, "up", "left")
-        if joined.filter("next is not null").isEmpty():
-            return steps.select("msg_id", "depth")
-        steps = cut(
-            joined.select(
-                "msg_id",
-                F.when(F.col("next").isNull(), F.col("up")).otherwise(F.col("next")).alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            ),
-            "quotes-steps",
+    steps = parents.select(
+        "msg_id", F.col("parent_id").alias("up"), F.lit(1).cast("long").alias("depth"), F.lit(False).alias("done")
+    )
+    steps = cut(steps, "quotes-steps")
+    while not steps.filter("not done").isEmpty():
+        above = steps.select(
+            F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("top")
+        )
+        moved = steps.filter("not done").join(above, "up", "left").select(
+            "msg_id",
+            F.coalesce("next", "up").alias("up"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.coalesce("top", F.lit(True)).alias("done"),
         )
+        steps = cut(steps.filter("done").unionByName(moved), "quotes-steps")
+    return steps.select("msg_id", F.col("up").alias("thread_id"), "depth")
 
 
 def write_conversations(linked: DataFrame, path: str) -> None:
