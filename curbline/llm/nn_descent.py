@@ -167,9 +167,12 @@ def leaves(nodes: DataFrame, planes: int, seed: int) -> DataFrame:
 
 
 def best_edges(edges: DataFrame, most: int) -> DataFrame:
-    """The ``most`` nearest of each node, repeated edges once."""
+    """The ``most`` nearest of each node, repeated edges once, both in one shuffle by node.
+
+    A node has no more rows than its neighbours' lists have places and the blocks find.
+    """
     order = Window.partitionBy("a").orderBy(F.col("s").desc(), "b")
-    once = edges.groupBy("a", "b").agg(F.max("s").alias("s"))
+    once = edges.repartition("a").groupBy("a", "b").agg(F.max("s").alias("s"))
     return once.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
 
 
