@@ -5,7 +5,7 @@ from helpers import VALID, raw, rows_of
 
 from curbline.operators import shards
 from curbline.operators.canonical import canonical_events
-from curbline.schema import SHARD_COLUMNS
+from curbline.schema import EVENT_COLUMNS, SHARD_COLUMNS, TRIGGER
 from curbline.session import work_dir
 from curbline.sources import messages, relational, shard_csv
 from curbline.streaming.sinks import start_writer
@@ -47,6 +47,56 @@ def test_bus_source_options():
     assert (limited["startingOffsets"], limited["maxOffsetsPerTrigger"]) == ("latest", 500)
 
 
+class Writer(dict):
+    """Records what a batch or stream writer is told."""
+
+    def __init__(self):
+        super().__init__()
+        self.write = self.writeStream = self
+
+    def _set(self, key, value):
+        self[key] = value
+        return self
+
+    def format(self, name):
+        return self._set("format", name)
+
+    def option(self, key, value):
+        return self._set(key, value)
+
+    def outputMode(self, mode):
+        return self._set("mode", mode)
+
+    def trigger(self, **when):
+        return self._set("trigger", when)
+
+    def start(self):
+        return self
+
+    def save(self):
+        self["saved"] = True
+
+
+def test_bus_sinks_take_partial_events_and_streams(monkeypatch):
+    asked, writers = [], []
+
+    def payload(events, fields):
+        asked.append(fields)
+        writers.append(Writer())
+        return writers[-1]
+
+    monkeypatch.setattr(messages, "message_payload", payload)
+    bus = {"format": "kafka", "kafka.bootstrap.servers": "a:1", "kafka.acks": "all", "topic": "parts"}
+    fields = ("trip_id", "pickup_latitude")
+    messages.publish_kafka(None, "a:1", "parts", fields)
+    assert asked == [fields] and writers[0] == bus | {"saved": True}
+    messages.publish_kafka_stream(None, "a:1", "parts", "check")
+    assert asked[1] == EVENT_COLUMNS
+    assert writers[1] == bus | {
+        "mode": "append", "checkpointLocation": "check", "trigger": {"processingTime": TRIGGER},
+    }
+
+
 def test_relational_source_reads_date_spans():
     url, table, spans, properties = relational.read_staging_table(
         Reader(), "jdbc:x", "staging.trips", "u", "p", ["2014-04-01", "2014-04-08", "2014-04-15"]
