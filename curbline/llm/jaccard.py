@@ -3,17 +3,18 @@
 1. A text becomes its sorted set of hashed word shingles. Equal sets are one class, whatever their number.
 2. Classes stand in bands of set size. Two sets that link differ in at most ``d`` shingles, a bound that the
    sizes of a band fix. Cut the hash range into ``d + 3`` parts: at least three parts are equal, so at least one
-   hash over a part is. Classes that share one are candidates; an ordered minimum per hash ties them together with
-   one row per class and hash, never a row per pair. Parts without a shingle say nothing and are left
-   out, except by sets with three or more of them, which might share nothing else.
-3. A group of candidates is cut into tiles by band and, where it is large, by hash; only tiles whose sizes can
-   link meet. Within a pair of tiles, bitmaps of the sets (parity of the shingles that fall on a bit) bound the
-   difference from below, and so the overlap from above; pairs that pass are intersected exactly. A tile emits the
-   links that join what was not yet joined, fewer than it has sets.
-4. Links between classes give the components.
-
-No step is approximate but for equal 64-bit hashes of different shingles. Nothing is capped: hot candidate
-groups get more tiles.
+   hash over a part is. Classes that share one meet in a bucket. Parts without a shingle say nothing and are left
+   out, except by sets with three or more of them, which might share nothing else. A group of near copies is spread
+   over as many buckets as its sets have parts; of buckets with the same classes one is kept.
+3. In a bucket, bitmaps of the sets (parity of the shingles that fall on a bit) bound the difference from below, and so
+   the overlap from above. A bucket emits links that join what the bound lets pass, fewer than it has sets; their
+   components are groups of candidates. Large buckets are cut into blocks that meet in pairs.
+4. A group is cut into tiles by band and, where it is large, by hash; only tiles whose sizes can link meet. Pairs
+   that pass the bitmaps are intersected exactly, and a pair of tiles emits the links that join what was not yet joined.
+5. Links between classes give the components.
+
+No step is approximate but for equal 64-bit hashes of different shingles. Nothing is capped: hot buckets and
+groups get more blocks and tiles.
 
 Defined cases: a null text or one without words has an empty set and links with nothing; with fewer words than a
 shingle the whole sequence is the one shingle; repeated rows and rows that share a doc_id are told apart by their
@@ -23,7 +24,7 @@ texts are one set; further columns are carried along and may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,11 @@ LEAST = 90
 #: Ratio of the sizes of neighbouring bands; it must be at least 100 / LEAST.
 BAND = 1.25
 #: Shingles that a tile holds about, at most, unless one set has more.
-TILE_SHINGLES = 1_000_000
+TILE_SHINGLES = 4_000_000
+#: Classes that a block of a bucket holds about, at most.
+BLOCK = 4096
+#: Bits of a bitmap for each shingle in which two linked sets may differ, about.
+BITS = 4
 #: Bytes of text that are worked on at a time.
 BATCH_BYTES = 4_000_000
 
@@ -118,16 +123,17 @@ def part_hashes(shingles: np.ndarray, least: int = LEAST) -> np.ndarray:
 
 
 def sketch(text: F.Column, words: int = WORDS, least: int = LEAST) -> F.Column:
-    """``struct<n, a, b, parts>``: size and digest of a text's set, and its part hashes."""
+    """``struct<n, a, b, bits, parts>``: size, digest and bitmap of a text's set, and its part hashes."""
 
-    @arrow_udf("struct<n: long, a: long, b: long, parts: array<long>>")
+    @arrow_udf("struct<n: long, a: long, b: long, bits: binary, parts: array<long>>")
     def sketched(column: pa.Array) -> pa.Array:
-        sizes, firsts, seconds, hashes = [], [], [], []
+        sizes, firsts, seconds, maps, hashes = [], [], [], [], []
         for value in column:
             found = shingle_set(value.as_py() or "", words)
             sizes.append(len(found))
             firsts.append(mixed(found).sum(dtype=U64))
             seconds.append(mixed(found ^ MIX[0]).sum(dtype=U64))
+            maps.append(parity(found, bits_for(len(found), least)).tobytes())
             hashes.append(part_hashes(found, least) if len(found) else np.zeros(0, U64))
         ends = np.concatenate([[0], np.cumsum([len(x) for x in hashes])]).astype(np.int32)
         flat = np.concatenate([*hashes, np.zeros(0, U64)]).view(np.int64)
@@ -135,24 +141,42 @@ def sketch(text: F.Column, words: int = WORDS, least: int = LEAST) -> F.Column:
             pa.array(sizes, pa.int64()),
             pa.array(np.array(firsts, U64).view(np.int64)),
             pa.array(np.array(seconds, U64).view(np.int64)),
+            pa.array(maps, pa.binary()),
             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
         ]
-        return pa.StructArray.from_arrays(columns, ["n", "a", "b", "parts"])
+        return pa.StructArray.from_arrays(columns, ["n", "a", "b", "bits", "parts"])
 
     return sketched(text)
 
 
-def bitmaps(sets: list[np.ndarray], least: int = LEAST) -> np.ndarray:
-    """A row of 64-bit words for each set: each bit is the parity of the shingles that fall on it."""
-    differ = most_difference(2 * max(map(len, sets)), least)
-    bits = max(64, min(1 << 14, 1 << int(8 * differ).bit_length()))
-    out = np.zeros((len(sets), bits // 64), U64)
-    for row, own in enumerate(sets):
-        place = mixed(own * STEP) & U64(bits - 1)
-        np.bitwise_xor.at(out[row], place >> U64(6), U64(1) << (place & U64(63)))
+def parity(own: np.ndarray, bits: int) -> np.ndarray:
+    """A set's bitmap in 64-bit words: each bit is the parity of the shingles that fall on it.
+
+    Halving ``bits`` folds the bitmap: its halves are added by exclusive or.
+    """
+    out = np.zeros(bits // 64, U64)
+    place = mixed(own * STEP) & U64(bits - 1)
+    np.bitwise_xor.at(out, place >> U64(6), U64(1) << (place & U64(63)))
     return out
 
 
+def bits_for(size: int, least: int = LEAST) -> int:
+    """Length of the bitmap of a set, a power of two."""
+    return max(64, min(1 << 17, 1 << (BITS * most_difference(2 * size, least)).bit_length()))
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of several lengths as rows of the shortest."""
+    words = min(map(len, maps))
+    return np.stack([np.bitwise_xor.reduce(own.reshape(-1, words), axis=0) for own in maps])
+
+
+def bitmaps(sets: list[np.ndarray], least: int = LEAST) -> np.ndarray:
+    """A bitmap for each set, all of one length."""
+    bits = bits_for(max(map(len, sets)), least)
+    return np.stack([parity(own, bits) for own in sets])
+
+
 def linked(one: np.ndarray, other: np.ndarray, least: int = LEAST) -> bool:
     """Whether two sorted sets reach the similarity, in whole numbers."""
     small, large = (one, other) if len(one) < len(other) else (other, one)
@@ -162,33 +186,102 @@ def linked(one: np.ndarray, other: np.ndarray, least: int = LEAST) -> bool:
     return 100 * both >= least * (len(one) + len(other) - both)
 
 
-def tile_links(sets: list[np.ndarray], sides: np.ndarray, least: int = LEAST) -> list[tuple[int, int]]:
-    """Links that join the sets of a tile, or those of one side with the other's: a spanning forest."""
-    size = np.array([len(x) for x in sets], np.int64)
-    maps = bitmaps(sets, least)
-    label = np.arange(len(sets))
+def forest(
+    size: np.ndarray, maps: np.ndarray, sides: np.ndarray, least: int = LEAST, check: Callable | None = None
+) -> list[tuple[int, int]]:
+    """Pairs that join all whose bitmaps let them link, and who pass ``check``; within, or across, two sides."""
+    label = np.arange(len(size))
     across = len(np.unique(sides)) > 1
     out = []
-    for one in range(len(sets) - 1):
+    for one in range(len(size) - 1):
         rest = slice(one + 1, None)
-        total = size[rest] + size[one]
-        near = np.bitwise_count(maps[rest] ^ maps[one]).sum(axis=1, dtype=np.int64) <= most_difference(total, least)
-        near &= label[rest] != label[one]
+        near = label[rest] != label[one]
         near &= 100 * np.minimum(size[rest], size[one]) >= least * np.maximum(size[rest], size[one])
         if across:
             near &= sides[rest] != sides[one]
-        for other in (np.flatnonzero(near) + one + 1).tolist():
-            if label[other] != label[one] and linked(sets[one], sets[other], least):
+        others = np.flatnonzero(near) + one + 1
+        differ = np.bitwise_count(maps[others] ^ maps[one]).sum(axis=1, dtype=np.int64)
+        others = others[differ <= most_difference(size[others] + size[one], least)]
+        for other in others.tolist():
+            if label[other] != label[one] and (check is None or check(one, other)):
                 label[label == label[other]] = label[one]
                 out.append((one, other))
     return out
 
 
-def candidate_groups(classes: DataFrame, parts: DataFrame) -> DataFrame:
-    """``cls, n, doc_id, text_hash, grp`` of the classes that share a part hash with another."""
+def tile_links(sets: list[np.ndarray], sides: np.ndarray, least: int = LEAST) -> list[tuple[int, int]]:
+    """Links that join the sets of a tile, or those of one side with the other's."""
+    size = np.array([len(x) for x in sets], np.int64)
+    return forest(size, bitmaps(sets, least), sides, least, lambda a, b: linked(sets[a], sets[b], least))
+
+
+def pairs_of(found: list[tuple[int, int]], names: np.ndarray) -> pa.RecordBatch:
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(names[ends[:, 0]]), pa.array(names[ends[:, 1]])], ["a", "b"])
+
+
+def bucket_links(met: DataFrame, sizes: DataFrame, least: int = LEAST) -> DataFrame:
+    """``a, b``: links by bitmap among the classes of each bucket.
+
+    ``met`` has ``part, cls`` of buckets with several classes, ``sizes`` has ``cls, n, bits``.
+    """
+    buckets = met.groupBy("part").agg(
+        F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("cls")).alias("x"),
+        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"),
+    )
+    once = cut(buckets.groupBy("rows", "x", "y").agg(F.min("part").alias("part")), "jaccard-buckets")
+    cuts = F.ceil(F.col("rows") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("cls"), cuts).cast("int")
+    spread = met.join(once.select("part", "rows"), "part").withColumn("own", own)
+    spread = spread.withColumn("j", F.explode(F.sequence(F.lit(0), cuts - 1)))
+    keyed = spread.select(
+        F.struct("part", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j")).alias("key"),
+        (F.col("own") > F.col("j")).alias("side"),
+        "cls",
+    )
+    rows = keyed.join(sizes, "cls").select("key.*", "side", "cls", "n", "bits")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            if whole.num_rows < 2:
+                return
+            maps = folded([np.frombuffer(bits, U64) for bits in whole["bits"].to_pylist()])
+            size, side = whole["n"].to_numpy(), whole["side"].to_numpy()
+            found = forest(size, maps, side, least)
+            if found:
+                yield pairs_of(found, whole["cls"].to_numpy())
+
+        last = None
+        for batch in batches:
+            keys = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("part", "i", "j")], axis=1)
+            borders = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            for start, end in zip([0, *borders], [*borders, len(keys)], strict=True):
+                if start == end:
+                    continue
+                key = keys[start].tolist()
+                if held and key != last:
+                    yield from flush()
+                held.append(batch.slice(start, end - start))
+                last = key
+        if held:
+            yield from flush()
+
+    dealt = rows.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def candidate_groups(classes: DataFrame, parts: DataFrame, sizes: DataFrame, least: int = LEAST) -> DataFrame:
+    """``cls, n, doc_id, text_hash, grp`` of the classes that may link with another."""
     same = Window.partitionBy("part")
-    met = parts.withColumn("low", F.min("cls").over(same)).filter("low != cls").select("low", "cls").distinct()
-    groups = connected_components(met.select(F.col("low").alias("a"), F.col("cls").alias("b")), "jaccard")
+    ends = parts.withColumn("low", F.min("cls").over(same)).withColumn("high", F.max("cls").over(same))
+    met = cut(ends.filter("low < high").select("part", "cls"), "jaccard-met")
+    edges = cut(bucket_links(met, sizes, least), "jaccard-edges")
+    groups = connected_components(edges, "jaccard")
     return cut(
         classes.join(groups, classes["cls"] == groups["node"]).select(
             "cls", "n", "doc_id", "text_hash", F.col("component").alias("grp")
@@ -270,8 +363,7 @@ def links_in_tiles(docs: DataFrame, spread: DataFrame, words: int = WORDS, least
         order = sorted(rows.values(), key=lambda row: (len(row[2]), row[0]))
         found = tile_links([row[2] for row in order], np.array([row[1] for row in order]), least)
         if found:
-            columns = [pa.array([order[pair[k]][0] for pair in found], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            yield pairs_of(found, np.array([row[0] for row in order], np.int64))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, {}
@@ -314,7 +406,7 @@ def mark_groups(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> Data
         .join(classes.select("cls"), F.col("row") == F.col("cls"))
         .select("cls", F.explode("parts").alias("part"))
     )
-    candidates = candidate_groups(classes, parts)
+    candidates = candidate_groups(classes, parts, marks.select(F.col("row").alias("cls"), "n", "bits"), least)
     links = cut(links_in_tiles(docs, tiles(candidates, least), words, least), "jaccard-found")
     components = connected_components(links, "jaccard-links")
     joined = classes.join(components, F.col("cls") == F.col("node"), "left").select(
