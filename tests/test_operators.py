@@ -220,18 +220,17 @@ def test_one_per_key_takes_the_first_in_order(spark):
     assert rows_of(one_per_key(frame, "k", ("v",))) == [("a", 2, "x"), ("b", None, "q")]
 
 
-@pytest.mark.parametrize("batch_rows", [None, 4, 10**9])
-def test_insert_absent(spark, batch_rows):
+def test_insert_absent(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), ("c", 3)], "trip_id string, v int")
     existing = spark.createDataFrame([("a", 9), ("a", 8), ("z", 7)], "trip_id string, v int")
-    got = insert_absent(batch, existing, batch_rows=batch_rows)
+    got = insert_absent(batch, existing)
     assert rows_of(got) == [("b", 2), ("c", 3)]
 
 
 def test_a_small_batch_spares_the_big_table_the_shuffle(spark):
     big = spark.range(0, 10**9, 1, 8).select(F.col("id").cast("string").alias("trip_id"))
     batch = spark.range(10).select(F.col("id").cast("string").alias("trip_id"), F.lit(1).alias("v"))
-    assert "BroadcastHashJoin" in plan_of(insert_absent(batch, big, batch_rows=10))
+    assert "BroadcastHashJoin" in plan_of(insert_absent(batch, big))
 
 
 def test_upsert_keeps_the_latest(spark):
