@@ -41,7 +41,7 @@ WORDS = 3
 #: The similarity in hundredths.
 LEAST = 90
 #: Ratio of the sizes of neighbouring bands; it must be at least 100 / LEAST.
-BAND = 1.25
+BAND = 1.5
 #: Shingles that a tile holds about, at most, unless one set has more.
 TILE_SHINGLES = 4_000_000
 #: Classes that a block of a bucket holds about, at most.
