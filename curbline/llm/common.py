@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +13,7 @@ from pyspark.sql.window import Window
 
 from curbline.session import work_dir
 
+T = TypeVar("T")
 #: Fixed value: a word, as the contracts of several operators define it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -32,6 +34,25 @@ def cut(frame: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_HELD: dict[tuple[str, str], object] = {}
+
+
+def held(kind: str, key: str, make: Callable[[], T]) -> T:
+    """The one large helper of this Python worker, such as a cache of words: others are let go first.
+
+    Workers live on from stage to stage, and their memory would add up.
+    """
+    if (kind, key) not in _HELD:
+        _HELD.clear()
+        _HELD[kind, key] = make()
+    return _HELD[kind, key]
+
+
+def release() -> None:
+    """Let go of the helper of an earlier stage, at the start of work that needs none."""
+    _HELD.clear()
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
-from curbline.llm.common import cut
+from curbline.llm.common import cut, release
 
 #: The modulus and the two points; fixed values, any points would do.
 PRIME = 2**31 - 1
@@ -76,6 +76,7 @@ def fingerprint(text: Column, points=POINTS, prime: int = PRIME) -> Column:
 
     @arrow_udf("struct<fp_a: long, fp_b: long>")
     def hashed(column: pa.Array) -> pa.Array:
+        release()
         weights = np.stack([powers(point, HASH_CHUNK, prime) for point in points], axis=1)
         column = column.cast(pa.large_binary())
         _, offsets, values = column.buffers()

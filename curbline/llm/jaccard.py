@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
-from curbline.llm.common import connected_components, cut, small_batches, strings
+from curbline.llm.common import connected_components, cut, release, small_batches, strings
 from curbline.llm.exact_dedup import rows_named
 
 WORDS = 3
@@ -127,6 +127,7 @@ def sketch(text: F.Column, words: int = WORDS, least: int = LEAST) -> F.Column:
 
     @arrow_udf("struct<n: long, a: long, b: long, bits: binary, parts: array<long>>")
     def sketched(column: pa.Array) -> pa.Array:
+        release()
         sizes, firsts, seconds, maps, hashes = [], [], [], [], []
         for value in column:
             found = shingle_set(value.as_py() or "", words)

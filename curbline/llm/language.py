@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from curbline.llm.common import cut, held_out, sample_per_label
+from curbline.llm.common import cut, held, held_out, sample_per_label
 
 #: Labelled rows of each language that the model is fitted on, at most.
 SAMPLE = 1500
@@ -40,9 +40,10 @@ SMOOTHING = 0.05
 #: Log probability of a character that the vocabulary lacks.
 UNSEEN = -18.0
 #: Words kept by one Python worker before it starts afresh.
-KEPT_WORDS = 400_000
-#: Words that are looked up at a time.
-SLICE_WORDS = 500_000
+KEPT_WORDS = 300_000
+#: Words that are looked up, and texts that are taken from a batch, at a time.
+SLICE_WORDS = 250_000
+SLICE_TEXTS = 500
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Fixed value: the vocabulary's mark of a word's begin.
@@ -225,15 +226,9 @@ class Scorer:
         return total, counts
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def scorer_of(model: dict) -> Scorer:
-    """The scorer of this Python worker for a model; one model is kept at a time."""
-    if model["id"] not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model["id"]] = Scorer(model)
-    return _SCORERS[model["id"]]
+    """The scorer of this Python worker for a model."""
+    return held("language", model["id"], lambda: Scorer(model))
 
 
 def identify(text: Column, model: dict, session) -> Column:
@@ -246,7 +241,12 @@ def identify(text: Column, model: dict, session) -> Column:
 
     @arrow_udf("struct<lang: string, score: double>")
     def predict(column: pa.Array) -> pa.Array:
-        logs, counts = scorer_of(shared.value).texts([text or "" for text in column.to_pylist()])
+        scorer = scorer_of(shared.value)
+        # A few texts at a time: an Arrow batch may hold 64 MB of them.
+        slices = [column.slice(first, SLICE_TEXTS) for first in range(0, len(column), SLICE_TEXTS)]
+        parts = [scorer.texts([text or "" for text in some.to_pylist()]) for some in slices]
+        logs = np.concatenate([np.zeros((0, len(languages))), *[part[0] for part in parts]])
+        counts = np.concatenate([np.zeros(0, np.int64), *[part[1] for part in parts]])
         if not languages:
             names, scores = [UNKNOWN] * len(column), np.zeros(len(column))
         else:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
 
+from curbline.llm.common import held
+
 #: Parts and ids kept by one Python worker before it drops the rarer ones (some 100 MB).
-KEPT_PARTS = 400_000
-KEPT_IDS = 4_000_000
+KEPT_PARTS = 300_000
+KEPT_IDS = 3_000_000
 #: Characters of Latin scripts whose normal and lower-case forms are plain, and common white space. Words with
 #: any other are not parted here but go through the whole tokenizer.
 ODD = re.compile(r"[^ \t\r\n!-~¡-¬®-įı-ſ]")
@@ -115,7 +116,6 @@ class PartEncoder:
         return self.ids[gather], after[ends]
 
 
-@lru_cache(maxsize=2)
 def part_encoder(path: str) -> PartEncoder:
-    """One encoder for each Python worker and vocabulary file."""
-    return PartEncoder(path)
+    """The encoder of this Python worker for a vocabulary file."""
+    return held("tokens", path, lambda: PartEncoder(path))

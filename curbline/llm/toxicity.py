@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from curbline.llm.common import cut, held_out, sample_per_label, strings, table
+from curbline.llm.common import cut, held, held_out, sample_per_label, strings, table
 
 #: Labelled rows of each label that the classifier is fitted on, and of these the examples of the index, at most.
 SAMPLE = 6000
@@ -276,15 +276,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, examples: int
     return model
 
 
-_CLASSIFIERS: dict[str, Classifier] = {}
-
-
 def classifier_of(model: dict) -> Classifier:
-    """The classifier of this Python worker for a model; one model is kept at a time."""
-    if model["id"] not in _CLASSIFIERS:
-        _CLASSIFIERS.clear()
-        _CLASSIFIERS[model["id"]] = Classifier(model)
-    return _CLASSIFIERS[model["id"]]
+    """The classifier of this Python worker for a model."""
+    return held("toxicity", model["id"], lambda: Classifier(model))
 
 
 def toxicity(text: Column, model: dict, session: SparkSession) -> Column:
