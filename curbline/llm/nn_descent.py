@@ -7,7 +7,9 @@ a node's neighbourhood, in both directions, is compared with itself, and what be
 Lists whose last place still reaches the threshold are saturated: they may hide further links. They are enlarged to
 all of their component, counted and not listed: two nodes within half the threshold's angle of the component's mean
 direction are linked by the triangle inequality, so such nodes need a count only, and the others are compared
-with the component in blocks. Edges that reach the threshold in double precision are kept.
+with the component in blocks. Two saturated components of one label may hide the links between them as well: where the
+angle of their means, less both radii, leaves room for the threshold, all their pairs are counted in blocks, and a link
+found joins them. Edges that reach the threshold in double precision are kept.
 
 Recall is audited: for a bounded sample of vectors all links are counted by comparison with every vector. While it
 is below ``RECALL``, further planes and rounds are added, for ``MOST_TRIES`` tries.
@@ -225,10 +227,132 @@ def measured(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
     return kept.unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def counted_whole(members: DataFrame, least: float) -> DataFrame:
-    """``node, links`` in components ``grp`` that are counted against all their nodes.
+NAMES = ["a", "b", "lo", "hi"]
 
-    ``members`` has ``node, m, unit, grp``; ``m`` is the number of vectors of a node.
+
+def tiled(members: DataFrame, pairs: DataFrame, handle: Callable, schema: str, most: int) -> DataFrame:
+    """What ``handle(left, right)`` makes of every two tiles of groups that are paired.
+
+    ``members`` has ``node, grp`` and what ``handle`` reads, ``pairs`` the groups ``a <= b``. Tiles have some ``most`` nodes;
+    two tiles are compared once, and a tile of a group paired with itself also with itself.
+    """
+    sizes = members.groupBy("grp").agg(F.ceil(F.count("*") / most).cast("int").alias("cuts"))
+    sized = pairs.join(sizes.select(F.col("grp").alias("a"), F.col("cuts").alias("cuts_a")), "a").join(
+        sizes.select(F.col("grp").alias("b"), F.col("cuts").alias("cuts_b")), "b"
+    )
+    sized = cut(sized.select("a", "b", "cuts_a", "cuts_b"), "nn-pairs")
+    columns = [c for c in members.columns if c != "grp"]
+    own = F.xxhash64("node")
+    same = F.col("a") == F.col("b")
+    left = members.join(sized, F.col("grp") == F.col("a")).withColumn("lo", F.pmod(own, F.col("cuts_a")).cast("int"))
+    left = left.withColumn("hi", F.explode(F.sequence(F.when(same, F.col("lo")).otherwise(0), F.col("cuts_b") - 1)))
+    right = members.join(sized, F.col("grp") == F.col("b")).withColumn("hi", F.pmod(own, F.col("cuts_b")).cast("int"))
+    right = right.withColumn("lo", F.explode(F.sequence(F.lit(0), F.when(same, F.col("hi")).otherwise(F.col("cuts_a") - 1))))
+    both = left.select(*NAMES, F.lit(False).alias("side"), *columns).unionByName(
+        right.select(*NAMES, F.lit(True).alias("side"), *columns)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Two tiles are some 2 * most rows; others with an equal key are told apart by name."""
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            sides = [rows.filter(mask).combine_chunks() for mask in (pc.invert(rows["side"]), rows["side"])]
+            if sides[0].num_rows and sides[1].num_rows:
+                yield from handle(*sides)
+
+        for batch in batches:
+            names = np.stack([batch[c].to_numpy().astype(np.int64) for c in NAMES], axis=1)
+            borders = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
+            for start, end in zip(borders, borders[1:], strict=False):
+                if start == end:
+                    continue
+                if held and tuple(names[start]) != last:
+                    yield from flush()
+                held.append(batch.slice(start, end - start))
+                last = tuple(names[start])
+        if held:
+            yield from flush()
+
+    dealt = both.withColumn("key", F.xxhash64(*NAMES)).repartition("key").sortWithinPartitions("key", *NAMES).drop("key")
+    return dealt.mapInArrow(run, schema)
+
+
+def rows_at(table: pa.Table, name: str, dtype: type = np.float64) -> np.ndarray:
+    return matrix(table[name].combine_chunks(), dtype)
+
+
+def counted(members: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """``node, links, other``: links of nodes of paired groups, and one edge for two tiles of different groups that link.
+
+    ``members`` has ``node, m, unit, grp, core``; ``m`` is the number of vectors of a node. Nodes of a group's core are not
+    counted against each other.
+    """
+
+    def count(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
+        a, b, lo, hi = (left[c][0].as_py() for c in NAMES)
+        nodes, others = left["node"].to_numpy(), right["node"].to_numpy()
+        weights, other_weights = left["m"].to_numpy(), right["m"].to_numpy()
+        core, other_core = (t["core"].to_numpy() for t in (left, right))
+        vectors, other_vectors = rows_at(left, "unit"), rows_at(right, "unit")
+        links, other_links = np.zeros(len(nodes), np.int64), np.zeros(len(others), np.int64)
+        edge = None
+        for first in range(0, len(nodes), TILE):
+            part = slice(first, first + TILE)
+            near = vectors[part] @ other_vectors.T >= least
+            if a == b:
+                near &= ~(core[part, None] & other_core[None, :])
+                near &= nodes[part, None] != others[None, :]
+            elif edge is None and near.any():
+                row, column = np.unravel_index(near.argmax(), near.shape)
+                edge = (nodes[first + row], others[column])
+            links[part] = near @ other_weights
+            other_links += weights[part] @ near
+        empty = lambda n: pa.nulls(n, pa.int64())
+        names = ["node", "links", "other"]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links), empty(len(nodes))], names)
+        if a != b or lo != hi:
+            yield pa.RecordBatch.from_arrays([pa.array(others), pa.array(other_links), empty(len(others))], names)
+        if edge is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (edge[0], 0, edge[1])], names)
+
+    return tiled(members.select("node", "m", "unit", "grp", "core"), pairs, count, "node long, links long, other long", TILE)
+
+
+def near_groups(centres: DataFrame, least: float) -> DataFrame:
+    """``a, b``: different groups of a label that may link, by the angle of their centres less both radii.
+
+    ``centres`` has ``grp, label, dim, centre, radius``; those of a label are compared in tiles.
+    """
+    room = math.acos(least) + 1e-6
+
+    def compare(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
+        mine, others = left["node"].to_numpy(), right["node"].to_numpy()
+        angles = np.arccos(np.clip(rows_at(left, "centre") @ rows_at(right, "centre").T, -1.0, 1.0))
+        angles -= left["radius"].to_numpy()[:, None]
+        angles -= right["radius"].to_numpy()[None, :]
+        rows, columns = np.nonzero((angles <= room) & (mine[:, None] != others[None, :]))
+        ends = np.sort(np.stack([mine[rows], others[columns]], axis=1), axis=1)
+        ends = np.unique(ends, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    firsts = centres.groupBy("label", "dim").agg(F.min("grp").alias("of"), F.count("*").alias("n")).filter("n > 1")
+    placed = cut(
+        centres.join(firsts, ["label", "dim"]).select(F.col("grp").alias("node"), F.col("of").alias("grp"), "centre", "radius"),
+        "nn-centres",
+    )
+    pairs = placed.select(F.col("grp").alias("a"), F.col("grp").alias("b")).distinct()
+    return tiled(placed, pairs, compare, "a long, b long", TILE)
+
+
+def counted_whole(members: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """``node, links`` in components ``grp`` that are counted against all their nodes and those of near components,
+    and ``a, b`` for components that turn out to be linked.
+
+    ``members`` has ``node, label, dim, m, unit, grp``.
     """
     mean = members.select("grp", F.posexplode("unit").alias("place", "x")).groupBy("grp", "place").agg(
         F.sum("x").alias("x")
@@ -239,66 +363,34 @@ def counted_whole(members: DataFrame, least: float) -> DataFrame:
     half = math.sqrt((1 + least) / 2) + 1e-9
     placed = cut(
         members.join(centre, "grp", "left").select(
-            "node", "m", "unit", "grp", F.coalesce(along >= half, F.lit(False)).alias("core")
+            "node", "label", "dim", "m", "unit", "grp", "centre",
+            F.coalesce(along >= half, F.lit(False)).alias("core"),
+            F.coalesce(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), along))), F.lit(math.pi)).alias("angle"),
         ),
         "nn-members",
-    )
-    sizes = placed.groupBy("grp").agg(
+    )
+    sizes = placed.groupBy("grp", "label", "dim").agg(
         F.sum(F.when(F.col("core"), F.col("m")).otherwise(0)).alias("core_m"),
         F.sum(F.col("core").cast("long")).alias("core_rows"),
         F.count("*").alias("rows"),
+        F.max("angle").alias("radius"),
+        F.coalesce(F.first("centre"), F.array_repeat(F.lit(0.0), F.col("dim"))).alias("centre"),
     )
     sizes = cut(sizes, "nn-sizes")
-    sure = placed.filter("core").join(sizes, "grp").select("node", (F.col("core_m") - F.col("m")).alias("links"))
-    open_ = placed.join(sizes.filter("core_rows < rows"), "grp")
-    cuts = F.ceil(F.col("rows") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("node"), cuts).cast("int")
-    spread = open_.withColumn("own", own).withColumn("j", F.explode(F.sequence(F.lit(0), cuts - 1)))
-    tile = F.xxhash64("grp", F.least("own", "j"), F.greatest("own", "j"))
-    tiles = spread.select(
-        tile.alias("key"), "grp", F.least("own", "j").alias("lo"), F.greatest("own", "j").alias("hi"),
-        (F.col("own") > F.col("j")).alias("side"), "node", "m", "unit", "core",
-    )
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A pair of tiles is some 2 * TILE rows; other pairs with an equal key are told apart by name."""
-        held: list[pa.RecordBatch] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            vectors = matrix(rows["unit"].combine_chunks(), np.float64)
-            core, side = (rows[c].to_numpy() for c in ("core", "side"))
-            weight, node = rows["m"].to_numpy(), rows["node"].to_numpy()
-            across = rows["lo"][0].as_py() != rows["hi"][0].as_py()
-            links = np.zeros(len(node), np.int64)
-            for first in range(0, len(node), TILE):
-                part = slice(first, first + TILE)
-                near = vectors[part] @ vectors.T >= least
-                near &= ~(core[part, None] & core[None, :])
-                near &= node[part, None] != node[None, :]
-                if across:
-                    near &= side[part, None] != side[None, :]
-                links[part] = near @ weight
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(links)], ["node", "links"])
-            held.clear()
-
-        last = None
-        for batch in batches:
-            names = list(zip(*(batch[c].to_pylist() for c in ("grp", "lo", "hi")), strict=True))
-            start = 0
-            for row in range(1, len(names) + 1):
-                if row == len(names) or names[row] != names[start]:
-                    if held and names[start] != last:
-                        yield from flush()
-                    held.append(batch.slice(start, row - start))
-                    last, start = names[start], row
-        if held:
-            yield from flush()
-
-    compared = (
-        tiles.repartition("key").sortWithinPartitions("key", "grp", "lo", "hi").mapInArrow(count, "node long, links long")
+    core_sizes = sizes.select("grp", "core_m")
+    sure = placed.filter("core").join(core_sizes, "grp").select("node", (F.col("core_m") - F.col("m")).alias("links"))
+    inside = sizes.filter("core_rows < rows").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
+    pairs = inside.unionByName(near_groups(sizes, least))
+    compared = cut(counted(placed, pairs, least), "nn-counted")
+    group_of = placed.select("node", "grp")
+    across = (
+        compared.filter("other is not null")
+        .join(group_of.withColumnRenamed("grp", "a"), "node")
+        .join(group_of.select(F.col("node").alias("other"), F.col("grp").alias("b")), "other")
+        .select("a", "b")
     )
-    return sure.unionByName(compared).groupBy("node").agg(F.sum("links").alias("links"))
+    links = sure.unionByName(compared.filter("other is null").select("node", "links"))
+    return links.groupBy("node").agg(F.sum("links").alias("links")), across
 
 
 def settled(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
@@ -308,14 +400,19 @@ def settled(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
     saturated = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("s").alias("end"))
     saturated = saturated.filter((F.col("n") >= K) & (F.col("end") >= least - SLACK)).select(F.col("a").alias("node"))
     hidden = cut(groups.join(saturated, "node", "left_semi").select("grp").distinct(), "nn-saturated")
-    members = nodes.select("node", "m", "unit").join(groups.join(hidden, "grp", "left_semi"), "node")
-    whole = counted_whole(members, least)
+    members = nodes.select("node", "label", "dim", "m", "unit").join(groups.join(hidden, "grp", "left_semi"), "node")
+    whole, across = counted_whole(members, least)
     listed = (
         edges.join(groups.join(hidden, "grp", "left_anti"), F.col("a") == F.col("node"))
         .join(nodes.select(F.col("node").alias("b"), "m"), "b")
         .groupBy("node")
         .agg(F.sum("m").alias("links"))
     )
+    across = cut(across.distinct(), "nn-across")
+    if not across.isEmpty():
+        joined = cut(connected_components(across, "nn-joined"), "nn-joined-groups")
+        joined = joined.select(F.col("node").alias("grp"), "component")
+        groups = groups.join(joined, "grp", "left").select("node", F.coalesce("component", "grp").alias("grp"))
     return cut(groups.join(whole.unionByName(listed), "node", "left"), "nn-settled")
 
 

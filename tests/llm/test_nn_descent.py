@@ -88,3 +88,29 @@ def test_hot_group_of_equal_vectors(spark):
     draw = random.Random(1)
     rows = [(n, [1.0, 0.0, 0.0] if n % 3 else [draw.random(), draw.random(), draw.random()], 0) for n in range(300)]
     assert found(spark, rows) == expected(rows)
+
+
+def around(draw, centre, cosine):
+    """A vector of length 1 at this cosine to a centre of length 1."""
+    side = draw.standard_normal(len(centre))
+    side -= (side @ centre) * centre
+    return cosine * centre + math.sqrt(1 - cosine * cosine) * side / np.linalg.norm(side)
+
+
+def two_groups(draw, first, label, dim=64):
+    """Two groups with some 0.97 inside and 0.945 across: nearer neighbours fill all lists."""
+    middle = draw.standard_normal(dim)
+    middle /= np.linalg.norm(middle)
+    centres = [around(draw, middle, math.sqrt(0.987)), None]
+    centres[1] = 2 * (centres[0] @ middle) * middle - centres[0]
+    vectors = [around(draw, centre, math.sqrt(0.97)) for centre in centres for _ in range(40)]
+    return [(first + n, [float(x) for x in v], label) for n, v in enumerate(vectors)]
+
+
+def test_links_between_saturated_groups(spark):
+    draw = np.random.default_rng(3)
+    rows = two_groups(draw, 0, 0) + two_groups(draw, 100, 1) + two_groups(draw, 200, 1)
+    rows += [(300 + n, [float(x) for x in draw.standard_normal(64)], n % 2) for n in range(40)]
+    wanted = expected(rows)
+    assert len({w[2] for w in wanted if w[0] < 80}) == 1
+    assert found(spark, rows) == wanted
