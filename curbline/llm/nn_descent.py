@@ -11,8 +11,11 @@ with the component in blocks. Two saturated components of one label may hide the
 angle of their means, less both radii, leaves room for the threshold, all their pairs are counted in blocks, and a link
 found joins them. Edges that reach the threshold in double precision are kept.
 
-Recall is audited: for a bounded sample of vectors all links are counted by comparison with every vector. While it
-is below ``RECALL``, further planes and rounds are added, for ``MOST_TRIES`` tries.
+Sets of planes grow with the nodes of a label, so that two nodes at the threshold share a side of one of them by ``MEET``
+at least. Recall is audited: for a bounded sample of each label's nodes all links are counted by comparison with every
+node of the label, and each node with links counts alike, whether it has one or thousands. A label's recall is the
+lowest of its nodes with less than ``K`` links, those with more, and both. Labels below ``RECALL`` get further planes and
+rounds, for ``MOST_TRIES`` tries; those still below are compared whole, every node with every other, in blocks.
 
 Defined cases: rows whose label is null or whose vector is null, empty, zero or holds null or non-finite components
 link with nothing; vectors of different lengths do not link; repeated rows are vectors of their own; a null vec_id
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +53,16 @@ BLOCK = 256
 HOT_LEAF = 4096
 #: Rounds of neighbours of neighbours after each set of planes.
 ROUNDS = 2
-#: Vectors that the audit compares with all, the recall it asks for, and how often the search is extended.
+#: Share of pairs at the threshold that the first planes alone bring together.
+MEET = 0.995
+#: Nodes of a label that the audit compares with all, the recall it asks for, and how often the search is extended.
 AUDIT = 512
 RECALL = 0.99
 MOST_TRIES = 4
 #: Nodes of a component that are compared with others at once.
 TILE = 1024
+#: Nodes of a label that the audit, and a comparison of all, hold at once.
+WHOLE = 4 * TILE
 #: Slack of the search in single precision; the edges kept are measured in double.
 SLACK = 1e-4
 
@@ -139,28 +147,40 @@ def nearest_in_block(nodes: np.ndarray, vectors: np.ndarray, most: int, floor: n
     return edge_batch(nodes[rows[good]], nodes[best.ravel()[good]], found[good])
 
 
-def leaves(nodes: DataFrame, planes: int, seed: int) -> DataFrame:
+def sets_of(bits: Column, planes: int, least: float) -> Column:
+    """Sets of planes after which ``MEET`` of the pairs at the threshold have been on one side, ``planes`` at least."""
+    alike = F.pow(F.lit(1 - math.acos(max(-1.0, min(1.0, least))) / math.pi), bits)
+    wanted = F.when(bits > 0, F.ceil(math.log(1 - MEET) / F.log(1 - alike))).otherwise(0)
+    return F.greatest(F.lit(planes), wanted).cast("int")
+
+
+def leaves(nodes: DataFrame, planes: int, seed: int, least: float) -> DataFrame:
     """``node, unit, key``: each node once per set of planes, with the number of its side."""
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("rows"))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("rows") / LEAF))).cast("int")
-    sized = nodes.join(sizes.select("label", "dim", bits.alias("bits")), ["label", "dim"])
+    sized = sizes.select("label", "dim", bits.alias("bits"))
+    sized = nodes.join(sized.withColumn("sets", sets_of(F.col("bits"), planes, least)), ["label", "dim"])
 
     @arrow_udf("array<long>")
-    def sides(vectors: pa.Array, bits: pa.Array) -> pa.Array:
+    def sides(vectors: pa.Array, bits: pa.Array, sets: pa.Array) -> pa.Array:
         lengths = np.diff(vectors.offsets.to_numpy())
         wanted = bits.to_numpy(zero_copy_only=False)
-        out = np.zeros((len(vectors), planes), np.int64)
+        many = sets.to_numpy(zero_copy_only=False)
+        most = int(many.max(initial=0))
+        out = np.zeros((len(vectors), most), np.int64)
         for dim in np.unique(lengths).tolist():
             rows = np.flatnonzero(lengths == dim)
             own = matrix(vectors.take(pa.array(rows)))
-            for table in range(planes):
+            for table in range(most):
                 normals = np.random.default_rng([seed, table, dim]).standard_normal((dim, 48)).astype(np.float32)
                 signs = (own @ normals > 0).astype(np.int64)
                 signs *= np.arange(48) < wanted[rows, None]
                 out[rows, table] = signs @ (1 << np.arange(48))
-        return pa.array(out.tolist(), pa.list_(pa.int64()))
+        offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+        flat = out[np.arange(most) < many[:, None]]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
 
-    coded = sized.select("node", "label", "dim", "unit", F.posexplode(sides("unit", "bits")).alias("table", "side"))
+    coded = sized.select("node", "label", "dim", "unit", F.posexplode(sides("unit", "bits", "sets")).alias("table", "side"))
     place = ["label", "dim", "table", "side"]
     hot = coded.groupBy(*place).agg(F.count("*").alias("rows")).filter(F.col("rows") > HOT_LEAF)
     hot = cut(hot.select(*place, F.ceil(F.col("rows") / HOT_LEAF).alias("cuts")), "nn-hot")
@@ -178,7 +198,7 @@ def best_edges(edges: DataFrame, most: int) -> DataFrame:
     return once.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
 
 
-def first_lists(nodes: DataFrame, planes: int, seed: int) -> DataFrame:
+def first_lists(nodes: DataFrame, planes: int, seed: int, least: float) -> DataFrame:
     """Lists from the blocks on each side of the planes."""
 
     def compare(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +206,7 @@ def first_lists(nodes: DataFrame, planes: int, seed: int) -> DataFrame:
             if batch.num_rows > 1:
                 yield nearest_in_block(batch["node"].to_numpy(), matrix(batch["unit"]), K)
 
-    single = leaves(nodes, planes, seed).select("key", "node", F.col("unit").cast("array<float>").alias("unit"))
+    single = leaves(nodes, planes, seed, least).select("key", "node", F.col("unit").cast("array<float>").alias("unit"))
     dealt = single.repartition("key").sortWithinPartitions("key", F.xxhash64("node", "key"))
     return dealt.mapInArrow(by_key(compare, BLOCK), EDGES)
 
@@ -416,40 +436,116 @@ def settled(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
     return cut(groups.join(whole.unionByName(listed), "node", "left"), "nn-settled")
 
 
+def by_label(nodes: DataFrame) -> DataFrame:
+    """``node, label, dim, m, unit, grp``: all nodes of a label and length as one group, named by the first."""
+    firsts = nodes.groupBy("label", "dim").agg(F.min("node").alias("grp"))
+    return nodes.select("node", "label", "dim", "m", "unit").join(firsts, ["label", "dim"])
+
+
 def exact_counts(nodes: DataFrame, queries: DataFrame, least: float) -> DataFrame:
-    """``node, links`` of a few nodes by comparison with every node, a block of each at a time.
+    """``node, links`` of some nodes of each label by comparison with every node of it, a block at a time.
 
-    Queries are bounded, so they go to every task by a broadcast.
+    A label's queries are bounded and go to each of its blocks, as many as it has for every ``WHOLE`` nodes.
     """
-    rows = queries.select("node", "label", "dim", "unit").toPandas()
-    known = [
-        (label, dim, own["node"].to_numpy(), np.stack(own["unit"].to_list()))
-        for (label, dim), own in rows.groupby(["label", "dim"])
-    ]
+    sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / WHOLE).cast("int").alias("cuts"))
+    place = ["label", "dim"]
+    columns = [F.xxhash64(*place, "piece").alias("key"), *place, "piece", "asked", "node", "m", "unit"]
+    piece = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
+    known = nodes.join(sizes, place).withColumn("piece", piece).withColumn("asked", F.lit(False))
+    asked = queries.join(sizes, place).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    both = known.select(*columns).unionByName(asked.withColumn("asked", F.lit(True)).select(*columns))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            labels, dims = (np.array(batch[c].to_pylist(), object) for c in ("label", "dim"))
-            for label, dim, ids, vectors in known:
-                mine = np.flatnonzero((labels == label) & (dims == dim))
-                if len(mine):
-                    some = batch.take(pa.array(mine))
-                    near = vectors @ matrix(some["unit"], np.float64).T >= least
-                    near &= ids[:, None] != some["node"].to_numpy()[None, :]
-                    columns = [pa.array(ids), pa.array(near @ some["m"].to_numpy())]
-                    yield pa.RecordBatch.from_arrays(columns, ["node", "links"])
-
-    found = nodes.select("node", "label", "dim", "unit", "m").mapInArrow(compare, "node long, links long")
+    def compare(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        names = list(zip(*(rows[c].to_pylist() for c in (*place, "piece")), strict=True))
+        for name in set(names):  # one, but for equal hashes
+            own = rows.filter(pa.array([n == name for n in names]))
+            some, all_ = own.filter(own["asked"]), own.filter(pc.invert(own["asked"]))
+            if some.num_rows and all_.num_rows:
+                ids, others, weights = some["node"].to_numpy(), all_["node"].to_numpy(), all_["m"].to_numpy()
+                near = rows_at(some, "unit") @ rows_at(all_, "unit").T >= least
+                near &= ids[:, None] != others[None, :]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(near @ weights)], ["node", "links"])
+
+    dealt = both.repartition("key").sortWithinPartitions("key")
+    found = dealt.mapInArrow(by_key(compare, 1 << 62), "node long, links long")
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def recall_of(nodes: DataFrame, found: DataFrame, least: float, audit: int = AUDIT) -> float:
-    """Share of the links of a sample of nodes that were found; found links are all true."""
-    queries = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(audit)
-    truth = exact_counts(nodes, queries, least)
-    both = truth.join(found.select("node", F.col("links").alias("got")), "node", "left")
-    total = both.agg(F.sum("links"), F.sum(F.coalesce("got", F.lit(0)))).first()
-    return 1.0 if not total[0] else float(total[1] or 0) / float(total[0])
+def recall_of(nodes: DataFrame, found: DataFrame, least: float, audit: int = AUDIT) -> DataFrame:
+    """``label, dim, recall`` of labels whose sample has links: the mean share of a node's links that were found.
+
+    It is the lowest of the means of nodes with less than ``K`` links, of those with more, and of both. Found links are all true.
+    """
+    order = Window.partitionBy("label", "dim").orderBy("draw", "node")
+    draw = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1 << 30))
+    sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("rows"))
+    few = nodes.withColumn("draw", draw).join(sizes, ["label", "dim"])
+    few = few.filter(F.col("draw") < (1.2 * audit + 200) / F.col("rows") * (1 << 30))
+    queries = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= audit)
+    queries = cut(queries.select("node", "label", "dim", "m", "unit"), "nn-audit")
+    truth = exact_counts(nodes, queries, least).filter("links > 0")
+    both = truth.join(queries.select("node", "label", "dim"), "node").join(
+        found.select("node", F.col("links").alias("got")), "node", "left"
+    )
+    share = F.coalesce("got", F.lit(0)) / F.col("links")
+    low, high = (F.avg(F.when(which, share)) for which in (F.col("links") < K, F.col("links") >= K))
+    return both.groupBy("label", "dim").agg(F.least(low, high, F.avg(share)).alias("recall"))
+
+
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that tie what ``near`` links, each row read once; rows and columns are numbered through."""
+    edges: list[tuple[int, int]] = []
+    rows, columns = near.shape
+    new_row, new_column = np.ones(rows, bool), np.ones(columns, bool)
+    for root in np.flatnonzero(near.any(axis=1)).tolist():
+        if not new_row[root]:
+            continue
+        new_row[root] = False
+        front = np.array([root])
+        while len(front):
+            met = np.flatnonzero(near[front].any(axis=0) & new_column)
+            new_column[met] = False
+            edges += [(root, rows + x) for x in met.tolist()]
+            front = np.flatnonzero(near[:, met].any(axis=1) & new_row)
+            new_row[front] = False
+            edges += [(root, x) for x in front.tolist()]
+    return edges
+
+
+def compared_whole(nodes: DataFrame, least: float) -> DataFrame:
+    """``node, links, grp`` of nodes with links, as ``settled``, from all pairs of each label."""
+    members = by_label(nodes)
+    pairs = members.select(F.col("grp").alias("a"), F.col("grp").alias("b")).distinct()
+
+    def count(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
+        mine, others = left["node"].to_numpy(), right["node"].to_numpy()
+        vectors, other_vectors = rows_at(left, "unit"), rows_at(right, "unit")
+        near = np.empty((len(mine), len(others)), bool)
+        for first in range(0, len(mine), TILE):
+            near[first : first + TILE] = vectors[first : first + TILE] @ other_vectors.T >= least
+        near &= mine[:, None] != others[None, :]
+        tied = np.concatenate([mine, others])[np.array(forest(near), np.int64).reshape(-1, 2)]
+        # weights are added up a block of rows at a time, since bits become numbers in the product
+        links, other_links = np.zeros(len(mine), np.int64), np.zeros(len(others), np.int64)
+        weights, other_weights = left["m"].to_numpy(), right["m"].to_numpy()
+        for first in range(0, len(mine), TILE):
+            part = slice(first, first + TILE)
+            links[part] = near[part] @ other_weights
+            other_links += weights[part] @ near[part]
+        counts = [(mine, links)] + ([(others, other_links)] if left["lo"][0] != right["hi"][0] else [])
+        names = ["node", "links", "other"]
+        for node, own in counts:
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(own), pa.nulls(len(node), pa.int64())], names)
+        zeros = np.zeros(len(tied), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(tied[:, 0]), pa.array(zeros), pa.array(tied[:, 1])], names)
+
+    schema = "node long, links long, other long"
+    compared = cut(tiled(members.select("node", "m", "unit", "grp"), pairs, count, schema, WHOLE), "nn-whole")
+    edges = compared.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    groups = connected_components(edges, "nn-whole").withColumnRenamed("component", "grp")
+    links = compared.filter("other is null").groupBy("node").agg(F.sum("links").alias("links"))
+    return cut(groups.join(links, "node"), "nn-settled")
 
 
 def link_vectors(vectors: DataFrame, least: float = LEAST, planes: int = PLANES, seed: int = 0) -> DataFrame:
@@ -470,14 +566,26 @@ def link_vectors(vectors: DataFrame, least: float = LEAST, planes: int = PLANES,
         "nn-nodes",
     )
     lists = cut(nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).cast("float").alias("s")).limit(0), "nn-lists")
+    place = ["label", "dim"]
+    searched, done = nodes, []
     for attempt in range(MOST_TRIES):
-        more = first_lists(nodes, planes, seed + attempt)
+        more = first_lists(searched, planes, seed + attempt, least)
         lists = cut(best_edges(lists.unionByName(more), K), "nn-lists")
         for _ in range(ROUNDS):
-            lists = cut(refined(nodes, lists), "nn-lists")
-        found = settled(nodes, lists, least)
-        if recall_of(nodes, found, least) >= RECALL:
+            lists = cut(refined(searched, lists), "nn-lists")
+        found = settled(searched, lists, least)
+        poor = cut(recall_of(searched, found, least).filter(F.col("recall") < RECALL).select(*place), "nn-poor")
+        if poor.isEmpty():
+            done.append(found)
             break
+        # Labels that are found well are done; the others are searched on.
+        again = searched.join(poor, place, "left_semi")
+        done.append(found.join(again, "node", "left_anti"))
+        searched = cut(again, "nn-searched")
+        lists = lists.join(searched.select(F.col("node").alias("a")), "a", "left_semi")
+    else:
+        done.append(compared_whole(searched, least))
+    found = reduce(DataFrame.unionByName, done)
     joined = nodes.join(found, "node", "left").select(
         "node", "label", "unit", "m", "first_id",
         F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("grp", "node").alias("grp"),

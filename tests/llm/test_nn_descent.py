@@ -114,3 +114,29 @@ def test_links_between_saturated_groups(spark):
     wanted = expected(rows)
     assert len({w[2] for w in wanted if w[0] < 80}) == 1
     assert found(spark, rows) == wanted
+
+
+def test_recall_counts_each_node_alike(spark):
+    """A hot group whose links are all found does not hide that no pair is."""
+    draw = np.random.default_rng(4)
+    hot = draw.standard_normal(16)
+    rows = [(n, hot + draw.standard_normal(16) * 0.02, 0) for n in range(100)]
+    for label in (0, 1):
+        for _ in range(12):
+            one = draw.standard_normal(16)
+            rows += [(len(rows), one, label), (len(rows) + 1, one + draw.standard_normal(16) * 0.05, label)]
+    units = [(n, label, 16, 1, [float(x) for x in v / np.linalg.norm(v)]) for n, v, label in rows]
+    nodes = spark.createDataFrame(units, "node long, label int, dim int, m long, unit array<double>")
+    got = spark.createDataFrame([(n, 99) for n in range(100)] + [(n, 1) for n in range(124, 148)], "node long, links long")
+    recall = {r.label: r.recall for r in nn_descent.recall_of(nodes, got, 0.93).collect()}
+    assert recall == {0: 0.0, 1: 1.0}
+
+
+def test_what_the_search_misses_is_compared_whole(spark, rows, monkeypatch):
+    """Lists that find next to nothing end in the comparison of all pairs, not in a result with gaps."""
+    few = nn_descent.first_lists
+    monkeypatch.setattr(nn_descent, "first_lists", lambda *options: few(*options).filter("a % 7 = 0 and b % 7 = 0"))
+    monkeypatch.setattr(nn_descent, "refined", lambda nodes, lists: lists)
+    monkeypatch.setattr(nn_descent, "MOST_TRIES", 1)
+    monkeypatch.setattr(nn_descent, "WHOLE", 50)
+    assert found(spark, rows) == expected(rows)
