@@ -1,7 +1,7 @@
 """Licence scans by a trained paragraph classifier, all in DataFrame functions.
 
 A paragraph is a line. Its features are the word 1-grams and 2-grams that contain an anchor: a word of the licence
-templates that is rare in the corpus. A sparse multinomial logistic regression over these tells the licence
+templates that is rare in the corpus outside of notices, however common those are. A sparse multinomial logistic regression over these tells the licence
 families and the unknown class apart; it is trained on varied templates, on scraps of templates and on paragraphs
 of a bounded sample of the corpus, ``SAMPLE`` documents whose ids hash lowest. A second logistic curve,
 fitted on variants held back, calibrates known against unknown. A family predicted is confirmed if a template of
@@ -121,8 +121,14 @@ def background(docs: DataFrame, sample: int) -> DataFrame:
     return rows.select(F.explode(lines(F.coalesce("text", F.lit("")))).alias("paragraph")).filter("paragraph != ''")
 
 
+def without_notices(corpus: DataFrame) -> DataFrame:
+    """Paragraphs that hold no template: others are no example of the unknown, and do not make their words common."""
+    own = [words(F.lit(text)) for _, text in TEMPLATES]
+    return corpus.filter(~F.greatest(*[holds(words(F.col("paragraph")), tokens) for tokens in own]))
+
+
 def find_anchors(spark: SparkSession, corpus: DataFrame) -> list[str]:
-    """Words of the templates that are rare in the corpus sample."""
+    """Words of the templates that are rare in the corpus sample, which holds no notices."""
     total = corpus.count()
     own = templates(spark).select(F.explode(words(F.col("text"))).alias("word")).distinct()
     seen = corpus.select(F.explode(F.array_distinct(words(F.col("paragraph")))).alias("word"))
@@ -132,7 +138,7 @@ def find_anchors(spark: SparkSession, corpus: DataFrame) -> list[str]:
 
 
 def training_rows(spark: SparkSession, corpus: DataFrame, anchors: list[str]) -> DataFrame:
-    """``family, grams, weight, held``: variants and scraps of templates, and corpus paragraphs."""
+    """``family, grams, weight, held``: variants and scraps of templates, and corpus paragraphs without notices."""
     tokens = words(F.col("text"))
 
     def kept(share: int, salt: str) -> Column:
@@ -160,10 +166,7 @@ def training_rows(spark: SparkSession, corpus: DataFrame, anchors: list[str]) ->
         words(F.col("paragraph")).alias("tokens"),
         (F.pmod(F.xxhash64("paragraph"), F.lit(3)) == 0).alias("held"),
     )
-    # Paragraphs of the corpus that hold a template are no example of the unknown.
-    own = [words(F.lit(text)) for _, text in TEMPLATES]
-    clear = plain.filter(~F.greatest(*[holds(F.col("tokens"), tokens) for tokens in own]))
-    some = varied.unionByName(cut_off).unionByName(scraps).unionByName(clear)
+    some = varied.unionByName(cut_off).unionByName(scraps).unionByName(plain)
     return some.select("family", features(F.col("tokens"), anchors).alias("grams"), "held").filter(
         (F.col("family") == UNKNOWN) | (F.size("grams") > 0)
     )
@@ -177,7 +180,7 @@ def holds(tokens: Column, own: Column) -> Column:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """A model: anchors, families, weights of each gram, intercepts and the calibrating curve."""
     spark = docs.sparkSession
-    corpus = cut(background(docs, sample).coalesce(4), "licence-corpus")
+    corpus = cut(without_notices(background(docs, sample).coalesce(4)), "licence-corpus")
     anchors = find_anchors(spark, corpus)
     rows = cut(training_rows(spark, corpus, anchors).coalesce(2), "licence-training")
     families = sorted({family for family, _ in TEMPLATES}) + [UNKNOWN]

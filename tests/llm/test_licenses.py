@@ -94,3 +94,15 @@ def test_query_finds_the_lines_of_the_tables(spark, testdata):
     for row in licenses.op4_licenses(spark, testdata).collect():
         held = {fixed[line] for line in texts[row.doc_id].split("\n") if line in fixed}
         assert row.family in held if held else row.family == "unknown"
+
+
+def test_common_notices_are_found(spark):
+    """A notice in each third document does not turn its own words into common ones."""
+    notices = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0."]
+    rows = [(n, f"Some words about the house {n}\nand the garden of it\nand more", 1, "f") for n in range(600)]
+    rows += [(600 + n, f"Words here {n}\n{notices[n % 8 == 0]}\nwords after it", 1, "f") for n in range(300)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: (r.family, r.n_licences) for r in licenses.scan(frame, licenses.fit(frame)).collect()}
+    for n in range(300):
+        assert got[600 + n] == ("Apache-2.0" if n % 8 == 0 else "MIT", 1)
+    assert {got[n] for n in range(600)} == {("unknown", 0)}
