@@ -195,21 +195,28 @@ def as_mail(turns: DataFrame) -> DataFrame:
         once.select("conv_id", (F.col("turn") + back).alias("turn"), F.col("text").alias(f"before{back}")) for back in (1, 2)
     ]
     near = once.join(before[0], ["conv_id", "turn"], "left").join(before[1], ["conv_id", "turn"], "left")
+    factor = id_factor(*once.agg(F.min("turn"), F.max("turn")).first())
     head = F.when(F.col("before1").isNotNull(), F.lit("On the turn before, they wrote:\n"))
     older = F.when(F.col("before1").isNotNull() & F.col("before2").isNotNull(), F.concat(quoted("before2", ">>"), F.lit("\n")))
     newer = F.concat(quoted("before1", ">"), F.lit("\n\n"))
     return near.select(
-        message_id().alias("msg_id"),
+        message_id(factor).alias("msg_id"),
         F.concat(F.coalesce(head, F.lit("")), F.coalesce(older, F.lit("")), F.coalesce(newer, F.lit("")), "text").alias("text"),
     )
 
 
-#: Turns that a conversation has at most in the ids of messages.
+#: Turns that the ids of messages leave room for in each conversation, and more where the table has a longer one.
 TURNS = 1_000_000
 
 
-def message_id() -> F.Column:
-    return F.col("conv_id") * TURNS + F.col("turn")
+def id_factor(first: int | None, last: int | None) -> int:
+    """Distance of the ids of two conversations, so that no turn from ``first`` to ``last`` runs into the next one."""
+    return max(TURNS, (last or 0) - min(0, first or 0) + 1)
+
+
+def message_id(factor: int) -> F.Column:
+    """Ids that no two messages share; the session's arithmetic raises where they do not fit into a long."""
+    return F.col("conv_id").cast("long") * F.lit(factor).cast("long") + F.col("turn")
 
 
 def op6_quotes(spark, sf_dir: str) -> DataFrame:

@@ -103,3 +103,21 @@ def test_conversations_are_written_in_reply_order(spark, tmp_path):
     assert [(r.thread_id, r.own) for r in sorted(rows, key=lambda r: (r.thread_id, r.msg_id))] == [
         (1, "a"), (1, "b"), (3, "z"),
     ]
+
+
+def test_long_conversations_do_not_run_into_the_next(spark):
+    """A turn above a million, or below none, has an id of its own."""
+    million = quotes.TURNS
+    rows = [(1, million + turn, f"one {turn}") for turn in range(3)] + [(2, turn, f"two {turn}") for turn in range(-2, 3)]
+    mail = quotes.as_mail(spark.createDataFrame(rows, "conv_id long, turn int, text string"))
+    got = quotes.link(mail).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.own, r.depth) for r in got) == sorted((text, n if conv == 1 else n - 3) for n, (conv, _, text) in enumerate(rows))
+    ids = {r.own: r.msg_id for r in got}
+    roots = {(r.own.split()[0], r.thread_id) for r in got}
+    assert roots == {("one", ids[f"one {0}"]), ("two", ids["two -2"])}
+
+
+def test_short_conversations_keep_their_ids(spark):
+    frame = spark.createDataFrame([(3, 0, "a"), (3, 7, "b")], "conv_id long, turn int, text string")
+    assert sorted(r.msg_id for r in quotes.as_mail(frame).collect()) == [3_000_000, 3_000_007]
