@@ -1,12 +1,18 @@
 """Licence scans by a trained paragraph classifier, all in DataFrame functions.
 
-A paragraph is a line. Its features are the word 1-grams and 2-grams that contain an anchor: a word of the licence
+A paragraph is a line, or a run of lines. Its features are the word 1-grams and 2-grams that contain an anchor: a word of the licence
 templates that is rare in the corpus outside of notices, however common those are. A sparse multinomial logistic regression over these tells the licence
 families and the unknown class apart; it is trained on varied templates, on scraps of templates and on paragraphs
 of a bounded sample of the corpus, ``SAMPLE`` documents whose ids hash lowest. A second logistic curve,
 fitted on variants held back, calibrates known against unknown. A family predicted is confirmed if a template of
 it is contained in the paragraph by ``CONTAINED`` of its 2-grams or more.
 
+A notice may be wrapped over lines, with comment marks or without. From each line with an anchor, and from the line before
+it, runs of lines up to a line without words are read as paragraphs too, as far as the longest template reaches. They
+are classified and confirmed in the same way, if any template is contained in the longest run. Of confirmed runs that
+share a line the one counts that holds most of its template, then the shortest, the surest and the first; it stands at
+its first line.
+
 A paragraph without an anchor has no feature, so it gets the same score as an empty one, which the calibration
 puts among the unknown; documents without any anchor are told by one pattern match and never split. Weights and
 templates are small and fixed in size, so they go to every task; paragraphs meet again by their own row only, so
@@ -20,6 +26,7 @@ table gives an empty result; further columns are not read.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -237,6 +244,92 @@ def classified(rows: DataFrame, model: dict, keys: list[str]) -> DataFrame:
     )
 
 
+def runs(near: Column, place: Column) -> Column:
+    """``ahead, back, tokens`` of runs of two lines or more around a line: on to ``ahead`` lines, ``back`` lines before it.
+
+    ``near`` has the line before, unless the line's ``place`` is 0, the line and those that follow. Runs end before
+    a line without words, and once the lines after the first hold as many words as the longest template.
+    """
+    own = F.when(place > 0, 2).otherwise(1)
+    longest = max(len(re.findall(r"[^\W_]+", text)) for _, text in TEMPLATES)
+    here = words(F.get(near, own - 1))
+    start = F.struct(F.array(here).alias("all"), F.lit(0).alias("words"), F.lit(True).alias("open"))
+
+    def grown(state: Column, line: Column) -> Column:
+        tokens = words(line)
+        longer = F.struct(
+            F.concat(state["all"], F.array(F.concat(F.element_at(state["all"], -1), tokens))).alias("all"),
+            (state["words"] + F.size(tokens)).alias("words"),
+            ((F.size(tokens) > 0) & (state["words"] + F.size(tokens) < longest)).alias("open"),
+        )
+        shut = F.struct(state["all"].alias("all"), state["words"].alias("words"), F.lit(False).alias("open"))
+        return F.when(state["open"] & (F.size(tokens) > 0), longer).otherwise(shut)
+
+    ahead = F.aggregate(F.slice(near, own + 1, longest), start, grown, lambda state: state["all"])
+    before = F.when(place > 0, words(F.get(near, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+
+    def numbered(prefix: Column, back: int) -> Column:
+        return F.transform(
+            ahead, lambda tokens, n: F.struct(n.alias("ahead"), F.lit(back).alias("back"), F.concat(prefix, tokens).alias("tokens"))
+        )
+
+    both = F.concat(
+        numbered(F.array().cast("array<string>"), 0),
+        F.when(F.size(before) > 0, numbered(before, 1)).otherwise(F.filter(numbered(before, 1), lambda x: F.lit(False))),
+    )
+    return F.filter(both, lambda run: run["ahead"] + run["back"] > 0)
+
+
+def may_hold(tokens: Column) -> Column:
+    """Whether any template is contained in the tokens by ``CONTAINED``."""
+    known = [re.findall(r"[^\W_]+", text.lower()) for _, text in TEMPLATES]
+    pairs = [sorted({" ".join(pair) for pair in zip(own, own[1:], strict=False)}) for own in known]
+    every = F.array(*[F.lit(pair) for pair in sorted(set().union(*pairs))])
+    sized = F.array(*[
+        F.struct(F.array(*map(F.lit, own)).alias("own"), F.lit(CONTAINED * len(own) - 1e-9).alias("least")) for own in pairs
+    ])
+    met = F.array_intersect(bigrams(tokens), every)
+    fits = lambda known: F.size(F.array_intersect(met, known["own"])) >= known["least"]
+    return F.when(F.size(met) >= 2, F.exists(sized, fits)).otherwise(False)
+
+
+def wrapped(rows: DataFrame) -> DataFrame:
+    """``row, paragraph, lines, tokens`` of runs of lines that may hold a template; ``rows`` has ``near`` for each line."""
+    made = rows.select("row", "paragraph", runs(F.col("near"), F.col("paragraph")).alias("runs"))
+    # The last run is the longest of those that begin with the line before, or else with the line.
+    some = made.filter(F.size("runs") > 0).filter(may_hold(F.element_at("runs", -1)["tokens"]))
+    each = some.select("row", "paragraph", F.explode("runs").alias("run"))
+    return each.select(
+        "row",
+        (F.col("paragraph") - F.col("run.back")).alias("paragraph"),
+        (F.col("run.ahead") + F.col("run.back") + 1).alias("lines"),
+        "run.tokens",
+    ).dropDuplicates(["row", "paragraph", "lines"])
+
+
+def best_runs(confirmed: DataFrame) -> DataFrame:
+    """Of confirmed paragraphs, those that are the best on each of their lines.
+
+    Runs around a shorter one that holds as much of a template add nothing, and do not stand against others.
+    """
+    last = F.col("paragraph") + F.col("lines") - 1
+    wide = confirmed.filter("lines > 1").withColumn("from", F.explode(F.sequence("paragraph", last))).alias("wide")
+    inner = confirmed.select("row", F.col("paragraph").alias("from"), last.alias("to"), "lines", "contained").alias("inner")
+    within = (F.col("inner.to") <= F.col("wide.paragraph") + F.col("wide.lines") - 1) & (
+        F.col("inner.lines") < F.col("wide.lines")
+    )
+    same = (F.col("wide.row") == F.col("inner.row")) & (F.col("wide.from") == F.col("inner.from"))
+    around = wide.join(inner, same & within & (F.col("inner.contained") >= F.col("wide.contained")), "left_semi")
+    around = around.select("row", "paragraph", "lines").distinct()
+    confirmed = confirmed.join(around, ["row", "paragraph", "lines"], "left_anti")
+    order = F.struct("contained", (-F.col("lines")).alias("short"), "score", (-F.col("paragraph")).alias("back"), "family")
+    ranked = confirmed.withColumn("order", order)
+    spread = ranked.withColumn("line", F.explode(F.sequence("paragraph", last)))
+    tops = spread.groupBy("row", "line").agg(F.max("order").alias("top"))
+    met = spread.join(tops, ["row", "line"]).groupBy("row", "paragraph", "lines", "family", "score", "contained")
+    return met.agg(F.min(F.col("top") == F.col("order")).alias("kept")).filter("kept").drop("kept")
+
+
 def scan(docs: DataFrame, model: dict) -> DataFrame:
     """A row for each document: the licence it holds, where, and how sure.
 
@@ -245,28 +338,36 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
     """
     spark = docs.sparkSession
     pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(model["anchors"]) + r")(?![\p{L}\p{N}])"
-    numbered = F.transform(
-        lines(F.col("text")), lambda line, place: F.struct(place.alias("paragraph"), line.alias("line"))
+    numbered = F.transform("all", lambda line, place: F.struct(place.alias("paragraph"), line.alias("line")))
+    # A run has no more lines than the longest template has words.
+    most = 2 + max(len(text.split()) for _, text in TEMPLATES) * 2
+    around = lambda own: F.slice(F.col("all"), F.greatest(own["paragraph"], F.lit(1)), F.lit(most))
+    anchored = F.transform(
+        F.filter(numbered, lambda own: own["line"].rlike(pattern)),
+        lambda own: F.struct(own["paragraph"].alias("paragraph"), own["line"].alias("line"), around(own).alias("near")),
     )
-    anchored = F.when(F.col("text").rlike(pattern), F.filter(numbered, lambda own: own["line"].rlike(pattern)))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", anchored.alias("lines"))
+    split = F.when(F.col("text").rlike(pattern), lines(F.col("text")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", split.alias("all"))
+    rows = rows.select("row", "doc_id", anchored.alias("lines"))
     rows = rows.select("row", "doc_id", F.explode_outer("lines").alias("own")).select(
-        "row", "doc_id", "own.paragraph", "own.line"
+        "row", "doc_id", "own.paragraph", "own.line", "own.near"
     )
     rows = cut(rows, "licence-paragraphs")
-    found = rows.filter("line is not null").select("row", "paragraph", words(F.col("line")).alias("tokens"))
-    grams = found.select("row", "paragraph", "tokens", features(F.col("tokens"), model["anchors"]).alias("grams"))
-    named = classified(grams, model, ["row", "paragraph", "tokens"])
+    found = rows.filter("line is not null")
+    single = found.select("row", "paragraph", F.lit(1).alias("lines"), words(F.col("line")).alias("tokens"))
+    several = cut(wrapped(found), "licence-runs")
+    grams = single.unionByName(several).withColumn("grams", features(F.col("tokens"), model["anchors"]))
+    named = classified(grams, model, ["row", "paragraph", "lines", "tokens"])
     known = templates(spark).select("family", bigrams(words(F.col("text"))).alias("own"))
     compared = (
         named.filter("score >= 0.5")
         .withColumn("pairs", bigrams(F.col("tokens")))
         .join(F.broadcast(known), "family")
-        .groupBy("row", "paragraph", "family", "score")
+        .groupBy("row", "paragraph", "lines", "family", "score")
         .agg(F.max(F.size(F.array_intersect("pairs", "own")) / F.size("own")).alias("contained"))
         .filter(F.col("contained") >= CONTAINED)
     )
-    best = compared.groupBy("row").agg(
+    best = best_runs(cut(compared, "licence-confirmed")).groupBy("row").agg(
         F.max(F.struct("score", (-F.col("paragraph")).alias("back"), "family", "contained")).alias("best"),
         F.count("*").alias("n"),
     )

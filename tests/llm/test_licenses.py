@@ -106,3 +106,23 @@ def test_common_notices_are_found(spark):
     for n in range(300):
         assert got[600 + n] == ("Apache-2.0" if n % 8 == 0 else "MIT", 1)
     assert {got[n] for n in range(600)} == {("unknown", 0)}
+
+
+WRAPPED = {
+    "This work is licensed under the GNU\nGeneral Public License, version 3.": "GPL-3.0",
+    "# This work is licensed under the GNU General Public License, version\n# 2.": "GPL-2.0",
+    " * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated "
+    "documentation files, to deal in the\n * Software without restriction": "MIT",
+    "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the "
+    "following conditions\n// are met": "BSD",
+    "This work is licensed under a Creative Commons Attribution-\nShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "Licensed\nunder\nthe\nApache\nLicense,\nVersion\n2.0.": "Apache-2.0",
+}
+
+
+def test_wrapped_notices_are_read_whole(spark, model):
+    rows = [(n, f"Words before it\n{text}\nwords after it") for n, text in enumerate(WRAPPED)]
+    rows += [(10, "This work is licensed under the GNU\n\nGeneral Public License, version 3."), (11, "All rights\nreserved\nAll rights reserved.")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.family, r.n_licences) for r in licenses.scan(frame, model).collect()}
+    assert got == {n: (family, 1) for n, family in enumerate(WRAPPED.values())} | {10: ("unknown", 0), 11: ("Proprietary", 2)}
