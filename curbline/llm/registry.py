@@ -10,6 +10,7 @@ from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
 from curbline.llm.quotes import OP6_SQL, op6_quotes
+from curbline.llm.resampling import OP11_SQL, op11_resampling
 from curbline.llm.toxicity import op5_toxicity
 from curbline.llm.warc import OP1_SQL, op1_warc
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_resampling": op11_resampling,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
@@ -32,4 +34,5 @@ ORACLE = {
     "op6_quotes": OP6_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_mixing": OP10_SQL,
+    "op11_resampling": OP11_SQL,
 }
