@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curbline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from curbline.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from curbline.llm.jaccard import OP9_SQL, op9_jaccard
 from curbline.llm.language import op7_language
 from curbline.llm.licenses import op4_licenses
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
     "op11_resampling": op11_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
@@ -35,4 +37,5 @@ ORACLE = {
     "op9_jaccard": OP9_SQL,
     "op10_mixing": OP10_SQL,
     "op11_resampling": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
