@@ -10,6 +10,7 @@ from curbline.llm.licenses import op4_licenses
 from curbline.llm.mixing import OP10_SQL, op10_mixing
 from curbline.llm.nn_descent import OP3_SQL, op3_nn_descent
 from curbline.llm.packing import op8_packing
+from curbline.llm.prefix_forest import op12_prefix_forest
 from curbline.llm.quotes import OP6_SQL, op6_quotes
 from curbline.llm.resampling import OP11_SQL, op11_resampling
 from curbline.llm.toxicity import op5_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
     "op11_resampling": op11_resampling,
+    "op12_prefix_forest": op12_prefix_forest,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
