@@ -309,14 +309,9 @@ ORACLE["stream_assembly_join"] = _with(
     _RAW, f"select {_EVENT} from wire where ok and (row_number - 1) % 7 = 0"
 )
 ORACLE["stream_assembly_rejects"] = _with(
-    _RAW
-    + """, parts as (
-      select row_number - 1 as e, trip_id, true as has_datetime, lat <= 90 as good, base <> '' as named
-      from typed)""",
-    """select trip_id, true as has_datetime, e % 7 <> 0 and good as has_latitude, named as has_longitude_base
-         from parts where not (e % 7 <> 0 and good and named)
-       union all select trip_id, e % 11 = 0, e % 7 = 0 and good, false
-         from parts where e % 11 = 0 or (e % 7 = 0 and good)""",
+    _RAW,
+    """select trip_id, true as has_datetime, lat <= 90 as has_latitude, base <> '' as has_longitude_base
+         from typed where not (lat <= 90 and base <> '')""",
 )
 ORACLE["partial_payloads"] = _with(
     _RAW,

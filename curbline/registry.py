@@ -8,7 +8,7 @@ values compare across engines and session time zones.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,11 @@ from pyspark.sql.types import DecimalType, TimestampType
 from curbline.functions import clock
 from curbline.operators import canonical, enrich, merge, positions, shards
 from curbline.plans import aggregates, models, quality, serving, trips
-from curbline.schema import PARTIAL_FIELDS, RAW_COLUMNS, SHARD_COLUMNS
-from curbline.session import disk_backed_state, work_dir
+from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS, RAW_COLUMNS, SHARD_COLUMNS
+from curbline.session import work_dir
 from curbline.sources import event_table, json_lines, messages, raw_csv, shard_csv
 from curbline.streaming import assembly, jobs, sinks
+from curbline.streaming.batches import read_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,14 +83,15 @@ def _message_stream(spark: SparkSession, sf_dir: str, **limits: int) -> DataFram
 
 
 MESSAGE = "key string, value string, timestamp timestamp"
-# Files, and so micro-batches, that the table is sent in.
+# Parts, and so micro-batches, that the table is sent in, and the files of each.
 SLICES = 12
+PART_FILES = 4
 
 
 def _inbox(parts: list[DataFrame], folder: str) -> str:
-    """One file per part, in this order: with one file at a time, a part is a micro-batch."""
+    """``PART_FILES`` files per part, in this order: with so many files at a time, a part is a micro-batch."""
     for number, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{folder}/{number:03d}")
+        part.repartition(PART_FILES).write.parquet(f"{folder}/{number:03d}")
     return f"{folder}/*"
 
 
@@ -107,9 +109,13 @@ def _sliced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _slice_stream(spark: SparkSession, sf_dir: str, folder: str, max_files: int = 1) -> DataFrame:
-    path = _inbox(_sliced(spark, sf_dir), f"{folder}/inbox")
-    return messages.file_stream(spark, path, MESSAGE, max_files=max_files)
+def _part_stream(spark: SparkSession, path: str, parts: int = 1) -> DataFrame:
+    """An inbox as a stream, so many parts at a time."""
+    return messages.file_stream(spark, path, MESSAGE, max_files=parts * PART_FILES)
+
+
+def _slice_stream(spark: SparkSession, sf_dir: str, folder: str, parts: int = 1) -> DataFrame:
+    return _part_stream(spark, _inbox(_sliced(spark, sf_dir), f"{folder}/inbox"), parts)
 
 
 # Ingest
@@ -404,10 +410,8 @@ def kpi_ratios(spark, sf_dir):
     return serving.kpi_ratios(aggregates.kpis(_fact(spark, sf_dir)))
 
 
-@lru_cache(maxsize=4)
-def _built(application: str, sf_dir: str) -> str:
-    """The folder of the models, built once per session for all reads of them."""
-    spark = SparkSession.active()
+def _built(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the models, built from the table as it is."""
     folder = work_dir(spark, "serving")
     models.build_models(_source(spark, sf_dir), folder, view="stg_trips_serving")
     return folder
@@ -415,7 +419,7 @@ def _built(application: str, sf_dir: str) -> str:
 
 def _serving_read(name: str) -> Query:
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = _built(spark.sparkContext.applicationId, sf_dir)
+        folder = _built(spark, sf_dir)
         return comparable(serving.serving_table(spark, folder, name))
 
     read.__doc__ = f"The model {name} as a dashboard reads it: built, in display order."
@@ -430,7 +434,7 @@ for _name in models.AGGREGATES:
 @query
 def serving_trip_fact(spark, sf_dir):
     """All columns of the fact as built."""
-    folder = _built(spark.sparkContext.applicationId, sf_dir)
+    folder = _built(spark, sf_dir)
     return comparable(models.read_model(spark, folder, "trip_fact"))
 
 
@@ -496,8 +500,7 @@ def stream_first_trip_stays(spark, sf_dir):
     renamed = wire.withColumn("base", F.lit("A0"))
     moved = wire.withColumn("event_timestamp", F.lit("2030-01-01T12:00:00+00:00"))
     parts = [sent(renamed, 1).unionByName(sent(wire, 0)), sent(moved, 60), sent(renamed, 120)]
-    path = _inbox(parts, f"{folder}/inbox")
-    stream = messages.file_stream(spark, path, MESSAGE, max_files=1)
+    stream = _part_stream(spark, _inbox(parts, f"{folder}/inbox"))
     _merge_stream(spark, stream, folder, compact_every=2)
     return comparable(sinks.read_staging(spark, f"{folder}/staging"))
 
@@ -508,9 +511,8 @@ def stream_replay_merge(spark, sf_dir):
     stays as it was."""
     folder = work_dir(spark, "replay")
     path = _inbox(_sliced(spark, sf_dir), f"{folder}/inbox")
-    for checkpoint, files in (("first", 5), ("again", 4)):
-        stream = messages.file_stream(spark, path, MESSAGE, max_files=files)
-        _merge_stream(spark, stream, folder, checkpoint)
+    for checkpoint, parts in (("first", 5), ("again", 4)):
+        _merge_stream(spark, _part_stream(spark, path, parts), folder, checkpoint)
     staging = sinks.read_staging(spark, f"{folder}/staging")
     return staging.groupBy("trip_date").agg(
         F.count(F.lit(1)).alias("trip_count"),
@@ -548,7 +550,7 @@ def stream_two_sinks(spark, sf_dir):
     """One stream definition into lake and staging table; the trips in each."""
     folder = work_dir(spark, "sinks")
     started = jobs.start_trip_queries(
-        _slice_stream(spark, sf_dir, folder, max_files=4),
+        _slice_stream(spark, sf_dir, folder, parts=4),
         f"{folder}/lake",
         f"{folder}/staging",
         f"{folder}/metrics",
@@ -584,13 +586,12 @@ def metrics_upsert(spark, sf_dir):
     return merged.select("batch_id", "records_received")
 
 
-def _assemble(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Staging table, rejects and events completed from rejects, of parts that come in five files.
+def _assemble(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of staging and pending table, of parts that come in four files.
 
     Minutes after the first file: 0 the times, and the latitudes of every fifth id, wrong; 10 the
     right latitudes of all but every seventh id; 20 longitudes and bases, and the times of every
-    third id again; 180 the late latitudes, and the times of every eleventh id again; 600 a
-    heartbeat, which lets the watermark pass all sessions.
+    third id again; 180 the late latitudes, and the times of every eleventh id again.
     """
     folder = work_dir(spark, "assembly")
     events = event_table.read_events(spark, sf_dir)
@@ -608,11 +609,6 @@ def _assemble(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
         fields = ("trip_id", *PARTIAL_FIELDS[role])
         return messages.message_payload(part.withColumn("timestamp", at), fields, ("timestamp",))
 
-    heartbeat = spark.range(1).select(
-        F.lit("heartbeat").alias("key"),
-        F.lit('{"trip_id":"heartbeat"}').alias("value"),
-        F.timestamp_seconds(F.lit(1_400_000_000 + 60 * 600)).alias("timestamp"),
-    )
     parts = [
         sent("datetime", "true", 0).unionByName(
             sent("latitude", "event_id % 5 = 0 and event_id % 7 <> 0", 0, F.lit(1.5))
@@ -622,44 +618,40 @@ def _assemble(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
         sent("latitude", "event_id % 7 = 0", 180).unionByName(
             sent("datetime", "event_id % 11 = 0", 180)
         ),
-        heartbeat,
     ]
-    stream = messages.file_stream(spark, _inbox(parts, f"{folder}/inbox"), MESSAGE, max_files=1)
-    with disk_backed_state(spark):
-        running = assembly.write_assembly_stream(
-            assembly.decode_partials(stream),
-            f"{folder}/staging",
-            f"{folder}/metrics",
-            f"{folder}/rejects",
-            f"{folder}/checkpoint",
-            trigger="available",
-        )
-    running.awaitTermination()
-    rejects = assembly.read_rejects(spark, f"{folder}/rejects")
-    staging = sinks.read_staging(spark, f"{folder}/staging")
-    return staging, rejects, assembly.complete_rejects(rejects)
+    assembly.write_assembly_stream(
+        assembly.decode_partials(_part_stream(spark, _inbox(parts, f"{folder}/inbox"))),
+        f"{folder}/staging",
+        f"{folder}/metrics",
+        f"{folder}/pending",
+        f"{folder}/checkpoint",
+        trigger="available",
+    ).awaitTermination()
+    return folder
 
 
 @query
 def stream_assembly_agg(spark, sf_dir):
-    """Assembled trips: those complete in a session, and those completed from the rejects."""
-    staging, _, completed = _assemble(spark, sf_dir)
-    late = enrich.add_calendar(enrich.valid_events(completed))
-    return comparable(staging.unionByName(merge.insert_absent(late, staging)))
+    """Assembled trips, those with late parts included."""
+    folder = _assemble(spark, sf_dir)
+    return comparable(sinks.read_staging(spark, f"{folder}/staging"))
 
 
 @query
 def stream_assembly_join(spark, sf_dir):
-    """Wire events of the ids whose parts came more than a session apart."""
-    return _assemble(spark, sf_dir)[2]
+    """Wire events of the ids that the last file completes, hours after their other parts."""
+    folder = _assemble(spark, sf_dir)
+    late = read_batches(spark, f"{folder}/staging", sinks.STAGING_FILES).where("batch = '3'")
+    return late.withColumn("event_timestamp", _iso("event_timestamp")).select(*EVENT_COLUMNS)
 
 
 @query
 def stream_assembly_rejects(spark, sf_dir):
-    """Incomplete sessions with the fields that each has."""
-    _, rejects, _ = _assemble(spark, sf_dir)
+    """Ids that wait for parts that never come, with the fields that each has."""
+    folder = _assemble(spark, sf_dir)
+    waiting = assembly.read_pending(spark, f"{folder}/pending")
     held = [F.col(name).isNotNull().alias(f"has_{role}") for role, (name, *_) in PARTIAL_FIELDS.items()]
-    return rejects.select("trip_id", *held)
+    return waiting.select("trip_id", *held)
 
 
 @query
@@ -749,7 +741,7 @@ def dq_contract_rows(spark, sf_dir):
 @query
 def dq_model_tests(spark, sf_dir):
     """The data tests on the view and the tables of a model run."""
-    folder = _built(spark.sparkContext.applicationId, sf_dir)
+    folder = _built(spark, sf_dir)
     built = {name: models.read_model(spark, folder, name) for name in ("trip_fact", "kpis")}
     return quality.model_report({"staging_trips": trips.staging_trips(_source(spark, sf_dir)), **built})
 

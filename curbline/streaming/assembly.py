@@ -1,31 +1,40 @@
-"""Put complete events together from partial events.
+"""Put complete events together from partial events, and give each out once it is complete.
 
 Partial events carry ``trip_id``, the fields of their role and ``arrival``, the time the
 message came in, with ``partition`` and ``offset`` where the source has them.
 
-A stream groups the parts of an id into sessions: parts that arrive at most ``gap`` after the one
-before. A session is given out once the watermark has passed its end, with the latest value of
-each field. Complete ones are events. Incomplete ones are kept as rejects, and since each holds the
-latest values and their arrivals, ``complete_rejects`` later joins the sessions of an id: state is
-bounded, and no part is lost, however late its partners are, unless the part itself arrives more
-than ``delay`` behind the stream.
+A micro-batch looks up what is pending of its ids and joins both, the latest value of each field. Ids that make a valid event go to the
+staging table with that batch; of the others the batch's own parts are added to the pending table, where they wait for as long as it takes:
+no watermark, no state in memory, nothing lost when the stream ends. Parts of an id that has been stored are dropped. The pending
+table is a log of additions, which are joined by a maximum, and of marks for ids that have left; its filters tell which files may hold an
+id, and its folds join the additions of an id and drop what has left. A replayed batch finds what it found before, since it does not
+read its own folders, and replaces them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from curbline.operators.enrich import add_calendar, decode_events, valid_events
-from curbline.schema import EVENT_COLUMNS, EVENT_SCHEMA, SOURCE_ZONE, TRIGGER
-from curbline.session import read_or_empty
-from curbline.streaming.compaction import compact, finish
-from curbline.streaming.sinks import COMPACT_EVERY, merge_batch, run_of, start_writer
+from curbline.schema import EVENT_COLUMNS, EVENT_SCHEMA, SOURCE_ZONE, STAGING_COLUMNS, TRIGGER
+from curbline.streaming.batches import fold, read_batches, read_folders
+from curbline.streaming.sinks import (
+    COMPACT_EVERY,
+    STAGING_FILES,
+    compact_staging,
+    drop_filters,
+    record_batch,
+    run_of,
+    start_writer,
+    stored_rows,
+    write_bucketed,
+)
 
 _PAYLOAD = EVENT_COLUMNS[1:]
 # What orders two values of a field: the later arrival wins, then the larger value.
@@ -36,17 +45,17 @@ _ORDER = StructType(
         StructField("offset", LongType()),
     ]
 )
-_REJECTS = StructType(
+_PENDING = StructType(
     [
         StructField("trip_id", StringType()),
         *[
             StructField(name, StructType([StructField("at", _ORDER), StructField("value", EVENT_SCHEMA[name].dataType)]))
             for name in _PAYLOAD
         ],
-        StructField("run", StringType()),
-        StructField("batch", LongType()),
+        StructField("left", BooleanType()),
     ]
 )
+_PENDING_FILES = StructType([*_PENDING.fields, StructField("bucket", LongType())])
 
 
 def _all_present(fields: tuple[str, ...]) -> Column:
@@ -77,11 +86,14 @@ def _latest_values() -> list[Column]:
     ]
 
 
-def assemble_sessions(decoded: DataFrame, gap: str = "1 hour", delay: str = "30 minutes") -> DataFrame:
-    """The latest value of each field per id and session; batch and streaming (append) alike."""
-    session = F.session_window("arrival", gap)
-    grouped = decoded.withWatermark("arrival", delay).groupBy(session, "trip_id")
-    return grouped.agg(*_latest_values()).select("trip_id", *_PAYLOAD)
+def assemble(decoded: DataFrame) -> DataFrame:
+    """The latest value of each field per id, with its arrival."""
+    return decoded.groupBy("trip_id").agg(*_latest_values())
+
+
+def joined(assembled: DataFrame) -> DataFrame:
+    """One row per id from rows of ``assemble`` that may repeat an id."""
+    return assembled.groupBy("trip_id").agg(*[F.max(name).alias(name) for name in _PAYLOAD])
 
 
 def _values(assembled: DataFrame) -> DataFrame:
@@ -97,48 +109,105 @@ def complete_events(assembled: DataFrame) -> DataFrame:
     return _values(assembled).where(_all_present(_PAYLOAD)).select(*EVENT_COLUMNS)
 
 
-def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
-    return read_or_empty(spark, rejects_path, _REJECTS).select("trip_id", *_PAYLOAD)
+def read_pending(spark: SparkSession, pending_path: str) -> DataFrame:
+    """Ids that wait, a row each: the latest value of each field and its arrival, null where it has not come."""
+    rows = read_batches(spark, pending_path, _PENDING_FILES)
+    waiting = rows.groupBy("trip_id").agg(
+        *[F.max(name).alias(name) for name in _PAYLOAD], F.bool_or("left").alias("gone")
+    )
+    return waiting.where(~F.col("gone")).drop("gone")
 
 
-def complete_rejects(rejects: DataFrame) -> DataFrame:
-    """Wire events from incomplete sessions whose parts make an event together."""
-    latest = [F.max(name).alias(name) for name in _PAYLOAD]
-    return complete_events(rejects.groupBy("trip_id").agg(*latest))
+def assemble_batch(
+    parts: DataFrame,
+    batch_id: int,
+    run: str,
+    staging_path: str,
+    metrics_path: str,
+    pending_path: str,
+    zone: str = SOURCE_ZONE,
+) -> None:
+    """Store the trips that the parts of one micro-batch complete, and keep the parts of the others.
+
+    ``records_received`` counts the events completed, as the sink receives them.
+    """
+    spark = parts.sparkSession
+    name = f"run={run}/batch={batch_id}"
+    own = assemble(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        many = own.count()
+        if many == 0:
+            return
+        stored = stored_rows(spark, staging_path, STAGING_FILES, own, run, batch_id)
+        waiting = stored_rows(spark, pending_path, _PENDING_FILES, own, run, batch_id)
+        open_ = own.join(stored.select("trip_id"), "trip_id", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+        known = waiting.where(~F.col("left")).select("trip_id", *_PAYLOAD).join(open_.select("trip_id"), "trip_id", "left_semi")
+        events = complete_events(joined(open_.select("trip_id", *_PAYLOAD).unionByName(known)))
+        trips = add_calendar(valid_events(events, zone), zone).select(*STAGING_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            complete = trips.count()
+            still = open_.join(trips.select("trip_id"), "trip_id", "left_anti").withColumn("left", F.lit(False))
+            # Only ids that had waited need a mark.
+            gone = waiting.select("trip_id").distinct().join(trips.select("trip_id"), "trip_id", "left_semi")
+            marks = gone.select("trip_id", *[F.lit(None).cast(_PENDING[n].dataType).alias(n) for n in _PAYLOAD], F.lit(True).alias("left"))
+            rows = still.unionByName(marks).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                # Trips first: cut short after them, a replay finds the same parts and replaces both.
+                if complete:
+                    write_bucketed(trips, staging_path, name, complete)
+                    record_batch(spark, metrics_path, run, batch_id, complete)
+                write_bucketed(rows, pending_path, name, many)
+            finally:
+                rows.unpersist()
+        finally:
+            trips.unpersist()
+            open_.unpersist()
+    finally:
+        own.unpersist()
+
+
+def compact_pending(spark: SparkSession, pending_path: str, fan: int = COMPACT_EVERY) -> None:
+    """Fold the pending table: one row per id; a mark takes the additions of its id along, and goes where no older folder is left."""
+
+    def write(run: str, names: list[str], name: str, lowest: bool) -> None:
+        rows = read_folders(spark, pending_path, _PENDING_FILES, names)
+        by_id = rows.groupBy("trip_id").agg(*[F.max(n).alias(n) for n in _PAYLOAD], F.bool_or("left").alias("left"))
+        kept = by_id.where(~F.col("left")) if lowest else by_id.select(
+            "trip_id", *[F.when(~F.col("left"), F.col(n)).alias(n) for n in _PAYLOAD], "left"
+        )
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_bucketed(kept, pending_path, name, kept.count())
+        finally:
+            kept.unpersist()
+
+    fold(spark, pending_path, fan, write)
+    drop_filters(spark, pending_path)
 
 
 def write_assembly_stream(
     decoded: DataFrame,
     staging_path: str,
     metrics_path: str,
-    rejects_path: str,
+    pending_path: str,
     checkpoint_path: str,
-    gap: str = "1 hour",
-    delay: str = "30 minutes",
     zone: str = SOURCE_ZONE,
     trigger: str = TRIGGER,
     compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Assembled events, checked and merged into a staging table; incomplete sessions to the rejects.
+    """Trips into a staging table with the micro-batch that completes them; the parts of others wait in the pending table.
 
     A replayed batch replaces what it wrote to either.
     """
 
+    @cache
+    def run() -> str:
+        return run_of(decoded.sparkSession, checkpoint_path)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run = run_of(spark, checkpoint_path)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            whole = _all_present(_PAYLOAD)
-            events = _values(batch.where(whole))
-            trips = add_calendar(valid_events(events, zone, ("arrival",)), zone, ("arrival",))
-            merge_batch(trips, batch_id, run, staging_path, metrics_path)
-            finish(spark, rejects_path)
-            batch.where(~whole).write.mode("overwrite").parquet(f"{rejects_path}/run={run}/batch={batch_id}")
-        finally:
-            batch.unpersist()
-        if (batch_id + 1) % compact_every == 0:
-            compact(spark, rejects_path, _REJECTS)
+        assemble_batch(batch, batch_id, run(), staging_path, metrics_path, pending_path, zone)
+        compact_staging(spark, staging_path, metrics_path, compact_every)
+        compact_pending(spark, pending_path, compact_every)
 
-    assembled = assemble_sessions(decoded, gap, delay)
-    return start_writer(assembled.writeStream.foreachBatch(write_batch), checkpoint_path, trigger)
+    return start_writer(decoded.writeStream.foreachBatch(write_batch), checkpoint_path, trigger)

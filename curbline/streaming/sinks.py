@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from curbline.operators.merge import insert_absent
 from curbline.schema import (
@@ -19,21 +20,17 @@ from curbline.schema import (
     STAGING_SCHEMA,
     TRIGGER,
 )
-from curbline.session import read_or_empty
-from curbline.streaming.compaction import compact, finish
+from curbline.streaming.batches import Folder, fold, live_names, read_batches, read_folders
+from curbline.streaming.membership import drop_filters, may_hold, write_filter
 
 # Ids meet only ids of their own bucket; the number belongs to the layout of a table.
 STAGING_BUCKETS = 64
 # Files per date and micro-batch of the lake, at most.
 LAKE_FILES = 8
-# Micro-batches after which the folders of a run are folded into one.
-COMPACT_EVERY = 50
+# Folders of one size of a run that are folded into one of the next.
+COMPACT_EVERY = 16
 
-_RUN_COLUMNS = [StructField("run", StringType()), StructField("batch", LongType())]
-_STAGING_FILES = StructType(
-    [*STAGING_SCHEMA.fields, *_RUN_COLUMNS, StructField("bucket", LongType())]
-)
-_METRICS_FILES = StructType([*BATCH_METRICS_SCHEMA.fields, *_RUN_COLUMNS])
+STAGING_FILES = StructType([*STAGING_SCHEMA.fields, StructField("bucket", LongType())])
 
 
 def start_writer(
@@ -64,62 +61,97 @@ def write_parquet_stream(
 
 def read_staging(spark: SparkSession, staging_path: str) -> DataFrame:
     """The key-deduplicated staging table."""
-    return read_or_empty(spark, staging_path, _STAGING_FILES).select(*STAGING_COLUMNS)
+    return read_batches(spark, staging_path, STAGING_FILES).select(*STAGING_COLUMNS)
 
 
 def read_batch_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
     """One row per run and batch; a batch belongs to the run whose folder it was written to."""
-    files = read_or_empty(spark, metrics_path, _METRICS_FILES)
-    return files.select("run", *BATCH_METRICS_SCHEMA.names)
+    return read_batches(spark, metrics_path, BATCH_METRICS_SCHEMA).select("run", *BATCH_METRICS_SCHEMA.names)
 
 
 def bucket_of(key: str = "trip_id") -> Column:
     return F.pmod(F.xxhash64(key), F.lit(STAGING_BUCKETS))
 
 
+def stored_rows(
+    spark: SparkSession, path: str, schema: StructType, ids: DataFrame, run: str, batch_id: int
+) -> DataFrame:
+    """The rows of a bucketed table in files that may hold one of ``ids``, but those of the batch's own folder.
+
+    The filters beside the table tell the files; new ids read none.
+    """
+    others = [name for name in live_names(spark, path) if name != f"run={run}/batch={batch_id}"]
+    names, buckets = may_hold(spark, path, ids.select("trip_id", bucket_of().alias("bucket")), others)
+    rows = read_folders(spark, path, schema, names)
+    return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
+
+
+def write_bucketed(rows: DataFrame, path: str, name: str, many: int) -> None:
+    """A folder of a bucketed table and, before it, its filter; ``many`` is about its number of rows.
+
+    A folder that is complete stays: a replayed batch would write the same, and readers see no gap.
+    """
+    if Folder(rows.sparkSession, path).matches(f"{name}/_SUCCESS"):
+        return
+    bucketed = rows.withColumn("bucket", bucket_of())
+    write_filter(bucketed, path, name, many, STAGING_BUCKETS)
+    # Sorted by bucket, so that a look-up skips row groups.
+    dealt = bucketed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "trip_id")
+    dealt.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def record_batch(spark: SparkSession, metrics_path: str, run: str, batch_id: int, records: int) -> None:
+    """The metrics row of a batch; a replayed batch replaces it."""
+    spark.range(1).select(
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        F.lit(records).cast("bigint").alias("records_received"),
+        F.current_timestamp().alias("processed_at"),
+    ).write.mode("overwrite").parquet(f"{metrics_path}/run={run}/batch={batch_id}")
+
+
 def merge_batch(
     batch: DataFrame, batch_id: int, run: str, staging_path: str, metrics_path: str
 ) -> None:
     """Add the trips of one micro-batch that are not in the staging table yet.
 
     The first trip with an id stays: within a batch the first by ``arrival``, if it has that
-    column. The look-up reads the buckets that the batch has ids in, exact for any id, whatever
-    its date. A batch owns one folder per run and replaces it as a whole, so replaying the
-    batch gives the same table, and the same for its metrics row.
+    column. The look-up reads the files whose filters may hold an id of the batch, and compares exactly, whatever
+    the date. A batch owns one folder per run, so replaying the batch gives the same table, and a new
+    metrics row for the old one.
     """
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # At most STAGING_BUCKETS numbers come to the driver.
-        seen = batch.agg(
-            F.count(F.lit(1)).alias("records"), F.collect_set(bucket_of()).alias("buckets")
-        ).first()
-        if seen.records == 0:
+        records = batch.count()
+        if records == 0:
             return
-        finish(spark, staging_path)
-        own = (F.col("run") == run) & (F.col("batch") == batch_id)
-        others = read_or_empty(spark, staging_path, _STAGING_FILES).where(
-            F.col("bucket").isin(seen.buckets) & ~own
-        )
+        others = stored_rows(spark, staging_path, STAGING_FILES, batch, run, batch_id)
         order = ("arrival",) if "arrival" in batch.columns else ()
-        insert_absent(batch, others, order=order).select(
-            *STAGING_COLUMNS, bucket_of().alias("bucket")
-        ).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{staging_path}/run={run}/batch={batch_id}"
-        )
-        spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(seen.records).cast("bigint").alias("records_received"),
-            F.current_timestamp().alias("processed_at"),
-        ).write.mode("overwrite").parquet(f"{metrics_path}/run={run}/batch={batch_id}")
+        new = insert_absent(batch, others, order=order).select(*STAGING_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_bucketed(new, staging_path, f"run={run}/batch={batch_id}", records)
+        finally:
+            new.unpersist()
+        record_batch(spark, metrics_path, run, batch_id, records)
     finally:
         batch.unpersist()
 
 
-def compact_staging(spark: SparkSession, staging_path: str, metrics_path: str) -> None:
-    """Fold the committed batches of staging table and metrics."""
-    compact(spark, staging_path, _STAGING_FILES, ("bucket",))
-    compact(spark, metrics_path, _METRICS_FILES)
+def compact_staging(spark: SparkSession, staging_path: str, metrics_path: str, fan: int = COMPACT_EVERY) -> None:
+    """Fold what has gathered ``fan`` committed folders of one size."""
+
+    def write_trips(run: str, names: list[str], name: str, lowest: bool) -> None:
+        rows = read_folders(spark, staging_path, STAGING_FILES, names)
+        write_bucketed(rows.select(*STAGING_COLUMNS), staging_path, name, rows.count())
+
+    def write_metrics(run: str, names: list[str], name: str, lowest: bool) -> None:
+        rows = read_folders(spark, metrics_path, BATCH_METRICS_SCHEMA, names).drop("run", "batch")
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{metrics_path}/{name}")
+
+    fold(spark, staging_path, fan, write_trips)
+    fold(spark, metrics_path, fan, write_metrics)
+    # Filters of folders that are gone.
+    drop_filters(spark, staging_path)
 
 
 def run_of(spark: SparkSession, checkpoint_path: str) -> str:
@@ -143,11 +175,14 @@ def write_staging_stream(
     query at a time may write to a staging table.
     """
 
+    @cache
+    def run() -> str:
+        return run_of(stream.sparkSession, checkpoint_path)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        merge_batch(batch, batch_id, run_of(spark, checkpoint_path), staging_path, metrics_path)
-        if (batch_id + 1) % compact_every == 0:
-            compact_staging(spark, staging_path, metrics_path)
+        merge_batch(batch, batch_id, run(), staging_path, metrics_path)
+        compact_staging(spark, staging_path, metrics_path, compact_every)
 
     writer = stream.writeStream.foreachBatch(write_batch)
     return start_writer(writer, checkpoint_path, trigger, output_mode)

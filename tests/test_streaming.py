@@ -13,7 +13,7 @@ from curbline.plans import quality, serving
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS, SHARD_COLUMNS
 from curbline.session import disk_backed_state, work_dir
 from curbline.sources.messages import file_stream, message_payload
-from curbline.streaming import assembly, compaction, jobs, sinks
+from curbline.streaming import assembly, batches, jobs, membership, sinks
 
 DATES = ["4/1/2014", "4/2/2014", "4/3/2014"]
 
@@ -67,7 +67,7 @@ def test_lake_is_partitioned_by_date_and_restarts_from_its_checkpoint(spark, inb
     assert "PartitionFilters: [isnotnull(trip_date" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("compact_every", [1, 50])
+@pytest.mark.parametrize("compact_every", [2, 50])
 def test_merge_keeps_one_row_per_id_across_batches(spark, inbox, compact_every):
     send(spark, inbox, 1, trips(spark, range(1, 11)).union(trips(spark, range(5, 11))))
     send(spark, inbox, 2, trips(spark, range(8, 21)))
@@ -131,47 +131,124 @@ def test_the_first_arrival_stays_within_a_batch(spark, inbox):
     assert [r.base for r in sinks.read_staging(spark, f"{folder}/staging").collect()] == ["B1"]
 
 
-def data_files(folder):
-    return [p for p in Path(folder.removeprefix("file:")).rglob("*.parquet") if "/_w" not in str(p)]
+def written_bytes(path):
+    return sum(p.stat().st_size for p in Path(path.removeprefix("file:")).rglob("*.parquet"))
+
 
+def store(spark, folder, number, numbers, fan=None):
+    batch = add_calendar(valid_events(trips(spark, numbers)))
+    sinks.merge_batch(batch, number, "first", f"{folder}/staging", f"{folder}/metrics")
+    if fan:
+        sinks.compact_staging(spark, f"{folder}/staging", f"{folder}/metrics", fan)
 
-def test_files_stay_bounded_over_many_batches(spark, inbox):
+
+def test_folders_stay_few_over_many_batches(spark, inbox):
     folder = work_dir(spark, "many")
     for number in range(12):
         send(spark, inbox, number, trips(spark, [number + 1, number + 2]))
-    staging, metrics = merge(spark, inbox, folder, compact_every=4)
+    staging, metrics = merge(spark, inbox, folder, compact_every=3)
     assert staging.count() == 13 and metrics.count() == 12
-    runs = list(Path(f"{folder}/staging".removeprefix("file:")).glob("run=*/batch=*"))
-    assert len(runs) == 2
-    assert len(data_files(f"{folder}/metrics")) <= 4
-
-
-def test_a_compaction_cut_short_is_finished(spark, inbox, monkeypatch):
+    for table in ("staging", "metrics"):
+        (spans,) = batches.live(spark, f"{folder}/{table}").values()
+        # At most fan - 1 folders of each level, and the last batch.
+        assert spans == [(0, 8), (9, 9), (10, 10), (11, 11)]
+
+
+def test_bytes_written_grow_with_the_data_times_its_levels():
+    """200 batches of one row each, by the fold's own rule: every row is written once per level."""
+    fan, spans, written = 8, [], 0
+    for number in range(200):
+        spans.append((number, number))
+        written += 1
+        level, committed = 0, spans[:-1]
+        while committed and level <= max(batches.level_of(s, fan) for s in committed):
+            members = [s for s in committed if batches.level_of(s, fan) == level]
+            if len(members) >= fan:
+                whole = (members[0][0], members[-1][1])
+                written += whole[1] - whole[0] + 1
+                committed = sorted([*[s for s in committed if s not in members], whole])
+            level += 1
+        spans = [*committed, spans[-1]]
+        assert len(spans) <= 3 * fan
+    assert written <= 4 * 200
+
+
+def test_readers_see_every_row_while_a_fold_is_cut_short(spark, monkeypatch):
     folder = work_dir(spark, "short")
-    for number in range(1, 5):
-        send(spark, inbox, number, trips(spark, [number]))
-    staging, _ = merge(spark, inbox, folder)
-    before = rows_of(staging)
-    done = compaction.finish
-    calls = []
-    monkeypatch.setattr(compaction, "finish", lambda *a: calls.append(a) or (done(*a) if len(calls) == 1 else None))
-    sinks.compact_staging(spark, f"{folder}/staging", f"{folder}/metrics")
-    monkeypatch.undo()
-    assert list(Path(f"{folder}/staging".removeprefix("file:")).glob("_ready/run=*/batch=*"))
-    sinks.compact_staging(spark, f"{folder}/staging", f"{folder}/metrics")
-    assert rows_of(sinks.read_staging(spark, f"{folder}/staging")) == before
-
-
-def test_a_look_up_reads_only_the_buckets_of_the_batch(spark):
-    folder = work_dir(spark, "buckets")
-    batch = add_calendar(valid_events(trips(spark, range(1, 40))))
-    sinks.merge_batch(batch, 0, "first", f"{folder}/staging", f"{folder}/metrics")
-    one = add_calendar(valid_events(trips(spark, [50])))
-    bucket = one.select(sinks.bucket_of().alias("b")).first().b
-    read = sinks.read_or_empty(spark, f"{folder}/staging", sinks._STAGING_FILES).where(F.col("bucket").isin([bucket]))
-    read.collect()
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    for number in range(5):
+        store(spark, folder, number, [number + 1])
+    staging = f"{folder}/staging"
+    before = rows_of(sinks.read_staging(spark, staging))
+    assert len(before) == 5
+
+    # Cut short before the fold is complete: its folder stands without a mark.
+    sinks.compact_staging(spark, staging, f"{folder}/metrics", 4)
+    mark = Path(f"{staging}/run=first/batch=0-3/_SUCCESS".removeprefix("file:"))
+    assert mark.exists()
+    mark.unlink()
+    assert batches.live(spark, staging)["run=first"] == [(n, n) for n in range(5)]
+    assert rows_of(sinks.read_staging(spark, staging)) == before
+
+    # Complete, and the folders that it holds are still there.
+    sinks.compact_staging(spark, staging, f"{folder}/metrics", 4)
+    assert batches.live(spark, staging)["run=first"] == [(0, 3), (4, 4)]
+    assert Path(f"{staging}/run=first/batch=0".removeprefix("file:")).exists()
+    assert rows_of(sinks.read_staging(spark, staging)) == before
+
+    # They go with the next fold.
+    batches.clear(spark, staging)
+    assert not Path(f"{staging}/run=first/batch=0".removeprefix("file:")).exists()
+    assert rows_of(sinks.read_staging(spark, staging)) == before
+
+
+def test_a_batch_that_is_being_written_is_not_read(spark):
+    folder = work_dir(spark, "writing")
+    store(spark, folder, 0, [1, 2])
+    store(spark, folder, 1, [3])
+    Path(f"{folder}/staging/run=first/batch=1/_SUCCESS".removeprefix("file:")).unlink()
+    assert sinks.read_staging(spark, f"{folder}/staging").count() == 2
+    store(spark, folder, 1, [3])
+    assert sinks.read_staging(spark, f"{folder}/staging").count() == 3
+
+
+def ids_frame(spark, first, last):
+    return spark.range(first, last).select(F.concat(F.lit("uber-"), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 20)).alias("trip_id"))
+
+
+def test_new_ids_read_no_file(spark):
+    """Filters tell 10,000 new ids from 20,000 stored ones; stored ones are all found."""
+    path = work_dir(spark, "filters")
+    schema = sinks.StructType([sinks.STAGING_FILES["trip_id"], sinks.STAGING_FILES["bucket"]])
+    for number in range(2):
+        sinks.write_bucketed(ids_frame(spark, number * 10_000, number * 10_000 + 10_000), path, f"run=a/batch={number}", 10_000)
+    new = sinks.stored_rows(spark, path, schema, ids_frame(spark, 50_000, 60_000), "a", 9)
+    assert len(new.inputFiles()) <= 1
+    old = ids_frame(spark, 5_000, 15_000)
+    found = sinks.stored_rows(spark, path, schema, old, "a", 9)
+    assert found.join(old, "trip_id", "left_semi").count() == 10_000
+    one = ids_frame(spark, 7, 8)
+    assert len(sinks.stored_rows(spark, path, schema, one, "a", 9).inputFiles()) == 1
+    # A batch does not meet its own folder.
+    assert sinks.stored_rows(spark, path, schema, one, "a", 0).isEmpty()
+
+
+def test_a_folder_without_a_filter_is_read(spark):
+    folder = work_dir(spark, "unfiltered")
+    store(spark, folder, 0, range(1, 9))
+    Path(f"{folder}/staging/_filters/run=first/batch=0/lines=1/_SUCCESS".removeprefix("file:")).unlink()
+    store(spark, folder, 1, range(1, 12))
+    assert sinks.read_staging(spark, f"{folder}/staging").count() == 11
+
+
+def test_filters_follow_the_folds(spark):
+    folder = work_dir(spark, "folded")
+    for number in range(8):
+        store(spark, folder, number, [number + 1, 20], fan=3)
+    path = f"{folder}/staging"
+    filters = batches.Folder(spark, membership.filters_path(path)).matches("run=*/batch=*")
+    data = batches.Folder(spark, path).matches("run=*/batch=*")
+    assert set(batches.live_names(spark, path)) <= set(filters) and set(filters) <= set(data)
+    assert sinks.read_staging(spark, path).count() == 9
 
 
 def test_a_replayed_batch_replaces_itself(spark):
@@ -236,13 +313,12 @@ def part_stream(spark, inbox, max_files=1):
 
 
 def assemble(spark, folder, inbox, **options):
-    with disk_backed_state(spark, 2):
-        query = assembly.write_assembly_stream(
-            part_stream(spark, inbox), f"{folder}/staging", f"{folder}/metrics", f"{folder}/rejects",
-            f"{folder}/checkpoint", trigger="available", **options,
-        )
+    query = assembly.write_assembly_stream(
+        part_stream(spark, inbox), f"{folder}/staging", f"{folder}/metrics", f"{folder}/pending",
+        f"{folder}/checkpoint", trigger="available", **options,
+    )
     query.awaitTermination()
-    return sinks.read_staging(spark, f"{folder}/staging"), assembly.read_rejects(spark, f"{folder}/rejects")
+    return sinks.read_staging(spark, f"{folder}/staging"), assembly.read_pending(spark, f"{folder}/pending")
 
 
 def send_part(spark, inbox, number, role, events, minute):
@@ -253,14 +329,10 @@ def send_part(spark, inbox, number, role, events, minute):
     payload.coalesce(1).write.parquet(f"{inbox}/{number:03d}")
 
 
-def heartbeat(spark, inbox, number):
-    send_part(spark, inbox, number, "latitude", trips(spark, [59]), 3000)
-
-
 @pytest.fixture()
 def parts(spark, inbox):
     """Ids 1-20 complete, of which 5-10 and 15 come twice; 21 lacks its latitude, 22 its base; the
-    latitude of 20 comes hours later; then a message that lets the watermark pass."""
+    latitude of 20 comes hours later."""
     number = 0
     for role in SHARD_COLUMNS:
         numbers = set(range(1, 23)) - {{"latitude": 21, "longitude_base": 22}.get(role)}
@@ -270,18 +342,36 @@ def parts(spark, inbox):
             send_part(spark, inbox, number, role, trips(spark, chosen), minute)
             number += 1
     send_part(spark, inbox, number, "latitude", trips(spark, [20]), 300)
-    heartbeat(spark, inbox, number + 1)
     return inbox
 
 
 @pytest.mark.parametrize("compact_every", [2, 50])
-def test_sessions_assemble_and_late_parts_complete_the_rejects(spark, parts, compact_every):
-    staging, rejects = assemble(spark, work_dir(spark, "sessions"), parts, compact_every=compact_every)
-    assert rows_of(staging, "trip_id") == rows_of(trips(spark, range(1, 20)), "trip_id")
-    completed = assembly.complete_rejects(rejects)
-    assert tuple(completed.columns) == EVENT_COLUMNS
-    assert rows_of(completed) == rows_of(trips(spark, [20]))
-    assert rejects.count() == 4  # 21, 22, and 20 twice
+def test_late_parts_complete_a_trip_and_the_others_wait(spark, parts, compact_every):
+    folder = work_dir(spark, "parts")
+    staging, pending = assemble(spark, folder, parts, compact_every=compact_every)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, range(1, 21)), "trip_id")
+    wanted = rows_of(add_calendar(valid_events(trips(spark, range(1, 21)))), "trip_id", "base", "pickup_latitude")
+    assert rows_of(staging, "trip_id", "base", "pickup_latitude") == wanted
+    assert rows_of(pending, "trip_id") == rows_of(trips(spark, [21, 22]), "trip_id")
+    held = {r.trip_id: (r.pickup_latitude is None, r.base is None) for r in pending.collect()}
+    ids = [r.trip_id for r in trips(spark, [21, 22]).collect()]
+    assert sorted(held.values()) == [(False, True), (True, False)] and set(held) == set(ids)
+
+
+def test_a_trip_is_stored_with_the_batch_of_its_last_part(spark, inbox):
+    """No heartbeat: the topic falls silent, and all that is complete is there, batch by batch."""
+    folder = work_dir(spark, "once")
+    send_part(spark, inbox, 0, "datetime", trips(spark, [1, 2]), 0)
+    send_part(spark, inbox, 1, "latitude", trips(spark, [1, 2]), 1)
+    assert assemble(spark, folder, inbox)[0].count() == 0
+    send_part(spark, inbox, 2, "longitude_base", trips(spark, [1]), 2)
+    staging, pending = assemble(spark, folder, inbox)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, [1]), "trip_id")
+    send_part(spark, inbox, 3, "longitude_base", trips(spark, [2]), 60 * 24 * 30)
+    staging, pending = assemble(spark, folder, inbox)
+    assert staging.count() == 2 and pending.isEmpty()
+    metrics = sinks.read_batch_metrics(spark, f"{folder}/metrics")
+    assert rows_of(metrics, "batch_id", "records_received") == [(2, 1), (3, 1)]
 
 
 def test_a_part_sent_again_hours_later_loses_nothing(spark, inbox):
@@ -289,11 +379,48 @@ def test_a_part_sent_again_hours_later_loses_nothing(spark, inbox):
     send_part(spark, inbox, 1, "datetime", trips(spark, [1]), 180)
     send_part(spark, inbox, 2, "latitude", trips(spark, [1]), 180)
     send_part(spark, inbox, 3, "longitude_base", trips(spark, [1]), 180)
-    heartbeat(spark, inbox, 4)
     staging, _ = assemble(spark, work_dir(spark, "later"), inbox)
     assert rows_of(staging, "trip_id") == rows_of(trips(spark, [1]), "trip_id")
 
 
+def test_parts_of_a_stored_trip_are_dropped_and_a_wrong_value_can_be_mended(spark, inbox):
+    bad = trips(spark, [2]).withColumn("pickup_latitude", F.lit(95.0))
+    for number, role in enumerate(SHARD_COLUMNS):
+        both = trips(spark, [1]).union(bad if role == "latitude" else trips(spark, [2]))
+        send_part(spark, inbox, number, role, both, number)
+    folder = work_dir(spark, "mended")
+    staging, pending = assemble(spark, folder, inbox)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, [1]), "trip_id")
+    assert rows_of(pending, "trip_id") == rows_of(trips(spark, [2]), "trip_id")
+    send_part(spark, inbox, 3, "latitude", trips(spark, [1, 2]), 9)
+    staging, pending = assemble(spark, folder, inbox)
+    assert rows_of(staging, "trip_id") == rows_of(trips(spark, [1, 2]), "trip_id")
+    assert pending.isEmpty()
+
+
+def test_a_replayed_assembly_batch_changes_nothing(spark):
+    folder = work_dir(spark, "replayed")
+    paths = [f"{folder}/{name}" for name in ("staging", "metrics", "pending")]
+    event = trips(spark, [1, 2, 3]).withColumn("arrival", F.timestamp_seconds(F.lit(5)))
+    empty = [F.lit(None).cast("bigint").alias(name) for name in ("partition", "offset")]
+    fields = [F.col(n) if n != "base" else F.lit(None).cast("string").alias("base") for n in EVENT_COLUMNS]
+    first = event.select(*fields, "arrival", *empty)
+    second = event.where("base = 'B1'").select("trip_id", *[
+        F.lit(None).cast(dict(event.dtypes)[n]).alias(n) if n != "base" else F.col(n) for n in EVENT_COLUMNS[1:]
+    ], "arrival", *empty).limit(2)
+    second = second.persist()
+    for _ in range(2):
+        assembly.assemble_batch(first, 0, "r", *paths)
+    for _ in range(2):
+        assembly.assemble_batch(second, 1, "r", *paths)
+        # As if the stop had come between the two tables.
+        Path(f"{paths[2]}/run=r/batch=1/_SUCCESS".removeprefix("file:")).unlink()
+    assembly.assemble_batch(second, 1, "r", *paths)
+    assert sinks.read_staging(spark, paths[0]).count() == 2
+    assert assembly.read_pending(spark, paths[2]).count() == 1
+    assert rows_of(sinks.read_batch_metrics(spark, paths[1]), "batch_id", "records_received") == [(1, 2)]
+
+
 def test_a_later_part_replaces_an_earlier_one_whatever_the_row_order(spark):
     rows = [
         ("a", None, 41.0, None, None, 2, 0, 7), ("a", None, 40.0, None, None, 2, 0, 6),
@@ -308,7 +435,7 @@ def test_a_later_part_replaces_an_earlier_one_whatever_the_row_order(spark):
             "trip_id string, event_timestamp string, pickup_latitude double, pickup_longitude double,"
             " base string, second int, partition bigint, offset bigint",
         ).withColumn("arrival", F.timestamp_seconds("second"))
-        events = assembly.complete_events(assembly.assemble_sessions(frame))
+        events = assembly.complete_events(assembly.assemble(frame))
         assert rows_of(events) == [
             ("a", "2014-04-01T04:00:00+00:00", 41.0, -73.0, "B1"),
             ("c", "2014-04-01T04:00:00+00:00", 41.0, -73.0, "B1"),
