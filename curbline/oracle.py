@@ -267,6 +267,8 @@ ORACLE["kpi_ratios"] = _with(
        coalesce(count(*) filter (is_weekend)::double / nullif(count(*)::double, 0) * 100, 0)
          as weekend_share from fact""",
 )
+ORACLE["model_refresh"] = ORACLE["trips_by_date"]
+ORACLE["model_refresh_cells"] = ORACLE["geo_grid"]
 ORACLE["serving_tables"] = ORACLE["trips_by_base"]
 for _model in (*_MODEL_KEYS, "kpis"):
     ORACLE[f"serving_{_model}"] = ORACLE[_model]

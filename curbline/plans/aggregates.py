@@ -37,6 +37,11 @@ def cell_counts(fact: DataFrame) -> DataFrame:
     return count_by(fact, "latitude_grid", "longitude_grid")
 
 
+def daily_cell_counts(fact: DataFrame) -> DataFrame:
+    """Counts by cell and date, so that one date's can be replaced."""
+    return count_by(fact, "trip_date", "latitude_grid", "longitude_grid")
+
+
 def _share() -> Column:
     return percent(F.col("trip_count"), _over_all(F.sum("trip_count"))).alias("share_pct")
 

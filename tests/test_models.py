@@ -8,6 +8,7 @@ import pytest
 from helpers import plan_of, rows_of, scan_details_of, staging_source
 from pyspark.sql import functions as F
 
+from curbline.functions import clock
 from curbline.plans import aggregates, models, quality, serving, trips
 from curbline.schema import FACT_COLUMNS, FACT_SCHEMA
 from curbline.session import work_dir
@@ -214,6 +215,52 @@ def test_model_run_serves_in_display_order(spark, random_trips):
     assert serving.serving_table(spark, out, "kpis").first().total_trips == 0
 
 
+def everything_of(spark, out):
+    names = ("trip_fact", *models.COUNTS, *models.AGGREGATES)
+    return {name: rows_of(models.read_model(spark, out, name), *sorted(models.read_model(spark, out, name).columns)) for name in names}
+
+
+def test_a_refresh_of_changed_dates_equals_a_full_build(spark):
+    first = [trip(n, f"2014-04-0{1 + n % 3} {n % 24}:00:00", 40.0 + n / 100, -73.5, f"B{n % 4}") for n in range(40)]
+    # One date grows and changes, one loses all its trips, one is new; the others stay.
+    kept = [row for row in first if row[1][:10] not in ("2014-04-02", "2014-04-03")]
+    changed = [trip(100 + n, f"2014-04-02 {n % 24}:30:00", 41.0, -73.5 - n / 100, "B9") for n in range(7)]
+    new = [trip(200 + n, f"2014-04-07 {n % 24}:59:59", 41.5, -73.5, "B1") for n in range(5)]
+    stored = work_dir(spark, "source")
+    out, full = work_dir(spark, "refreshed"), work_dir(spark, "full")
+    models.build_models(staging_source(spark, first), out)
+    day = F.to_date(clock.instant_to_local(F.col("event_timestamp")))
+    after = staging_source(spark, kept + changed + new)
+    after.withColumn("trip_date", day).write.partitionBy("trip_date").parquet(stored)
+    source = spark.read.parquet(stored)
+    dates = [date(2014, 4, 2), date(2014, 4, 3), date(2014, 4, 7)]
+    for _ in range(2):  # again, as after one that was cut short
+        models.refresh_models(source, out, dates)
+    models.build_models(source, full)
+    got, wanted = everything_of(spark, out), everything_of(spark, full)
+    for name in wanted:
+        assert got[name] == wanted[name], name
+    models.refresh_models(source, out, [])
+
+
+def test_a_refresh_reads_its_dates_only(spark, monkeypatch):
+    rows = [trip(n, f"2014-04-0{1 + n % 5} {n % 24}:00:00", 40.0, -73.5, "B1") for n in range(50)]
+    stored, out = work_dir(spark, "source"), work_dir(spark, "pruned")
+    day = F.to_date(clock.instant_to_local(F.col("event_timestamp")))
+    staging_source(spark, rows).withColumn("trip_date", day).write.partitionBy("trip_date").parquet(stored)
+    source = spark.read.parquet(stored)
+    models.build_models(source, out)
+    seen = []
+    write = models._write_dated
+    monkeypatch.setattr(models, "_write_dated", lambda frame, *a, **k: seen.append(frame) or write(frame, *a, **k))
+    models.refresh_models(source, out, [date(2014, 4, 3)])
+    for frame in seen:
+        plan = scan_details_of(frame)
+        assert "PartitionFilters: [isnotnull(trip_date" in plan or "PartitionFilters: [(trip_date" in plan
+        assert "2014-04-03" in plan
+    assert "GreaterThanOrEqual(event_timestamp,2014-04-02" in scan_details_of(seen[0])
+
+
 def test_top_cells_and_map_points(random_trips):
     _, fact = random_trips
     cells = aggregates.geo_grid(fact)
