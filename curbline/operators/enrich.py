@@ -50,12 +50,15 @@ def valid_events(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ..
     return parsed.where(F.col("instant").isNotNull()).select(*fields, *keep)
 
 
-def rejected_messages(messages: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
-    """``value`` and ``reason`` of each message that ``transform_messages`` leaves out."""
+def judged_messages(messages: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every message with its event, the timestamp as an instant, and ``reason``, empty where the event is valid.
+
+    One pass for both sides of a route; batch and streaming alike.
+    """
     fields = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
-    decoded = unpack_once(messages, fields, ("value",))
+    decoded = unpack_once(messages.withColumn("value", F.col("value").cast("string")), fields, ("value", *keep))
     instant = clock.parse_instant(F.col("event_timestamp"), zone)
-    parsed = unpack_once(decoded, F.struct(instant.alias("instant")), ("value", *EVENT_COLUMNS))
+    parsed = unpack_once(decoded, F.struct(instant.alias("instant")), ("value", *EVENT_COLUMNS, *keep))
     reason = F.concat_ws(
         ", ",
         F.when(F.col("trip_id").isNull(), "no id"),
@@ -64,7 +67,13 @@ def rejected_messages(messages: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame
         F.when(~F.coalesce(F.col("pickup_longitude").between(*LONGITUDE_RANGE), F.lit(False)), "bad longitude"),
         F.when(F.coalesce("base", F.lit("")) == "", "no base"),
     )
-    return parsed.select(F.col("value").cast("string").alias("value"), reason.alias("reason")).where("reason != ''")
+    events = [F.col("instant").alias(n) if n == "event_timestamp" else F.col(n) for n in EVENT_COLUMNS]
+    return parsed.select("value", *events, *keep, reason.alias("reason"))
+
+
+def rejected_messages(messages: DataFrame, zone: str = SOURCE_ZONE) -> DataFrame:
+    """``value`` and ``reason`` of each message that ``transform_messages`` leaves out."""
+    return judged_messages(messages, zone).where("reason != ''").select("value", "reason")
 
 
 def add_calendar(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:

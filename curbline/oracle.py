@@ -335,6 +335,12 @@ ORACLE["stream_rejects"] = _with(
          case when base = '' then 'no base' end) as reason
        from wire where not ok""",
 )
+ORACLE["stream_routed_rejects"] = ORACLE["stream_rejects"]
+ORACLE["stream_routed_balance"] = _with(
+    _RAW,
+    """select (row_number - 1) % 12 // 4 as batch_id, count(*) filter (ok) as valid, count(*) filter (not ok) as refused,
+         count(*) as received from wire group by batch_id""",
+)
 ORACLE["stream_assembly_agg"] = ORACLE["stream_enriched"]
 
 # Data quality

@@ -590,6 +590,32 @@ def stream_two_sinks(spark, sf_dir):
     return comparable(named[0].unionByName(named[1]))
 
 
+def _routed(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a stream that sends valid events and refused messages to two tables."""
+    folder = work_dir(spark, "routed")
+    judged = enrich.judged_messages(enrich.arrival_of(_slice_stream(spark, sf_dir, folder, parts=4)), keep=("arrival",))
+    paths = [f"{folder}/{name}" for name in ("staging", "metrics", "rejects", "checkpoint")]
+    sinks.write_routed_stream(judged, *paths, trigger="available").awaitTermination()
+    return folder
+
+
+@query
+def stream_routed_rejects(spark, sf_dir):
+    """What a running stream refused, with the reason."""
+    return sinks.read_rejects(spark, f"{_routed(spark, sf_dir)}/rejects").select("value", "reason")
+
+
+@query
+def stream_routed_balance(spark, sf_dir):
+    """Per batch the valid and the refused messages, which are all that it received."""
+    folder = _routed(spark, sf_dir)
+    valid = sinks.read_batch_metrics(spark, f"{folder}/metrics").select("batch_id", F.col("records_received").alias("valid"))
+    refused = sinks.read_rejects(spark, f"{folder}/rejects").groupBy(F.col("batch").cast("bigint").alias("batch_id"))
+    return valid.join(refused.agg(F.count(F.lit(1)).alias("refused")), "batch_id").select(
+        "batch_id", "valid", "refused", (F.col("valid") + F.col("refused")).alias("received")
+    )
+
+
 @query
 def metrics_upsert(spark, sf_dir):
     """Batch metrics written again for the same batch: one batch per date, its size first

@@ -10,12 +10,14 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from curbline.operators.enrich import add_calendar
 from curbline.operators.merge import insert_absent
 from curbline.schema import (
     BATCH_METRICS_SCHEMA,
     JDBC_BATCH_ROWS,
+    SOURCE_ZONE,
     STAGING_COLUMNS,
     STAGING_SCHEMA,
     TRIGGER,
@@ -102,7 +104,7 @@ def write_bucketed(rows: DataFrame, path: str, name: str, many: int) -> None:
 
 def record_batch(spark: SparkSession, metrics_path: str, run: str, batch_id: int, records: int) -> None:
     """The metrics row of a batch; a replayed batch replaces it."""
-    spark.range(1).select(
+    spark.range(0, 1, 1, 1).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(records).cast("bigint").alias("records_received"),
         F.current_timestamp().alias("processed_at"),
@@ -188,6 +190,67 @@ def write_staging_stream(
     return start_writer(writer, checkpoint_path, trigger, output_mode)
 
 
+REJECTS_SCHEMA = StructType([StructField("value", StringType()), StructField("reason", StringType())])
+
+
+def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """``value, reason`` of refused messages, with the ``run`` and ``batch`` that refused them."""
+    return read_batches(spark, rejects_path, REJECTS_SCHEMA)
+
+
+def route_batch(
+    judged: DataFrame, batch_id: int, run: str, staging_path: str, metrics_path: str, rejects_path: str,
+    zone: str = SOURCE_ZONE,
+) -> None:
+    """Send one micro-batch of ``judged_messages`` two ways: valid events to staging, the others with their reason to the rejects.
+
+    The messages are decoded once, and each is in one of the tables; a replayed batch changes neither.
+    """
+    keep = ("arrival",) if "arrival" in judged.columns else ()
+    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        refused = judged.where("reason != ''").select("value", "reason")
+        name = f"run={run}/batch={batch_id}"
+        if not Folder(judged.sparkSession, rejects_path).matches(f"{name}/_SUCCESS"):
+            refused.hint("rebalance").write.mode("overwrite").parquet(f"{rejects_path}/{name}")
+        trips = add_calendar(judged.where("reason = ''"), zone, keep)
+        merge_batch(trips, batch_id, run, staging_path, metrics_path)
+    finally:
+        judged.unpersist()
+
+
+def write_routed_stream(
+    judged: DataFrame,
+    staging_path: str,
+    metrics_path: str,
+    rejects_path: str,
+    checkpoint_path: str,
+    zone: str = SOURCE_ZONE,
+    trigger: str = TRIGGER,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """A stream of ``judged_messages`` into the staging table and a table of rejects."""
+
+    @cache
+    def run() -> str:
+        return run_of(judged.sparkSession, checkpoint_path)
+
+    def write_rejects(spark: SparkSession) -> Callable:
+        def write(run: str, names: list[str], name: str, lowest: bool) -> None:
+            rows = read_folders(spark, rejects_path, REJECTS_SCHEMA, names).drop("run", "batch")
+            rows.hint("rebalance").write.mode("overwrite").parquet(f"{rejects_path}/{name}")
+
+        return write
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        route_batch(batch, batch_id, run(), staging_path, metrics_path, rejects_path, zone)
+        compact_staging(spark, staging_path, metrics_path, compact_every)
+        fold(spark, rejects_path, compact_every, write_rejects(spark))
+
+    return start_writer(judged.writeStream.foreachBatch(write_batch), checkpoint_path, trigger)
+
+
 def merge_statements(ingest_table: str, target_table: str, metrics_table: str) -> tuple[str, ...]:
     """What runs in the database after a batch has been appended to the ingest table."""
     columns = ", ".join(STAGING_COLUMNS)

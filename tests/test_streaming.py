@@ -289,6 +289,43 @@ def test_one_stream_feeds_two_sinks(spark, inbox):
     assert sinks.read_staging(spark, f"{folder}/staging").count() == 15
 
 
+def test_valid_and_refused_messages_make_up_each_batch(spark, inbox):
+    folder = work_dir(spark, "routed")
+    for number in range(4):
+        good, bad = trips(spark, [number + 1, number + 11]), trips(spark, [number + 21]).withColumn("base", F.lit(""))
+        send(spark, inbox, number, good.union(bad).union(bad.withColumn("pickup_latitude", F.lit(99.0))))
+    spark.createDataFrame([(None, "{broken")], "key string, value string").coalesce(1).write.parquet(f"{inbox}/009")
+    for checkpoint in ("one", "one"):  # a restart has nothing left to do
+        lake, staging = jobs.start_trip_queries(
+            messages(spark, inbox), f"{folder}/lake", f"{folder}/staging", f"{folder}/metrics",
+            f"{folder}/{checkpoint}", trigger="available", rejects_path=f"{folder}/rejects",
+        )
+        lake.awaitTermination()
+        staging.awaitTermination()
+    refused = sinks.read_rejects(spark, f"{folder}/rejects")
+    assert rows_of(refused.groupBy("batch").count()) == [("0", 2), ("1", 2), ("2", 2), ("3", 2), ("4", 1)]
+    reasons = {r.reason: r["count"] for r in refused.groupBy("reason").count().collect()}
+    assert reasons["no base"] == 4 and reasons["bad latitude, no base"] == 4 and sum(reasons.values()) == 9
+    assert sinks.read_staging(spark, f"{folder}/staging").count() == 8
+    metrics = sinks.read_batch_metrics(spark, f"{folder}/metrics")
+    assert rows_of(metrics, "batch_id", "records_received") == [(n, 2) for n in range(4)]
+
+
+def test_waiting_ends_with_the_first_query(spark, inbox):
+    """The job waits for any query, and a trigger by time keeps the others running."""
+    send(spark, inbox, 1, trips(spark, [1, 2]))
+    folder = work_dir(spark, "timed")
+    stream = transform_messages(messages(spark, inbox))
+    timed = sinks.write_parquet_stream(stream, f"{folder}/lake", f"{folder}/timed", "1 second")
+    spark.streams.resetTerminated()
+    done = sinks.write_parquet_stream(stream, f"{folder}/other", f"{folder}/done", "available")
+    jobs.run_until_one_ends(spark)
+    assert not done.isActive and timed.isActive
+    timed.processAllAvailable()
+    timed.stop()
+    assert spark.read.parquet(f"{folder}/lake").count() == 2
+
+
 def test_limits_bound_a_micro_batch(spark, inbox):
     for number in range(1, 5):
         send(spark, inbox, number, trips(spark, [number]))
