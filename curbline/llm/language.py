@@ -121,7 +121,12 @@ def expected_counts(words: list[str], counts: np.ndarray, pieces: dict[str, int]
 
 
 def letters(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # Superscripts, fractions, Roman numerals and the like are in the class, but are numbers and no letters.
+    split = ("".join(c if c.isalpha() else " " for c in word).split() for word in found)
+    return [part for parts in split for part in parts]
 
 
 def fit(labelled: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds: int = ROUNDS) -> dict:
@@ -266,7 +271,12 @@ def detect(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The documents whose language is known with a score of ``least`` or more, columns unchanged."""
+    """The documents whose language is known with a score of ``least`` or more, columns unchanged.
+
+    Where nothing was learned nothing can be told, and all documents stay.
+    """
+    if not model["languages"]:
+        return docs
     found = F.col("found")
     return detect(docs, model).filter((found["lang"] != UNKNOWN) & (found["score"] >= least)).select("row.*")
 

@@ -89,6 +89,21 @@ def test_texts_without_letters_and_very_long_ones(spark, model):
     assert language.keep_identified(docs.filter("doc_id < 5"), model).count() == 0
 
 
+def test_numerals_are_no_letters(spark, model):
+    rows = [(1, "² ½ ①"), (2, "Ⅷ ⅷ ٣ ௧"), (3, "²das haus½ ist①da")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: (r.found.lang, r.found.score) for r in language.detect(docs, model).collect()}
+    assert got[1] == got[2] == ("und", 0.0)
+    assert got[3][0] == "de"
+    assert language.letters("²das haus½ ist①da ªçßñ漢字") == ["das", "haus", "ist", "da", "ªçßñ漢字"]
+
+
+def test_without_labels_every_document_stays(spark, docs):
+    model = language.fit(docs.selectExpr("doc_id", "text", "cast(null as string) as lang"))
+    assert model["languages"] == []
+    assert language.keep_identified(docs, model).count() == docs.count()
+
+
 def test_slices_of_a_text_add_up(model, monkeypatch):
     whole, _ = language.Scorer(model).texts(list(TEXTS.values()))
     monkeypatch.setattr(language, "SLICE_WORDS", 3)

@@ -67,4 +67,4 @@ def test_run_is_registered(spark, folder):
 
 def test_one_query_of_each_number():
     numbers = sorted(int(name[2:].split("_")[0]) for name in contract.queries() if name.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
