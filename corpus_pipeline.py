@@ -1,4 +1,10 @@
-"""The corpus pipeline: its stages in order, each written as Parquet and reread as the next one's documents."""
+"""The corpus pipeline: its stages in order, each written as Parquet and reread as the next one's documents.
+
+Defined cases: a document whose text is null or without letters is dropped by the first stage, unless no row has a language to learn from: then
+all pass it. Of equal texts the largest doc_id stays, of near copies the smallest; rows that repeat a doc_id and a text are copies like others. Null
+sources are a source of their own; a null language is not learned from. Long texts pass every stage whole. Columns beyond those of documents
+are carried to the last stage, which returns pieces. An empty table gives an empty result with the columns of the last stage.
+"""
 
 from __future__ import annotations
 
