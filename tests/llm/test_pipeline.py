@@ -59,6 +59,17 @@ def test_stages_in_order(spark, folder):
     assert len({r.sequence_id for own in pieces.values() for r in own}) == sum(map(len, pieces.values()))
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_unlabelled_and_empty_tables(spark, tmp_path):
+    rows = [(1, "das haus ist hier", None, None, None), (2, "das haus ist hier", None, "a", 3), (3, None, None, "a", None)]
+    for name, some, kept in (("none", [], set()), ("unlabelled", rows, {2})):
+        spark.createDataFrame(some, SCHEMA).write.parquet(str(tmp_path / name / "documents.parquet"))
+        result = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert {r.doc_id for r in result.collect()} == kept
+
+
 def test_run_is_registered(spark, folder):
     result = contract.queries()["pipeline"](spark, folder[0])
     assert result.count() > 0
