@@ -252,3 +252,21 @@ def test_valid_and_rejected_rows_make_up_all_rows(spark):
     rejected = {r.row_number for r in rejected_rows(rows).collect()}
     assert not valid & rejected and valid | rejected == set(range(1, 301))
     assert valid and rejected
+
+
+def test_places_over_ranges_have_no_gaps_and_split_hot_values(spark):
+    from curbline.operators.places import dealt_in_order, with_place
+
+    rows = spark.range(5000).selectExpr("id", "if(id % 10 = 0, id, 7) as score")
+    order = (F.desc("score"), F.asc("id"))
+    got = [(r.place, r.id) for r in with_place(rows, *order).orderBy("place").collect()]
+    wanted = sorted(((n if n % 10 == 0 else 7, n) for n in range(5000)), key=lambda r: (-r[0], r[1]))
+    assert got == [(place, n) for place, (_, n) in enumerate(wanted, 1)]
+    # Small ranges are merged; unmerged, the hot value lies in several.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = dealt_in_order(rows, *order).where("score = 7").select("part").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1
+    assert with_place(rows.limit(0), *order).count() == 0
