@@ -64,7 +64,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_unlabelled_and_empty_tables(spark, tmp_path):
     rows = [(1, "das haus ist hier", None, None, None), (2, "das haus ist hier", None, "a", 3), (3, None, None, "a", None)]
-    for name, some, kept in (("none", [], set()), ("unlabelled", rows, {2})):
+    # The copy goes; the null text stays, and is drawn as often as its source, once.
+    for name, some, kept in (("none", [], set()), ("unlabelled", rows, {2, 3})):
         spark.createDataFrame(some, SCHEMA).write.parquet(str(tmp_path / name / "documents.parquet"))
         result = corpus_pipeline.run(spark, str(tmp_path / name))
         assert {r.doc_id for r in result.collect()} == kept
