@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from curbline.schema import RAW_COLUMNS
+from curbline.sources.quoted_csv import read_records
 
 _CHUNK = ("src_file", "src_block")
 
 
+def header_schema(spark: SparkSession, path: str) -> StructType:
+    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    return StructType([StructField(name, StringType()) for name in header])
+
+
+def _picked(schema: StructType, columns: tuple[str, ...], of: str = "") -> list[Column]:
+    """Columns by header name; one the header lacks is null in every row."""
+    return [
+        (F.col(f"{of}`{name}`") if name in schema.names else F.lit(None).cast("string")).alias(name)
+        for name in columns
+    ]
+
+
 def scan_csv(
     spark: SparkSession, path: str, columns: tuple[str, ...], multi_line: bool = True
 ) -> DataFrame:
     """Text columns picked by header name; one the header lacks is null in every row.
 
-    Types are never inferred. All files must carry the same header.
+    Types are never inferred. All files must carry the same header. With ``multi_line``, one task reads a file.
     """
-    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
-    schema = StructType([StructField(name, StringType()) for name in header])
+    schema = header_schema(spark, path)
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -29,23 +44,20 @@ def scan_csv(
         .csv(path)
     )
     return rows.select(
-        *[
-            (F.col(f"`{name}`") if name in header else F.lit(None).cast("string")).alias(name)
-            for name in columns
-        ],
+        *_picked(schema, columns),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
     )
 
 
-def land_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> None:
-    """Copy the CSV once into Parquet, each row tagged with its file, block and sequence.
+def land_csv(spark: SparkSession, path: str, table: str) -> None:
+    """Copy a CSV of one line a row into Parquet, each row tagged with its file, block and sequence.
 
     Later reads cannot cut the files differently, since the tags are stored, and they
     read only the columns they need. One task reads a block from start to end, so
     ``src_seq`` is gapless and in file order within a block.
     """
-    rows = scan_csv(spark, path, RAW_COLUMNS, multi_line)
+    rows = scan_csv(spark, path, RAW_COLUMNS, multi_line=False)
     rows.withColumn("src_seq", F.monotonically_increasing_id()).write.mode("overwrite").parquet(
         f"{table}/rows"
     )
@@ -83,14 +95,33 @@ def number_landed(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def land_records(spark: SparkSession, path: str, table: str) -> None:
+    """Copy the CSV into Parquet with row numbers, quoted line breaks kept; every file is read by many tasks."""
+    schema = header_schema(spark, path)
+    records = read_records(spark, path, table).withColumn("row", F.from_csv("record", schema.json(), {"escape": '"'}))
+    titles = [F.col(f"row.`{name}`") for name in schema.names]
+    # The reader names an empty title by its position, and adds that to one that stands twice.
+    same = [
+        F.coalesce(F.lower(title) == name.lower(), F.lit(name == f"_c{at}")) | (F.concat(title, F.lit(str(at))) == name)
+        for at, (title, name) in enumerate(zip(titles, schema.names, strict=True))
+    ]
+    known = reduce(Column.__and__, same)
+    wrong = F.raise_error(F.concat(F.lit("another header than the first file's: "), F.col("src_file")))
+    body = F.when(F.col("place") > 1, F.lit(True)).when(known, F.lit(False)).otherwise(wrong.cast("boolean"))
+    rows = records.filter(body).select("row_number", *_picked(schema, RAW_COLUMNS, "row."))
+    rows.write.mode("overwrite").parquet(f"{table}/rows")
+
+
 def read_raw_csv(
     spark: SparkSession, path: str, table: str, multi_line: bool = True
 ) -> DataFrame:
     """Numbered raw rows of a CSV file or folder; ``table`` is a shared work folder.
 
-    A quoted line break is part of its field, so a file is read by one task. For files known to have
-    none, ``multi_line=False`` lets many tasks share a file. Files count in order of their path
-    as text: pad numbers in their names.
+    A quoted line break is part of its field. For files known to have none, ``multi_line=False`` saves the search for
+    quotes. Many tasks share a file either way. Files count in order of their path as text: pad numbers in their names.
     """
-    land_csv(spark, path, table, multi_line)
+    if multi_line:
+        land_records(spark, path, table)
+        return spark.read.parquet(f"{table}/rows")
+    land_csv(spark, path, table)
     return number_landed(spark, table)

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from helpers import VALID, raw, rows_of
@@ -9,8 +10,10 @@ from curbline.functions.identity import trip_id
 from curbline.operators.canonical import canonical_events, rejected_rows
 from curbline.schema import EVENT_COLUMNS, ID_PREFIX, RAW_COLUMNS
 from curbline.session import work_dir
+from curbline.sources import quoted_csv
 from curbline.sources.json_lines import read_json_lines, write_json_lines
 from curbline.sources.messages import message_payload
+from curbline.sources.quoted_csv import read_records
 from curbline.sources.raw_csv import read_raw_csv, scan_csv
 
 
@@ -154,6 +157,86 @@ def test_quoted_line_breaks_are_part_of_their_field(spark, tmp_path):
     assert sorted((r.row_number, r.Base) for r in rows) == [(1, "B\n1"), (2, "B02512")]
 
 
+def _blocks_of(spark, monkeypatch, size):
+    """Source files are cut into byte ranges of this size."""
+    land = quoted_csv.land_lines
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0"}
+
+    def landed(*args):
+        before = {key: spark.conf.get(key) for key in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, str(value))
+        try:
+            land(*args)
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+
+    monkeypatch.setattr(quoted_csv, "land_lines", landed)
+
+
+def _field(draw):
+    """A field, quoted where it must be or by chance; inch marks inside plain fields are text."""
+    text = "".join(draw.choice(['a', 'b', ' ', ',', '"', '\n', 'xyz']) for _ in range(draw.choice((1, 2, 5, 40))))
+    if draw.random() < 0.5:
+        return '"' + text.replace('"', '""') + '"'
+    return "p" + text.replace(",", "").replace("\n", "")
+
+
+@pytest.mark.parametrize("size", [61, 500, 1 << 20])
+def test_csv_ranges_read_as_one_task_does(spark, tmp_path, monkeypatch, size):
+    """Quotes, doubled and stray ones, and line breaks across byte ranges: the same rows in the same order."""
+    draw = random.Random(size)
+    for name in "abc":
+        lines = ["Date/Time,Lat,Lon,Base"]
+        lines += [",".join(_field(draw) for _ in range(draw.choice((3, 4, 4, 5)))) for _ in range(30)]
+        if name == "b":
+            lines.insert(7, "")
+        (tmp_path / f"{name}.csv").write_bytes("\n".join(lines).encode() + b"\n" * (name != "c"))
+    once = scan_csv(spark, str(tmp_path), RAW_COLUMNS)
+    order = once.withColumn("seq", F.monotonically_increasing_id()).sort("src_file", "seq").collect()
+    _blocks_of(spark, monkeypatch, size)
+    rows = _numbered(spark, tmp_path).sort("row_number").collect()
+    assert [tuple(r) for r in rows] == [(n, *tuple(r)[:4]) for n, r in enumerate(order, 1)]
+    assert len(rows) == 90
+
+
+def test_one_csv_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    path = tmp_path / "trips.csv"
+    path.write_text("Date/Time,Lat,Lon,Base\n" + '4/1/2014 0:11:05,40.769,-73.954,"B\n1"\n' * 2000)
+    folder = work_dir(spark, "csv")
+    _blocks_of(spark, monkeypatch, 8192)
+    rows = read_raw_csv(spark, str(path), folder)
+    assert spark.read.parquet(f"{folder}/lines").select("src_block").distinct().count() > 4
+    assert rows.agg(F.count_distinct("row_number"), F.max("row_number"), F.count_if(F.col("Base") == "B\n1")).first() == (2000,) * 3
+
+
+def test_windows_line_ends_and_empty_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_bytes(b'Date/Time,Lat,Lon,Base\r\nx,1,2,"B\r\n1"\r\n\r\ny,1,2,"B2"\r\n')
+    (tmp_path / "b.csv").write_bytes(b"")
+    (tmp_path / "c.csv").write_bytes(b"Date/Time,Lat,Lon,Base\r\n")
+    (tmp_path / "d.csv").write_bytes(b"Date/Time,Lat,Lon,Base\r\nz,,2,B3")
+    _blocks_of(spark, monkeypatch, 9)
+    rows = _numbered(spark, tmp_path).sort("row_number").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, "x", "1", "2", "B\n1"), (2, "y", "1", "2", "B2"), (3, "z", None, "2", "B3"),
+    ]
+
+
+def test_a_quote_left_open_is_an_error(spark, tmp_path):
+    path = tmp_path / "trips.csv"
+    path.write_text('Date/Time,Lat,Lon,Base\n1,2,3,"B\n' + "1,2,3,4\n" * 50)
+    with pytest.raises(ValueError, match="record 2 has over 99 bytes"):
+        read_records(spark, str(path), work_dir(spark, "csv"), longest=99)
+
+
+def test_another_header_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Date/Time,Lat,Lon,Base\n1,2,3,4\n")
+    (tmp_path / "b.csv").write_text("Lat,Date/Time,Lon,Base\n1,2,3,4\n")
+    with pytest.raises(Exception, match="header"):
+        _numbered(spark, tmp_path)
+
+
 def test_json_lines_keep_nulls(spark, tmp_path):
     path = str(tmp_path / "out")
     event = spark.createDataFrame(
