@@ -4,8 +4,9 @@ Equal vectors of one label are one node. Every node keeps a list of its ``K`` ne
 lists come from blocks of nodes on the same side of random planes; each round then joins neighbours of neighbours:
 a node's neighbourhood, in both directions, is compared with itself, and what beats the end of a list enters it.
 
-Lists whose last place still reaches the threshold are saturated: they may hide further links. They are enlarged to
-all of their component, counted and not listed: two nodes within half the threshold's angle of the component's mean
+Lists whose last place still reaches the threshold are saturated: they may hide further links. Their places are doubled, up to
+``MOST_PLACES``, each time with a round over the neighbourhoods that hold a saturated node. What stays full is counted against
+all of its component and not listed: two nodes within half the threshold's angle of the component's mean
 direction are linked by the triangle inequality, so such nodes need a count only, and the others are compared
 with the component in blocks. Two saturated components of one label may hide the links between them as well: where the
 angle of their means, less both radii, leaves room for the threshold, all their pairs are counted in blocks, and a link
@@ -14,7 +15,9 @@ found joins them. Edges that reach the threshold in double precision are kept.
 Sets of planes grow with the nodes of a label, so that two nodes at the threshold share a side of one of them by ``MEET``
 at least. Recall is audited: for a bounded sample of each label's nodes all links are counted by comparison with every
 node of the label, and each node with links counts alike, whether it has one or thousands. A label's recall is the
-lowest of its nodes with less than ``K`` links, those with more, and both. Labels below ``RECALL`` get further planes and
+lowest of its nodes with less than ``K`` links, those with more, and both. A sample may hold no link at all where links are rare, so
+each of its nodes also gets a planted partner just above the threshold: a node without weight that the search treats like others
+and that enters nobody's list. The share of partners that find their node is a recall too, and the lower one counts. Labels below ``RECALL`` get further planes and
 rounds, for ``MOST_TRIES`` tries; those still below are compared whole, every node with every other, in blocks.
 
 Defined cases: rows whose label is null or whose vector is null, empty, zero or holds null or non-finite components
@@ -41,6 +44,8 @@ from curbline.llm.common import connected_components, cut
 LEAST = 0.93
 #: Places in a node's list.
 K = 10
+#: Places that a saturated list is enlarged to, by doubling.
+MOST_PLACES = 4 * K
 #: Neighbours of a node that a round joins, of both directions.
 JOINED = 2 * K
 #: Improvements that a round takes from one neighbourhood for one of its nodes.
@@ -102,6 +107,8 @@ def edge_batch(a: np.ndarray, b: np.ndarray, similarity: np.ndarray) -> pa.Recor
 
 
 EDGES = "a long, b long, s float"
+#: Edges to planted partners, which have negative numbers, enter no list.
+REAL = "b >= 0"
 
 
 def by_key(handle: Callable, block: int) -> Callable:
@@ -208,7 +215,7 @@ def first_lists(nodes: DataFrame, planes: int, seed: int, least: float) -> DataF
 
     single = leaves(nodes, planes, seed, least).select("key", "node", F.col("unit").cast("array<float>").alias("unit"))
     dealt = single.repartition("key").sortWithinPartitions("key", F.xxhash64("node", "key"))
-    return dealt.mapInArrow(by_key(compare, BLOCK), EDGES)
+    return dealt.mapInArrow(by_key(compare, BLOCK), EDGES).filter(REAL)
 
 
 def refined(nodes: DataFrame, lists: DataFrame) -> DataFrame:
@@ -231,7 +238,36 @@ def refined(nodes: DataFrame, lists: DataFrame) -> DataFrame:
 
     met = around.join(known, F.col("node") == F.col("id")).select("key", "node", "unit", "end")
     found = met.repartition("key").sortWithinPartitions("key").mapInArrow(by_key(compare, JOINED + 1), EDGES)
-    return best_edges(lists.unionByName(found), K)
+    return best_edges(lists.unionByName(found.filter(REAL)), K)
+
+
+def enlarged(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
+    """The lists with twice the places where the last one reaches the threshold, as often as that holds."""
+    places = K
+    while places < MOST_PLACES:
+        ends = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("s").alias("end"))
+        full = ends.filter((F.col("n") >= places) & (F.col("end") >= least - SLACK))
+        full = cut(full.select(F.col("a").alias("node"), F.lit(True).alias("full")), "nn-full")
+        if full.isEmpty():
+            break
+        places *= 2
+        both = lists.unionByName(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+        around = best_edges(both, 2 * places).select(F.col("a").alias("key"), F.col("b").alias("node"))
+        around = around.unionByName(full.select(F.col("node").alias("key"), "node"))
+        known = nodes.select("node", F.col("unit").cast("array<float>").alias("unit")).join(full, "node", "left")
+        met = around.join(around.join(full, "node").select("key").distinct(), "key", "left_semi").join(known, "node")
+
+        def compare(batches: list[pa.RecordBatch], most: int = places) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows > 1:
+                    wanted = batch["full"].fill_null(False).to_numpy(zero_copy_only=False)
+                    floor = np.where(wanted, least - SLACK, np.inf).astype(np.float32)
+                    yield nearest_in_block(batch["node"].to_numpy(), matrix(batch["unit"]), most, floor)
+
+        dealt = met.select("key", "node", "unit", "full").repartition("key").sortWithinPartitions("key")
+        found = dealt.mapInArrow(by_key(compare, 2 * places + 1), EDGES).filter(REAL)
+        lists = cut(best_edges(lists.unionByName(found), places), "nn-lists")
+    return lists
 
 
 def measured(nodes: DataFrame, lists: DataFrame, least: float) -> DataFrame:
@@ -472,25 +508,63 @@ def exact_counts(nodes: DataFrame, queries: DataFrame, least: float) -> DataFram
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def recall_of(nodes: DataFrame, found: DataFrame, least: float, audit: int = AUDIT) -> DataFrame:
-    """``label, dim, recall`` of labels whose sample has links: the mean share of a node's links that were found.
-
-    It is the lowest of the means of nodes with less than ``K`` links, of those with more, and of both. Found links are all true.
-    """
+def audited(nodes: DataFrame, audit: int = AUDIT) -> DataFrame:
+    """At most so many nodes of each label, those whose numbers hash lowest."""
     order = Window.partitionBy("label", "dim").orderBy("draw", "node")
     draw = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1 << 30))
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("rows"))
     few = nodes.withColumn("draw", draw).join(sizes, ["label", "dim"])
     few = few.filter(F.col("draw") < (1.2 * audit + 200) / F.col("rows") * (1 << 30))
     queries = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= audit)
-    queries = cut(queries.select("node", "label", "dim", "m", "unit"), "nn-audit")
+    return cut(queries.select("node", "label", "dim", "m", "unit"), "nn-audit")
+
+
+def partners(queries: DataFrame, least: float) -> DataFrame:
+    """A node just above the threshold from each, in a random direction, without weight; node n has partner -1 - n."""
+
+    @arrow_udf("array<double>")
+    def beside(vectors: pa.Array, numbers: pa.Array) -> pa.Array:
+        out = []
+        for vector, number in zip(vectors, numbers.to_pylist(), strict=True):
+            own = vector.values.to_numpy()
+            across = np.random.default_rng(number).standard_normal(len(own))
+            across -= (across @ own) * own
+            length = np.sqrt(across @ across)
+            near = min(1.0, least + 1e-6)
+            # one dimension has no other direction
+            other = near * own + math.sqrt(1 - near * near) * across / length if length > 1e-9 else own
+            out.append(other / np.sqrt(other @ other))
+        return pa.array(out, pa.list_(pa.float64()))
+
+    number = (-1 - F.col("node")).alias("node")
+    return queries.select(number, "label", "dim", F.lit(0).cast("long").alias("m"), beside("unit", "node").alias("unit"))
+
+
+def partner_recall(queries: DataFrame, lists: DataFrame, least: float) -> DataFrame:
+    """``label, dim, planted``: the share of partners whose list holds their node, or is saturated by others."""
+    own = lists.filter("a < 0").groupBy((-1 - F.col("a")).alias("node"))
+    met = F.max((F.col("b") == -1 - F.col("a")).cast("int"))
+    full = (F.count("*") >= K) & (F.min("s") >= least - SLACK)
+    hits = own.agg(F.greatest(met, full.cast("int")).alias("hit"))
+    hit = F.coalesce("hit", F.lit(0))
+    return queries.join(hits, "node", "left").groupBy("label", "dim").agg(F.avg(hit).alias("planted"))
+
+
+def recall_of(nodes: DataFrame, found: DataFrame, least: float, queries: DataFrame, lists: DataFrame) -> DataFrame:
+    """``label, dim, recall, planted`` of every label: the lowest share found, and that of the planted partners.
+
+    Of sampled nodes with links it is the lowest of the mean shares of nodes with less than ``K`` links, of those with more, and of
+    both. Found links are all true.
+    """
     truth = exact_counts(nodes, queries, least).filter("links > 0")
     both = truth.join(queries.select("node", "label", "dim"), "node").join(
         found.select("node", F.col("links").alias("got")), "node", "left"
     )
     share = F.coalesce("got", F.lit(0)) / F.col("links")
     low, high = (F.avg(F.when(which, share)) for which in (F.col("links") < K, F.col("links") >= K))
-    return both.groupBy("label", "dim").agg(F.least(low, high, F.avg(share)).alias("recall"))
+    counted = both.groupBy("label", "dim").agg(F.least(low, high, F.avg(share)).alias("linked"))
+    every = partner_recall(queries, lists, least).join(counted, ["label", "dim"], "left")
+    return every.select("label", "dim", F.least("linked", "planted").alias("recall"), "planted")
 
 
 def forest(near: np.ndarray) -> list[tuple[int, int]]:
@@ -569,12 +643,17 @@ def link_vectors(vectors: DataFrame, least: float = LEAST, planes: int = PLANES,
     place = ["label", "dim"]
     searched, done = nodes, []
     for attempt in range(MOST_TRIES):
-        more = first_lists(searched, planes, seed + attempt, least)
+        queries = audited(searched)
+        planted = cut(partners(queries, least), "nn-partners")
+        both = searched.select(*planted.columns).unionByName(planted)
+        more = first_lists(both, planes, seed + attempt, least)
         lists = cut(best_edges(lists.unionByName(more), K), "nn-lists")
         for _ in range(ROUNDS):
-            lists = cut(refined(searched, lists), "nn-lists")
-        found = settled(searched, lists, least)
-        poor = cut(recall_of(searched, found, least).filter(F.col("recall") < RECALL).select(*place), "nn-poor")
+            lists = cut(refined(both, lists), "nn-lists")
+        own = enlarged(searched, lists.filter("a >= 0"), least)
+        found = settled(searched, own, least)
+        recall = recall_of(searched, found, least, queries, lists)
+        poor = cut(recall.filter(F.col("recall") < RECALL).select(*place), "nn-poor")
         if poor.isEmpty():
             done.append(found)
             break
@@ -582,7 +661,7 @@ def link_vectors(vectors: DataFrame, least: float = LEAST, planes: int = PLANES,
         again = searched.join(poor, place, "left_semi")
         done.append(found.join(again, "node", "left_anti"))
         searched = cut(again, "nn-searched")
-        lists = lists.join(searched.select(F.col("node").alias("a")), "a", "left_semi")
+        lists = own.join(searched.select(F.col("node").alias("a")), "a", "left_semi")
     else:
         done.append(compared_whole(searched, least))
     found = reduce(DataFrame.unionByName, done)

@@ -128,10 +128,57 @@ def test_recall_counts_each_node_alike(spark):
     units = [(n, label, 16, 1, [float(x) for x in v / np.linalg.norm(v)]) for n, v, label in rows]
     nodes = spark.createDataFrame(units, "node long, label int, dim int, m long, unit array<double>")
     got = spark.createDataFrame([(n, 99) for n in range(100)] + [(n, 1) for n in range(124, 148)], "node long, links long")
-    recall = {r.label: r.recall for r in nn_descent.recall_of(nodes, got, 0.93).collect()}
+    queries = nn_descent.audited(nodes)
+    lists = queries.selectExpr("-1 - node as a", "node as b", "cast(0.93 as float) as s")
+    recall = {r.label: r.recall for r in nn_descent.recall_of(nodes, got, 0.93, queries, lists).collect()}
     assert recall == {0: 0.0, 1: 1.0}
 
 
+def scattered(count, pairs, label, seed):
+    """Vectors far from each other but for so many pairs just above the threshold."""
+    rng = np.random.default_rng(seed)
+    rows = [rng.standard_normal(64) for _ in range(count - pairs)]
+    for n in range(pairs):
+        own = rows[n] / np.linalg.norm(rows[n])
+        across = rng.standard_normal(64)
+        across -= (across @ own) * own
+        rows.append(0.94 * own + math.sqrt(1 - 0.94**2) * across / np.linalg.norm(across))
+    return [(label * 100_000 + n, [float(x) for x in v], label) for n, v in enumerate(rows)]
+
+
+def test_rare_links_are_measured_by_planted_partners(spark, monkeypatch):
+    """A search that finds nothing is not taken for good where the sample holds no link."""
+    rows = scattered(900, 2, 0, 1)
+    assert found(spark, rows) == expected(rows)
+    first = nn_descent.first_lists
+    monkeypatch.setattr(nn_descent, "first_lists", lambda *options: first(*options).limit(0))
+    monkeypatch.setattr(nn_descent, "MOST_TRIES", 1)
+    monkeypatch.setattr(nn_descent, "AUDIT", 32)
+    assert found(spark, rows) == expected(rows)
+
+
+def test_partners_stand_at_the_threshold(spark):
+    units = [(n, 0, 3, 1, [1.0, 0.0, 0.0]) for n in range(4)] + [(9, 0, 1, 1, [1.0])]
+    nodes = spark.createDataFrame(units, "node long, label int, dim int, m long, unit array<double>")
+    cosines = {r.node: (r.unit[0], r.m) for r in nn_descent.partners(nodes, 0.93).collect()}
+    assert set(cosines) == {-1, -2, -3, -4, -10}
+    assert all(m == 0 and (c == 1.0 if n == -10 else 0.93 <= c < 0.9301) for n, (c, m) in cosines.items())
+
+
+def test_saturated_lists_get_more_places(spark):
+    """All links of a group of 25 are listed, which ten places cannot hold; a single node's list stays."""
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal(64)
+    vectors = [centre + 0.1 * rng.standard_normal(64) for _ in range(25)] + [rng.standard_normal(64) for _ in range(5)]
+    units = [(n, 0, 64, 1, [float(x) for x in v / np.linalg.norm(v)]) for n, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(units, "node long, label int, dim int, m long, unit array<double>")
+    lists = nn_descent.best_edges(nn_descent.first_lists(nodes, 6, 0, 0.93), nn_descent.K)
+    lists = nn_descent.cut(lists, "test-lists")
+    wide = nn_descent.enlarged(nodes, lists, 0.93)
+    sizes = {r.a: r["count"] for r in wide.groupBy("a").count().collect()}
+    assert sizes == {n: 24 if n < 25 else nn_descent.K for n in range(30)}
+
+
 def test_what_the_search_misses_is_compared_whole(spark, rows, monkeypatch):
     """Lists that find next to nothing end in the comparison of all pairs, not in a result with gaps."""
     few = nn_descent.first_lists
