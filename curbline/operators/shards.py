@@ -103,7 +103,8 @@ def rejected_shard_rows(role: str, shard: DataFrame, zone: str = SOURCE_ZONE) ->
     return refused.select("trip_id", reason.alias("reason"))
 
 
-def _valid_rows(role: str, shard: DataFrame, zone: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def valid_rows(role: str, shard: DataFrame, zone: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed rows of one shard that pass its checks."""
     return parse_shard(role, shard, zone, keep).where("is_valid").drop("is_valid")
 
 
@@ -117,7 +118,7 @@ def partial_events(
     role: str, shard: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Valid partial events of one shard."""
-    return _to_wire(_valid_rows(role, shard, zone, keep))
+    return _to_wire(valid_rows(role, shard, zone, keep))
 
 
 def project_partial(events: DataFrame, role: str) -> DataFrame:
@@ -146,7 +147,7 @@ def merge_shards(
     An id that fails in one shard drops out, as it would if checked after the join. Numbers
     and times are joined as such and not as text, which hashes them in place.
     """
-    parts = {role: _valid_rows(role, shards[role], zone) for role in SHARD_COLUMNS}
+    parts = {role: valid_rows(role, shards[role], zone) for role in SHARD_COLUMNS}
     return _to_wire(join_shards(parts, unique_keys)).select(*EVENT_COLUMNS)
 
 

@@ -148,6 +148,13 @@ ORACLE["shard_reconciliation"] = _with(
          count(*) filter (ok) as merged_ids, count(*) filter (not ok) as orphan_ids from wire""",
 )
 
+ORACLE["shard_tables_join"] = ORACLE["shard_join"]
+ORACLE["shard_tables_orphans"] = ORACLE["shard_orphans"]
+ORACLE["shard_tables_repeats"] = _with(
+    _RAW,
+    "select 'datetime' as role, trip_id, 3::bigint as copies from wire where row_number % 10 = 0",
+)
+
 # Messages
 
 _VALUE = """'{"trip_id":"' || trip_id || '","event_timestamp":"' || event_timestamp ||

@@ -19,7 +19,7 @@ from curbline.operators import canonical, enrich, merge, positions, shards
 from curbline.plans import aggregates, models, quality, serving, trips
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS, RAW_COLUMNS, SHARD_COLUMNS
 from curbline.session import work_dir
-from curbline.sources import event_table, json_lines, messages, raw_csv, shard_csv
+from curbline.sources import event_table, json_lines, messages, raw_csv, shard_csv, shard_tables
 from curbline.streaming import assembly, jobs, sinks
 from curbline.streaming.batches import read_batches
 
@@ -271,6 +271,40 @@ def shard_reconciliation(spark, sf_dir):
     return shards.reconcile(_partials(spark, sf_dir))
 
 
+# Buckets of a shard's table in these queries; set so that a bucket has some 100 MB.
+SHARD_BUCKETS = 16
+
+
+def _tables(spark, sf_dir, again: bool = False) -> dict[str, DataFrame]:
+    """The shards as bucketed tables, the times of every tenth id three times if ``again``."""
+    folder = work_dir(spark, "shard_tables")
+    keyed = shards.land_keyed(_raw(spark, sf_dir), work_dir(spark, "keyed"))
+    split = shards.split_columns(keyed)
+    if again:
+        copies = F.when(F.col("row_number") % 10 == 0, 3).otherwise(1)
+        thrice = keyed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        split["datetime"] = shards.split_columns(thrice)["datetime"]
+    return shard_tables.write_shard_tables(split, folder, f"shard_{folder.rpartition('-')[2]}", SHARD_BUCKETS)
+
+
+@query
+def shard_tables_join(spark, sf_dir):
+    """Events put together from bucketed tables, without an exchange."""
+    return shard_tables.join_tables(_tables(spark, sf_dir))
+
+
+@query
+def shard_tables_orphans(spark, sf_dir):
+    """Ids that are not in all bucketed tables, without an exchange."""
+    return shard_tables.orphans_of_tables(_tables(spark, sf_dir))
+
+
+@query
+def shard_tables_repeats(spark, sf_dir):
+    """Ids that came more than once in a shard, kept once by its table."""
+    return shard_tables.repeated_ids(_tables(spark, sf_dir, again=True))
+
+
 # Messages
 
 
