@@ -267,6 +267,11 @@ ORACLE["top_grid_cells"] = _with(
 ORACLE["map_points"] = _with(
     _CELLS, f"select latitude_grid as lat, longitude_grid as lon from c {_TOP}"
 )
+ORACLE["map_window"] = _with(
+    _FACT,
+    """select trip_id, trip_date, latitude_grid, longitude_grid from fact
+       where latitude_grid between -30 and 45 and longitude_grid between -75 and 60 and base = 'purchase'""",
+)
 ORACLE["kpi_ratios"] = _with(
     _FACT,
     """select coalesce(count(*) filter (is_peak_hour)::double / nullif(count(*)::double, 0) * 100, 0)

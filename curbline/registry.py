@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from curbline.functions import clock
 from curbline.operators import canonical, enrich, merge, positions, shards
-from curbline.plans import aggregates, models, quality, serving, trips
+from curbline.plans import aggregates, layout, models, quality, serving, trips
 from curbline.schema import EVENT_COLUMNS, PARTIAL_FIELDS, RAW_COLUMNS, SHARD_COLUMNS
 from curbline.session import work_dir
 from curbline.sources import event_table, json_lines, messages, raw_csv, shard_csv, shard_tables
@@ -497,6 +497,15 @@ def serving_trip_fact(spark, sf_dir):
     return comparable(models.read_model(spark, folder, "trip_fact"))
 
 
+@query
+def map_window(spark, sf_dir):
+    """Trips of one base in a window of the map, from a fact in Morton order."""
+    folder = work_dir(spark, "clustered")
+    layout.write_clustered(_fact(spark, sf_dir), folder)
+    found = layout.in_window(layout.read_clustered(spark, folder), (-30.0, 45.0), (-75.0, 60.0), "purchase")
+    return comparable(found.select("trip_id", "trip_date", "latitude_grid", "longitude_grid"))
+
+
 # Streams
 
 
