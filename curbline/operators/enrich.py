@@ -43,11 +43,19 @@ def valid_events(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ..
     Only the time stands behind the fence that keeps filters from repeating its parsing; the
     other conditions come first and reach a scan.
     """
+    return _timed(events.where(_valid_fields()), zone, keep).where(F.col("event_timestamp").isNotNull())
+
+
+def _timed(events: DataFrame, zone: str, keep: tuple[str, ...]) -> DataFrame:
     instant = F.struct(clock.parse_instant(F.col("event_timestamp"), zone).alias("instant"))
     others = ("trip_id", "pickup_latitude", "pickup_longitude", "base", *keep)
-    parsed = unpack_once(events.where(_valid_fields()), instant, others)
     fields = [F.col("instant").alias(n) if n == "event_timestamp" else F.col(n) for n in EVENT_COLUMNS]
-    return parsed.where(F.col("instant").isNotNull()).select(*fields, *keep)
+    return unpack_once(events, instant, others).select(*fields, *keep)
+
+
+def marked_events(events: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """All wire events, the timestamp parsed to an instant; ``is_valid`` marks those that ``valid_events`` lets through."""
+    return _timed(events, zone, keep).withColumn("is_valid", F.coalesce(is_valid_event(), F.lit(False)))
 
 
 def judged_messages(messages: DataFrame, zone: str = SOURCE_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:

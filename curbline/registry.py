@@ -83,22 +83,28 @@ def _message_stream(spark: SparkSession, sf_dir: str, **limits: int) -> DataFram
 
 
 MESSAGE = "key string, value string, timestamp timestamp"
-# Parts, and so micro-batches, that the table is sent in, and the files of each.
+# Parts, and so micro-batches, that the table is sent in, and the files of each: at least so many, and more for many rows.
 SLICES = 12
 PART_FILES = 4
+FILE_ROWS = 250_000
 
 
-def _inbox(parts: list[DataFrame], folder: str) -> str:
-    """``PART_FILES`` files per part, in this order: with so many files at a time, a part is a micro-batch."""
+def _part_files(rows: int) -> int:
+    """The files of parts of about so many rows."""
+    return max(PART_FILES, -(-rows // FILE_ROWS))
+
+
+def _inbox(parts: list[DataFrame], folder: str, files: int = PART_FILES) -> str:
+    """``files`` files per part, in this order: with so many files at a time, a part is a micro-batch."""
     for number, part in enumerate(parts):
-        part.repartition(PART_FILES).write.parquet(f"{folder}/{number:03d}")
+        part.repartition(files).write.parquet(f"{folder}/{number:03d}")
     return f"{folder}/*"
 
 
-def _sliced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The messages in slices by event id, each a minute later than the one before."""
+def _sliced(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], int]:
+    """The messages in slices by event id, each a minute later than the one before, and the files of each."""
     events = event_table.read_events(spark, sf_dir)
-    return [
+    slices = [
         messages.message_payload(
             event_table.wire_events(events.where(F.col("event_id") % SLICES == number)).withColumn(
                 "timestamp", F.timestamp_seconds(F.lit(1_400_000_000 + 60 * number))
@@ -107,15 +113,23 @@ def _sliced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         )
         for number in range(SLICES)
     ]
+    return slices, _part_files(events.count() // SLICES)
 
 
-def _part_stream(spark: SparkSession, path: str, parts: int = 1) -> DataFrame:
+def _part_stream(spark: SparkSession, path: str, parts: int = 1, files: int = PART_FILES) -> DataFrame:
     """An inbox as a stream, so many parts at a time."""
-    return messages.file_stream(spark, path, MESSAGE, max_files=parts * PART_FILES)
+    return messages.file_stream(spark, path, MESSAGE, max_files=parts * files)
 
 
 def _slice_stream(spark: SparkSession, sf_dir: str, folder: str, parts: int = 1) -> DataFrame:
-    return _part_stream(spark, _inbox(_sliced(spark, sf_dir), f"{folder}/inbox"), parts)
+    slices, files = _sliced(spark, sf_dir)
+    return _part_stream(spark, _inbox(slices, f"{folder}/inbox", files), parts, files)
+
+
+def _landed(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows written once, for what reads them several times."""
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 # Ingest
@@ -559,7 +573,9 @@ def stream_first_trip_stays(spark, sf_dir):
     """Ids come again with another base, in the same batch and later, and under another date:
     the trip that arrived first is the one stored."""
     folder = work_dir(spark, "moved")
-    wire = event_table.wire_events(event_table.read_events(spark, sf_dir)).where("base <> ''")
+    events = event_table.read_events(spark, sf_dir)
+    files = _part_files(events.count())
+    wire = _landed(event_table.wire_events(events.repartition(files)).where("base <> ''"), f"{folder}/wire")
 
     def sent(events: DataFrame, second: int) -> DataFrame:
         at = F.timestamp_seconds(F.lit(1_400_000_000 + second))
@@ -568,7 +584,7 @@ def stream_first_trip_stays(spark, sf_dir):
     renamed = wire.withColumn("base", F.lit("A0"))
     moved = wire.withColumn("event_timestamp", F.lit("2030-01-01T12:00:00+00:00"))
     parts = [sent(renamed, 1).unionByName(sent(wire, 0)), sent(moved, 60), sent(renamed, 120)]
-    stream = _part_stream(spark, _inbox(parts, f"{folder}/inbox"))
+    stream = _part_stream(spark, _inbox(parts, f"{folder}/inbox", files), files=files)
     _merge_stream(spark, stream, folder, compact_every=2)
     return comparable(sinks.read_staging(spark, f"{folder}/staging"))
 
@@ -578,9 +594,10 @@ def stream_replay_merge(spark, sf_dir):
     """The whole source is read twice, cut into other batches by a fresh checkpoint; the table
     stays as it was."""
     folder = work_dir(spark, "replay")
-    path = _inbox(_sliced(spark, sf_dir), f"{folder}/inbox")
+    slices, files = _sliced(spark, sf_dir)
+    path = _inbox(slices, f"{folder}/inbox", files)
     for checkpoint, parts in (("first", 5), ("again", 4)):
-        _merge_stream(spark, _part_stream(spark, path, parts), folder, checkpoint)
+        _merge_stream(spark, _part_stream(spark, path, parts, files), folder, checkpoint)
     staging = sinks.read_staging(spark, f"{folder}/staging")
     return staging.groupBy("trip_date").agg(
         F.count(F.lit(1)).alias("trip_count"),
@@ -689,8 +706,9 @@ def _assemble(spark: SparkSession, sf_dir: str) -> str:
     """
     folder = work_dir(spark, "assembly")
     events = event_table.read_events(spark, sf_dir)
-    rows = event_table.raw_rows(events, ("event_id",))
-    split = shards.split_columns(rows, keep=("event_id",))
+    files = _part_files(events.count())
+    rows = event_table.raw_rows(events.repartition(files), ("event_id",))
+    split = shards.split_columns(shards.land_keyed(rows, f"{folder}/keyed"), keep=("event_id",))
     typed = {
         role: shards.partial_events(role, split[role], keep=("event_id",)) for role in PARTIAL_FIELDS
     }
@@ -714,7 +732,7 @@ def _assemble(spark: SparkSession, sf_dir: str) -> str:
         ),
     ]
     assembly.write_assembly_stream(
-        assembly.decode_partials(_part_stream(spark, _inbox(parts, f"{folder}/inbox"))),
+        assembly.decode_partials(_part_stream(spark, _inbox(parts, f"{folder}/inbox", files), files=files)),
         f"{folder}/staging",
         f"{folder}/metrics",
         f"{folder}/pending",

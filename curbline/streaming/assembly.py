@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
-from curbline.operators.enrich import add_calendar, decode_events, valid_events
+from curbline.operators.enrich import add_calendar, decode_events, marked_events
 from curbline.schema import EVENT_COLUMNS, EVENT_SCHEMA, SOURCE_ZONE, STAGING_COLUMNS, TRIGGER
 from curbline.streaming.batches import fold, read_batches, read_folders
 from curbline.streaming.sinks import (
@@ -96,11 +96,11 @@ def joined(assembled: DataFrame) -> DataFrame:
     return assembled.groupBy("trip_id").agg(*[F.max(name).alias(name) for name in _PAYLOAD])
 
 
-def _values(assembled: DataFrame) -> DataFrame:
+def _values(assembled: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Assembled fields as plain columns; ``arrival`` is when the last of them came."""
     last = F.greatest(*[F.col(f"{name}.at.arrival") for name in _PAYLOAD])
     return assembled.select(
-        "trip_id", *[F.col(f"{name}.value").alias(name) for name in _PAYLOAD], last.alias("arrival")
+        "trip_id", *[F.col(f"{name}.value").alias(name) for name in _PAYLOAD], last.alias("arrival"), *keep
     )
 
 
@@ -138,34 +138,48 @@ def assemble_batch(
         many = own.count()
         if many == 0:
             return
-        stored = stored_rows(spark, staging_path, STAGING_FILES, own, run, batch_id)
-        waiting = stored_rows(spark, pending_path, _PENDING_FILES, own, run, batch_id)
-        open_ = own.join(stored.select("trip_id"), "trip_id", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-        known = waiting.where(~F.col("left")).select("trip_id", *_PAYLOAD).join(open_.select("trip_id"), "trip_id", "left_semi")
-        events = complete_events(joined(open_.select("trip_id", *_PAYLOAD).unionByName(known)))
-        trips = add_calendar(valid_events(events, zone), zone).select(*STAGING_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        stored = stored_rows(spark, staging_path, STAGING_FILES, own, run, batch_id, many)
+        waiting = stored_rows(spark, pending_path, _PENDING_FILES, own, run, batch_id, many)
+        judged = _judged(own, stored, waiting, zone).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            complete = trips.count()
-            still = open_.join(trips.select("trip_id"), "trip_id", "left_anti").withColumn("left", F.lit(False))
-            # Only ids that had waited need a mark.
-            gone = waiting.select("trip_id").distinct().join(trips.select("trip_id"), "trip_id", "left_semi")
-            marks = gone.select("trip_id", *[F.lit(None).cast(_PENDING[n].dataType).alias(n) for n in _PAYLOAD], F.lit(True).alias("left"))
-            rows = still.unionByName(marks).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                # Trips first: cut short after them, a replay finds the same parts and replaces both.
-                if complete:
-                    write_bucketed(trips, staging_path, name, complete)
-                    record_batch(spark, metrics_path, run, batch_id, complete)
-                write_bucketed(rows, pending_path, name, many)
-            finally:
-                rows.unpersist()
+            complete = judged.where("is_valid").count()
+            # Trips first: cut short after them, a replay finds the same parts and replaces both.
+            if complete:
+                write_bucketed(judged.where("is_valid").select(*STAGING_COLUMNS), staging_path, name, complete)
+                record_batch(spark, metrics_path, run, batch_id, complete)
+            # Of the ids that are complete, only those that had waited need a mark.
+            rows = judged.where("waited or not is_valid").select(
+                "trip_id", *[F.col(f"own_{n}").alias(n) for n in _PAYLOAD], F.col("is_valid").alias("left")
+            )
+            write_bucketed(rows, pending_path, name, many)
         finally:
-            trips.unpersist()
-            open_.unpersist()
+            judged.unpersist()
     finally:
         own.unpersist()
 
 
+def _judged(own: DataFrame, stored: DataFrame, waiting: DataFrame, zone: str) -> DataFrame:
+    """A row per id of ``own`` that is not stored: its trip so far and ``is_valid``, its own parts unless valid, and ``waited``.
+
+    All sides lie by id, as ``assemble`` left ``own``; ids that are not of the batch leave before they are joined.
+    """
+    ids = own.select("trip_id")
+    taken = stored.select("trip_id").join(ids, "trip_id", "left_semi")
+    held = joined(waiting.select("trip_id", *_PAYLOAD).join(ids, "trip_id", "left_semi"))
+    before = held.select("trip_id", *[F.col(n).alias(f"held_{n}") for n in _PAYLOAD], F.lit(True).alias("waited"))
+    met = own.join(taken, "trip_id", "left_anti").join(before, "trip_id", "left")
+    both = met.select(
+        "trip_id",
+        *[F.greatest(n, f"held_{n}").alias(n) for n in _PAYLOAD],
+        *[F.col(n).alias(f"own_{n}") for n in _PAYLOAD],
+        F.coalesce("waited", F.lit(False)).alias("waited"),
+    )
+    kept = ("waited", *[f"own_{n}" for n in _PAYLOAD])
+    marked = marked_events(_values(both, kept), zone, kept)
+    own_parts = {f"own_{n}": F.when(~F.col("is_valid"), F.col(f"own_{n}")) for n in _PAYLOAD}
+    return add_calendar(marked, zone, (*kept, "is_valid")).withColumns(own_parts)
+
+
 def compact_pending(spark: SparkSession, pending_path: str, fan: int = COMPACT_EVERY) -> None:
     """Fold the pending table: one row per id; a mark takes the additions of its id along, and goes where no older folder is left."""
 

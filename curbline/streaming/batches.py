@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 RUN_COLUMNS = [StructField("run", StringType()), StructField("batch", StringType())]
@@ -67,7 +68,8 @@ def read_folders(spark: SparkSession, path: str, schema: StructType, names: list
     """The rows of some folders, with ``run`` and ``batch``."""
     schema = StructType([*schema.fields, *RUN_COLUMNS])
     if not names:
-        return spark.createDataFrame([], schema)
+        # Known to be empty when a join with it is planned.
+        return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{name}" for name in names])
 
 

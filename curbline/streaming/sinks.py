@@ -76,14 +76,15 @@ def bucket_of(key: str = "trip_id") -> Column:
 
 
 def stored_rows(
-    spark: SparkSession, path: str, schema: StructType, ids: DataFrame, run: str, batch_id: int
+    spark: SparkSession, path: str, schema: StructType, ids: DataFrame, run: str, batch_id: int, many: int = 0
 ) -> DataFrame:
     """The rows of a bucketed table in files that may hold one of ``ids``, but those of the batch's own folder.
 
-    The filters beside the table tell the files; new ids read none.
+    The filters beside the table tell the files; new ids read none. ``many`` is about the number of ids, if known.
     """
     others = [name for name in live_names(spark, path) if name != f"run={run}/batch={batch_id}"]
-    names, buckets = may_hold(spark, path, ids.select("trip_id", bucket_of().alias("bucket")), others)
+    keys = ids.select("trip_id", bucket_of().alias("bucket"))
+    names, buckets = may_hold(spark, path, keys, others, many=many, buckets=STAGING_BUCKETS)
     rows = read_folders(spark, path, schema, names)
     return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
 

@@ -6,6 +6,7 @@ import pytest
 from helpers import VALID, raw, rows_of
 from pyspark.sql import functions as F
 
+from curbline import registry
 from curbline.operators import shards
 from curbline.operators.canonical import canonical_events
 from curbline.operators.enrich import add_calendar, arrival_of, transform_messages, valid_events
@@ -240,6 +241,24 @@ def test_a_folder_without_a_filter_is_read(spark):
     assert sinks.read_staging(spark, f"{folder}/staging").count() == 11
 
 
+def test_of_many_keys_some_tell_for_the_others(spark, monkeypatch):
+    """A bucket of a folder that is known to be met is not asked about again; what no early key tells is found all the same."""
+    path, asked = work_dir(spark, "many-keys"), []
+    for number in range(2):
+        sinks.write_bucketed(ids_frame(spark, number * 10_000, number * 10_000 + 10_000), path, f"run=a/batch={number}", 10_000)
+    hits = membership._hits
+    monkeypatch.setattr(membership, "FIRST_ASKED", 2_500)
+    monkeypatch.setattr(membership, "_hits", lambda *args: asked.append(list(args[3])) or hits(*args))
+    keys = ids_frame(spark, 0, 10_000).withColumn("bucket", sinks.bucket_of())
+    names = [f"run=a/batch={number}" for number in range(2)]
+    found = membership.may_hold(spark, path, keys, names, many=10_000, buckets=sinks.STAGING_BUCKETS)
+    assert asked == [names, names[1:]]
+    assert found[0][0] == names[0] and found[1] == list(range(sinks.STAGING_BUCKETS))
+    late = keys.where(F.pmod(F.xxhash64(F.lit(4), "trip_id"), F.lit(4)) != 0).limit(1).persist()
+    first = late.first()
+    assert membership.may_hold(spark, path, late, names, many=10_000, buckets=sinks.STAGING_BUCKETS) == (names[:1], [first.bucket])
+
+
 def test_filters_follow_the_folds(spark):
     folder = work_dir(spark, "folded")
     for number in range(8):
@@ -458,6 +477,29 @@ def test_a_replayed_assembly_batch_changes_nothing(spark):
     assert rows_of(sinks.read_batch_metrics(spark, paths[1]), "batch_id", "records_received") == [(1, 2)]
 
 
+def test_a_batch_meets_both_tables_in_one_pass(spark):
+    """Parts are judged row by row: the batch's ids are not moved again, and nothing is joined to tell what still waits."""
+    folder = work_dir(spark, "one-pass")
+    paths = [f"{folder}/{name}" for name in ("staging", "metrics", "pending")]
+    empty = [F.lit(None).cast("bigint").alias(name) for name in ("partition", "offset")]
+    whole = trips(spark, range(1, 9)).withColumn("arrival", F.timestamp_seconds(F.lit(5)))
+    some = whole.withColumn("base", F.when(F.col("pickup_latitude") > 90, F.col("base")))
+    assembly.assemble_batch(whole.limit(3).select("*", *empty), 0, "r", *paths)
+    assembly.assemble_batch(some.select("*", *empty), 1, "r", *paths)
+    own = assembly.assemble(whole.select("*", *empty)).persist()
+    assert own.count() == 8
+    stored = sinks.stored_rows(spark, paths[0], sinks.STAGING_FILES, own, "r", 2)
+    waiting = sinks.stored_rows(spark, paths[2], assembly._PENDING_FILES, own, "r", 2)
+    judged = assembly._judged(own, stored, waiting, "America/New_York")
+    assert rows_of(judged, "is_valid", "waited") == [(True, True)] * 5
+    assert judged._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 4
+
+
+def test_files_of_a_part_grow_with_its_rows():
+    sizes = [registry._part_files(rows) for rows in (0, 100_000, 1_000_000, 1_000_001, 36_000_000)]
+    assert sizes == [4, 4, 4, 5, 144]
+
+
 def test_a_later_part_replaces_an_earlier_one_whatever_the_row_order(spark):
     rows = [
         ("a", None, 41.0, None, None, 2, 0, 7), ("a", None, 40.0, None, None, 2, 0, 6),
