@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from curbline.operators.enrich import add_calendar
-from curbline.operators.merge import insert_absent
+from curbline.operators.merge import insert_absent, one_per_key
 from curbline.schema import (
     BATCH_METRICS_SCHEMA,
     JDBC_BATCH_ROWS,
@@ -123,21 +123,22 @@ def merge_batch(
     metrics row for the old one.
     """
     spark = batch.sparkSession
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    order = ("arrival",) if "arrival" in batch.columns else ()
+    # Reduced as it is decoded: what follows reads one row per id, laid out by id.
+    firsts = one_per_key(batch, "trip_id", order, copies="copies").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        records = batch.count()
-        if records == 0:
+        many, records = firsts.agg(F.count(F.lit(1)), F.sum("copies")).first()
+        if many == 0:
             return
-        others = stored_rows(spark, staging_path, STAGING_FILES, batch, run, batch_id)
-        order = ("arrival",) if "arrival" in batch.columns else ()
-        new = insert_absent(batch, others, order=order).select(*STAGING_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        others = stored_rows(spark, staging_path, STAGING_FILES, firsts, run, batch_id, many)
+        new = insert_absent(firsts, others, unique_keys=True).select(*STAGING_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_bucketed(new, staging_path, f"run={run}/batch={batch_id}", records)
+            write_bucketed(new, staging_path, f"run={run}/batch={batch_id}", many)
         finally:
             new.unpersist()
         record_batch(spark, metrics_path, run, batch_id, records)
     finally:
-        batch.unpersist()
+        firsts.unpersist()
 
 
 def compact_staging(spark: SparkSession, staging_path: str, metrics_path: str, fan: int = COMPACT_EVERY) -> None:

@@ -218,6 +218,8 @@ def test_one_per_key_takes_the_first_in_order(spark):
     )
     assert rows_of(one_per_key(frame, "k")) == [("a", 1, "y"), ("b", None, "q")]
     assert rows_of(one_per_key(frame, "k", ("v",))) == [("a", 2, "x"), ("b", None, "q")]
+    assert rows_of(one_per_key(frame, "k", copies="n")) == [("a", 1, "y", 3), ("b", None, "q", 1)]
+    assert rows_of(one_per_key(frame.select("k", "v"), "k", copies="n")) == [("a", "x", 3), ("b", "q", 1)]
 
 
 def test_insert_absent(spark):
@@ -225,6 +227,7 @@ def test_insert_absent(spark):
     existing = spark.createDataFrame([("a", 9), ("a", 8), ("z", 7)], "trip_id string, v int")
     got = insert_absent(batch, existing)
     assert rows_of(got) == [("b", 2), ("c", 3)]
+    assert rows_of(insert_absent(batch.distinct(), existing, unique_keys=True)) == [("b", 2), ("c", 3)]
 
 
 def test_a_small_batch_spares_the_big_table_the_shuffle(spark):

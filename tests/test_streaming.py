@@ -259,6 +259,22 @@ def test_of_many_keys_some_tell_for_the_others(spark, monkeypatch):
     assert membership.may_hold(spark, path, late, names, many=10_000, buckets=sinks.STAGING_BUCKETS) == (names[:1], [first.bucket])
 
 
+def test_a_merged_batch_is_read_once(spark):
+    folder, read = work_dir(spark, "read-once"), spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for batch in rows:
+            read.add(batch.num_rows)
+            yield batch
+
+    batch = add_calendar(valid_events(trips(spark, range(1, 9)).union(trips(spark, [8]))))
+    counted = batch.mapInArrow(seen, batch.schema).coalesce(1)
+    sinks.merge_batch(counted, 0, "first", f"{folder}/staging", f"{folder}/metrics")
+    kept = [name for name in (r.trip_id for r in sinks.read_staging(spark, f"{folder}/staging").collect())]
+    assert len(kept) == len(set(kept)) == 8 and read.value == 9
+    assert sinks.read_batch_metrics(spark, f"{folder}/metrics").first().records_received == 9
+
+
 def test_filters_follow_the_folds(spark):
     folder = work_dir(spark, "folded")
     for number in range(8):
